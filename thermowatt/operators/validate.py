@@ -1,0 +1,160 @@
+"""Contract check of raw JSON messages: one pass, first failure wins."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..contract import READINGS, TEMP_RANGE_C
+from ..functions import float_text, iso_instant, text_number
+
+# Reason codes in the order the checks are made. MISSING and NULL
+# carry the field name after a colon.
+MALFORMED = "malformed"
+NOT_OBJECT = "not_object"
+MISSING = "missing"
+NULL = "null"
+CAST = "type_cast"
+NEGATIVE_POWER = "negative_power"
+TEMP_RANGE = "temperature_range"
+
+_FIELDS = READINGS.names
+_TEXT_FIELDS = ("device_id", "room")
+_NUMBER_FIELDS = ("temperature_c", "power_kw")
+
+
+def decode(value: Column) -> Column:
+    """Message bytes as text; an absent value becomes the empty text."""
+    return F.coalesce(value.cast("string"), F.lit(""))
+
+
+def _kind_name(kind: Column, text: Column) -> Column:
+    """Name of a JSON value that is not an object, as written in the reason."""
+    return (
+        F.when(kind.startswith("ARRAY"), "list")
+        .when(kind == "STRING", "str")
+        .when(kind == "BOOLEAN", "bool")
+        .when(kind == "VOID", "NoneType")
+        .when(text.rlike(r"^\s*-?\d+\s*$"), "int")
+        .otherwise("float")
+    )
+
+
+def _number(field: str) -> Column:
+    """Finite double of a JSON number, boolean or numeric text, else null."""
+    raw = F.col(f"_{field}")
+    direct = F.try_variant_get(raw, "$", "double")
+    number = F.when(
+        F.schema_of_variant(raw) == "STRING", text_number(F.try_variant_get(raw, "$", "string"))
+    ).otherwise(direct)
+    finite = ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
+    return F.when(finite, number)
+
+
+def _instant(field: str) -> Column:
+    raw = F.col(f"_{field}")
+    return F.when(
+        F.schema_of_variant(raw) == "STRING", iso_instant(F.try_variant_get(raw, "$", "string"))
+    )
+
+
+def _first_failure(checks: list[tuple[Column, Column, Column]]) -> Column:
+    """Struct (reason_code, reason) of the first check that holds, else null."""
+    outcome = [(hit, F.struct(code.alias("reason_code"), reason.alias("reason"))) for hit, code, reason in checks]
+    (hit, first), rest = outcome[0], outcome[1:]
+    return reduce(lambda chain, step: chain.when(step[0], step[1]), rest, F.when(hit, first))
+
+
+def _checks(payload: Column) -> list[tuple[Column, Column, Column]]:
+    lit = F.lit
+    checks = [
+        (F.col("_malformed"), lit(MALFORMED), lit("Malformed JSON syntax: not one JSON value")),
+        (
+            ~F.col("_kind").startswith("OBJECT"),
+            lit(NOT_OBJECT),
+            F.concat(lit("Expected JSON object, got "), _kind_name(F.col("_kind"), payload)),
+        ),
+    ]
+    for f in _FIELDS:
+        checks.append((F.col(f"_{f}").isNull(), lit(f"{MISSING}:{f}"), lit(f"Missing required field '{f}'")))
+        checks.append((F.is_variant_null(F.col(f"_{f}")), lit(f"{NULL}:{f}"), lit(f"Field '{f}' cannot be null")))
+    for f in (*_NUMBER_FIELDS, "event_ts"):
+        checks.append((F.col(f).isNull(), lit(CAST), lit(f"Field type cast error: {f}")))
+    power, temp = F.col("power_kw"), F.col("temperature_c")
+    checks.append((
+        power < 0,
+        lit(NEGATIVE_POWER),
+        F.concat(lit("power_kw cannot be negative ("), float_text(power), lit(")")),
+    ))
+    checks.append((
+        ~temp.between(*TEMP_RANGE_C),
+        lit(TEMP_RANGE),
+        F.concat(lit("temperature_c out of physical range ("), float_text(temp), lit(")")),
+    ))
+    return checks
+
+
+def validate(raw: DataFrame, payload: str = "value") -> DataFrame:
+    """Check every message of ``raw`` against the readings contract.
+
+    Adds the five contract columns, ``raw_payload``, ``reason_code`` and
+    ``reason`` (both null for a good message); other columns pass through.
+    Works on batch and streaming input.
+
+    The text is parsed once. The outcome goes through a generator of one row,
+    because a filter on it must not be pushed below the parse and repeat it.
+    """
+    keep = [c for c in raw.columns if c != payload]
+    text = F.col("raw_payload")
+    # The sentinel element makes text after the first JSON value a syntax error.
+    parsed = raw.select(*keep, decode(F.col(payload)).alias("raw_payload")).withColumn(
+        "_doc", F.try_parse_json(F.concat(F.lit("["), text, F.lit(",0]")))
+    )
+    closed = F.try_variant_get("_doc", "$[1]", "int").eqNullSafe(0) & F.try_variant_get(
+        "_doc", "$[2]", "variant"
+    ).isNull()
+    opened = parsed.select(
+        *keep,
+        "raw_payload",
+        (~closed).alias("_malformed"),
+        F.schema_of_variant(F.try_variant_get("_doc", "$[0]", "variant")).alias("_kind"),
+        *[F.try_variant_get("_doc", f"$[0].{f}", "variant").alias(f"_{f}") for f in _FIELDS],
+    )
+    typed = opened.select(
+        "*",
+        *[F.try_variant_get(f"_{f}", "$", "string").alias(f) for f in _TEXT_FIELDS],
+        _instant("event_ts").alias("event_ts"),
+        *[_number(f).alias(f) for f in _NUMBER_FIELDS],
+    )
+    judged = typed.select(
+        *keep,
+        "raw_payload",
+        *_FIELDS,
+        F.explode(F.array(_first_failure(_checks(text)))).alias("_outcome"),
+    )
+    return judged.select(
+        *keep,
+        *[F.when(F.col("_outcome").isNull(), F.col(f)).alias(f) for f in _FIELDS],
+        "raw_payload",
+        "_outcome.reason_code",
+        "_outcome.reason",
+    )
+
+
+def valid_readings(validated: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Good messages in the readings contract; ``extra`` columns are kept behind it."""
+    return validated.where(F.col("reason_code").isNull()).select(*_FIELDS, *extra)
+
+
+def rejected_rows(validated: DataFrame, as_of: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Dead letters ``(raw_payload, reason, ts)``; ``ts`` is now unless ``as_of`` is given."""
+    ts = F.current_timestamp() if as_of is None else as_of
+    return validated.where(F.col("reason_code").isNotNull()).select(
+        "raw_payload", "reason", ts.cast("timestamp").alias("ts"), *extra
+    )
+
+
+def split_valid(validated: DataFrame, as_of: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(readings, rejected)``. Persist ``validated`` first when both sides are used."""
+    return valid_readings(validated), rejected_rows(validated, as_of)
