@@ -1,50 +1,59 @@
-"""ISO-8601 text and window arithmetic as column expressions."""
+"""ISO-8601 text and UTC time units."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from .shape import out_of_line
 
 _ZONE = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)"
 _ZULU = r"^\d{4}-\d{2}-\d{2}.\d{2}:\d{2}:\d{2}(?:[.,]\d*)?Z$"
 _FULL = rf"^\d{{4}}-\d{{2}}-\d{{2}}.\d{{2}}:\d{{2}}:\d{{2}}(?:[.,]\d*)?{_ZONE}$"
 
 
-def _instant(text: Column) -> Column:
-    day, clock = F.substring(text, 1, 10), text.substr(F.lit(12), F.length(text))
-    return F.try_to_timestamp(F.concat(day, F.lit("T"), F.translate(clock, ",", ".")))
+def _instant(text: str) -> str:
+    return f"try_to_timestamp(concat(left({text}, 10), 'T', translate(substr({text}, 12), ',', '.')))"
 
 
-def iso_instant(text: Column) -> Column:
+def _spread(text: str) -> str:
+    """Any accepted form as ``yyyy-mm-dd?hh:mm:ss`` with fraction and offset as given."""
+    tail = rf"(?=$|{_ZONE}$)"
+    steps = [
+        (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+        (rf"^(.{{10}}.\d{{2}})(\d{{2}})(\d{{2}}(?:[.,]\d*)?){tail}", "$1:$2:$3"),
+        (rf"^(.{{10}}.\d{{2}})(\d{{2}}){tail}", "$1:$2"),
+        (rf"^(.{{10}}.\d{{2}}){tail}", "$1:00"),
+        (rf"^(.{{10}}.\d{{2}}:\d{{2}}){tail}", "$1:00"),
+        (r"^(.{10})$", "$1T00:00:00"),
+    ]
+    for pattern, replacement in steps:
+        text = f"regexp_replace({text}, r'{pattern}', '{replacement}')"
+    return text
+
+
+def iso_instant(text: str) -> str:
     """Timestamp of an ISO-8601 text, or null.
 
     Takes calendar dates with or without dashes, any one-character separator,
     times down to the hour, and ``Z`` or numeric offsets. A text without an
     offset is read as UTC. Week dates are not taken.
     """
-    tail = rf"(?=$|{_ZONE}$)"
-    spread = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3")
-    spread = F.regexp_replace(spread, rf"^(.{{10}}.\d{{2}})(\d{{2}})(\d{{2}}(?:[.,]\d*)?){tail}", "$1:$2:$3")
-    spread = F.regexp_replace(spread, rf"^(.{{10}}.\d{{2}})(\d{{2}}){tail}", "$1:$2")
-    spread = F.regexp_replace(spread, rf"^(.{{10}}.\d{{2}}){tail}", "$1:00")
-    spread = F.regexp_replace(spread, rf"^(.{{10}}.\d{{2}}:\d{{2}}){tail}", "$1:00")
-    spread = F.regexp_replace(spread, r"^(.{10})$", "$1T00:00:00")
-    zoned = F.when(spread.rlike(rf"^.{{11}}.*{_ZONE}$"), spread).otherwise(F.concat(spread, F.lit("Z")))
-    return F.when(text.rlike(_ZULU), _instant(text)).when(zoned.rlike(_FULL), _instant(zoned))
+    spread = _spread(text)
+    zoned = f"transform(array({spread}), t -> if(t RLIKE r'^.{{11}}.*{_ZONE}$', t, concat(t, 'Z')))"
+    other = f"element_at(transform({zoned}, z -> CASE WHEN z RLIKE r'{_FULL}' THEN {_instant('z')} END), 1)"
+    return f"CASE WHEN {text} RLIKE r'{_ZULU}' THEN {_instant(text)} ELSE {out_of_line(other)} END"
 
 
-def iso_text(ts: Column) -> Column:
+def iso_text(ts: str) -> str:
     """ISO text of an instant with ``+00:00``; the fraction is left out when it is zero."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    fraction = F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros))
-    return F.concat(whole, fraction, F.lit("+00:00"))
+    whole = f"date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+    micros = f"date_format({ts}, 'SSSSSS')"
+    return f"concat({whole}, if({micros} = '000000', '', concat('.', {micros})), '+00:00')"
 
 
-def hour_of(ts: Column) -> Column:
+def hour_of(ts: str) -> str:
     """Start of the UTC hour, as a timestamp without zone."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    return f"cast(date_trunc('hour', {ts}) AS timestamp_ntz)"
 
 
-def day_of(ts: Column) -> Column:
+def day_of(ts: str) -> str:
     """Start of the UTC day, as a timestamp without zone."""
-    return F.date_trunc("day", ts).cast("timestamp_ntz")
+    return f"cast(date_trunc('day', {ts}) AS timestamp_ntz)"

@@ -12,8 +12,8 @@ from .ranks import latency_summary, order_statistics, timing_comparison
 from .reports import (
     anomaly_count, readings_per_device, room_daily_power, room_hourly_temperature, top_anomalous_devices,
 )
-from .rollup import merge_rollup_parts, rollup, rollup_parts
-from .validate import decode, rejected_rows, split_valid, valid_readings, validate
+from .windows import merge_rollup_parts, rollup, rollup_parts
+from .validation import decode, rejected_rows, split_valid, valid_readings, validate
 from .weather import default_stations, weather_to_readings
 
 __all__ = [

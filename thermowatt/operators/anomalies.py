@@ -11,54 +11,52 @@ from .hot_groups import SplitPolicy
 _SIGNALS = ["temperature_c", "power_kw"]
 
 
-def anomaly_condition(temp_max: float = c.TEMP_LIMIT_C, power_max: float = c.POWER_LIMIT_KW) -> Column:
-    """Rows over either hard limit (strict)."""
-    return (F.col("temperature_c") > temp_max) | (F.col("power_kw") > power_max)
+# (condition, alert type, column), as SQL text
+Rule = tuple[str, str, str]
 
 
-def anomalous_readings(
-    readings: DataFrame, temp_max: float = c.TEMP_LIMIT_C, power_max: float = c.POWER_LIMIT_KW
-) -> DataFrame:
-    return readings.where(anomaly_condition(temp_max, power_max))
+def _hard_rules(temp_max: float, power_max: float) -> list[Rule]:
+    return [
+        (f"temperature_c > {float(temp_max)}D", c.TEMP_HARD_LIMIT, "temperature_c"),
+        (f"power_kw > {float(power_max)}D", c.POWER_HARD_LIMIT, "power_kw"),
+    ]
+
+
+def _sigma_rules(min_history: int, sigmas: float, std_floor: float) -> list[Rule]:
+    # An empty frame has no deviation; that counts as not fired, not as unknown.
+    return [
+        (
+            f"coalesce({PRIOR} >= {min_history} AND {column}_std > {float(std_floor)}D "
+            f"AND abs({column} - {column}_mean) > {float(sigmas)}D * {column}_std, false)",
+            kind,
+            column,
+        )
+        for column, kind in (("temperature_c", c.TEMP_THREE_SIGMA), ("power_kw", c.POWER_THREE_SIGMA))
+    ]
 
 
-def _emit(rows: DataFrame, rules: list[tuple[Column, str, str]], extra: tuple[str, ...]) -> DataFrame:
+def _emit(rows: DataFrame, rules: list[Rule], extra: tuple[str, ...]) -> DataFrame:
     """One alert row for each rule that holds, from one pass over ``rows``."""
-    fired = rules[0][0]
-    for condition, _, _ in rules[1:]:
-        fired = fired | condition
-    kinds = F.array(*[
-        F.when(condition, F.struct(F.lit(kind).alias("type"), F.col(column).alias("value")))
-        for condition, kind, column in rules
-    ])
+    kinds = ", ".join(
+        f"if({condition}, named_struct('type', '{kind}', 'value', {column}), NULL)" for condition, kind, column in rules
+    )
     return (
-        rows.where(fired)
-        .select("device_id", "event_ts", *extra, F.inline(kinds))
-        .where(F.col("type").isNotNull())
+        rows.where(" OR ".join(condition for condition, _, _ in rules))
+        .selectExpr("device_id", "event_ts", *extra, f"inline(array({kinds}))")
+        .where("type IS NOT NULL")
         .select("device_id", "event_ts", "type", "value", *extra)
     )
 
 
-def _hard_rules(temp_max: float, power_max: float) -> list[tuple[Column, str, str]]:
-    return [
-        (F.col("temperature_c") > temp_max, c.TEMP_HARD_LIMIT, "temperature_c"),
-        (F.col("power_kw") > power_max, c.POWER_HARD_LIMIT, "power_kw"),
-    ]
-
-
-def _sigma_rule(column: str, kind: str, min_history: int, sigmas: float, std_floor: float) -> tuple[Column, str, str]:
-    mean, std = F.col(f"{column}_mean"), F.col(f"{column}_std")
-    off = F.abs(F.col(column) - mean) > F.lit(float(sigmas)) * std
-    # An empty frame has no mean; that counts as not fired, not as unknown.
-    fired = (F.col(PRIOR) >= min_history) & (std > std_floor) & off
-    return F.coalesce(fired, F.lit(False)), kind, column
+def anomaly_condition(temp_max: float = c.TEMP_LIMIT_C, power_max: float = c.POWER_LIMIT_KW) -> Column:
+    """Rows over either hard limit (strict)."""
+    return F.expr(" OR ".join(condition for condition, _, _ in _hard_rules(temp_max, power_max)))
 
 
-def _sigma_rules(min_history: int, sigmas: float, std_floor: float) -> list[tuple[Column, str, str]]:
-    return [
-        _sigma_rule("temperature_c", c.TEMP_THREE_SIGMA, min_history, sigmas, std_floor),
-        _sigma_rule("power_kw", c.POWER_THREE_SIGMA, min_history, sigmas, std_floor),
-    ]
+def anomalous_readings(
+    readings: DataFrame, temp_max: float = c.TEMP_LIMIT_C, power_max: float = c.POWER_LIMIT_KW
+) -> DataFrame:
+    return readings.where(anomaly_condition(temp_max, power_max))
 
 
 def hard_limit_alerts(
@@ -117,5 +115,5 @@ def alert_count_per_reading(
     rows = prior_stats(readings, "device_id", order_by, _SIGNALS, c.HISTORY_LENGTH, None, policy)
     rules = _hard_rules(c.TEMP_LIMIT_C, c.POWER_LIMIT_KW)
     rules += _sigma_rules(c.MIN_HISTORY, c.SIGMAS, c.STD_FLOOR)
-    fired = sum((condition.cast("int") for condition, _, _ in rules), F.lit(0))
-    return rows.select(*readings.columns, fired.alias("alerts"))
+    fired = " + ".join(f"int({condition})" for condition, _, _ in rules)
+    return rows.selectExpr(*readings.columns, f"{fired} AS alerts")

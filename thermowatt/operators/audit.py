@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .anomalies import alert_count_per_reading
 from .hot_groups import SplitPolicy
-from .validate import valid_readings
+from .validation import valid_readings
 
 
 def expected_sequence(spark, last: int, first: int = 1, key: str = "seq") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from ..functions import iso_text
 
@@ -13,9 +13,9 @@ def to_messages(df: DataFrame, key: str = "device_id", columns: list[str] | None
     With ``text`` that column is the value as it stands.
     """
     if text is not None:
-        return df.select(F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("value"))
-    fields = [
-        (iso_text(F.col(name)) if isinstance(df.schema[name].dataType, T.TimestampType) else F.col(name)).alias(name)
+        return df.selectExpr(f"cast({key} AS string) AS key", f"cast({text} AS string) AS value")
+    fields = ", ".join(
+        f"'{name}', {iso_text(name) if isinstance(df.schema[name].dataType, T.TimestampType) else name}"
         for name in columns or df.columns
-    ]
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    )
+    return df.selectExpr(f"cast({key} AS string) AS key", f"to_json(named_struct({fields})) AS value")

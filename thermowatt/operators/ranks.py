@@ -93,7 +93,7 @@ def latency_summary(
         "p95": at_fraction(0.95),
         "p99": at_fraction(0.99),
     }
-    unit = F.col(value) if decimals is None else to_units(F.col(value), decimals)
+    unit = value if decimals is None else to_units(value, decimals)
     found = order_statistics(
         df,
         [group],
@@ -101,24 +101,22 @@ def latency_summary(
         ranks,
         partial=[F.min(ts).alias("_from"), F.max(ts).alias("_to")],
         final=[
-            F.sum(unit * F.col("_copies")).alias("_total"),
+            F.expr(f"sum({unit} * _copies)").alias("_total"),
             F.min("_from").alias("_from"),
             F.max("_to").alias("_to"),
         ],
         policy=policy,
     )
-    seconds = (F.unix_micros(F.col("_to").cast("timestamp")) - F.unix_micros(F.col("_from").cast("timestamp"))) / 1e6
-    if decimals is None:
-        mean = round_half_even(F.col("_total") / F.col("n"), 4)
-    else:
-        mean = mean_of_units(F.col("_total"), F.col("n"), decimals, 4)
-    return found.select(
+    seconds = "(unix_micros(cast(_to AS timestamp)) - unix_micros(cast(_from AS timestamp))) / 1e6D"
+    throughput = f"n / greatest({min_elapsed}D, {seconds})"
+    mean = round_half_even("_total / n", 4) if decimals is None else mean_of_units("_total", "n", decimals, 4)
+    return found.selectExpr(
         group,
-        F.col("n").alias("messages"),
-        round_half_even(F.col("n") / F.greatest(F.lit(min_elapsed), seconds), 2).alias("throughput_msg_sec"),
-        round_half_even((F.col("_lower") + F.col("_upper")) / 2, 4).alias("p50_ms"),
-        *[round_half_even(F.col(p), 4).alias(f"{p}_ms") for p in ("p90", "p95", "p99")],
-        mean.alias("avg_ms"),
+        "n AS messages",
+        f"{round_half_even(throughput, 2)} AS throughput_msg_sec",
+        f"{round_half_even('(_lower + _upper) / 2', 4)} AS p50_ms",
+        *[f"{round_half_even(p, 4)} AS {p}_ms" for p in ("p90", "p95", "p99")],
+        f"{mean} AS avg_ms",
     )
 
 

@@ -14,28 +14,27 @@ def room_hourly_temperature(readings: DataFrame, decimals: int | None = None) ->
 
     ``decimals`` switches to exact whole-number sums, see ``rollup``.
     """
-    temp = F.col("temperature_c")
     if decimals is None:
-        average = F.round(F.avg(temp), 2)
+        average = "round(avg(temperature_c), 2)"
     else:
-        average = mean_of_units(F.sum(to_units(temp, decimals)), F.count(temp), decimals, 2)
+        total = f"sum({to_units('temperature_c', decimals)})"
+        average = mean_of_units(total, "count(temperature_c)", decimals, 2)
     return (
-        readings.groupBy("room", hour_of(F.col("event_ts")).alias("hour_window"))
-        .agg(average.alias("avg_temp"), F.round(F.max(temp), 2).alias("max_temp"))
+        readings.groupBy("room", F.expr(hour_of("event_ts")).alias("hour_window"))
+        .agg(F.expr(average).alias("avg_temp"), F.expr("round(max(temperature_c), 2)").alias("max_temp"))
         .orderBy("room", "hour_window")
     )
 
 
 def room_daily_power(readings: DataFrame, decimals: int | None = None) -> DataFrame:
     """Sum of the power readings per room and UTC day, in that order."""
-    power = F.col("power_kw")
     if decimals is None:
-        total = F.round(F.sum(power), 2)
+        total = "round(sum(power_kw), 2)"
     else:
-        total = sum_of_units(F.sum(to_units(power, decimals)), decimals, 2)
+        total = sum_of_units(f"sum({to_units('power_kw', decimals)})", decimals, 2)
     return (
-        readings.groupBy("room", day_of(F.col("event_ts")).alias("day_window"))
-        .agg(total.alias("total_power_kw"))
+        readings.groupBy("room", F.expr(day_of("event_ts")).alias("day_window"))
+        .agg(F.expr(total).alias("total_power_kw"))
         .orderBy("room", "day_window")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import round_half_even, text_number
+from ..functions import once, round_half_even, text_number
 
 # Fixed values: (device_id, room, lat, lon) of the known stations, and the
 # defaults and the power formula of the readings made from them.
@@ -27,36 +27,43 @@ def default_stations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(STATIONS, "device_id string, room string, lat double, lon double")
 
 
-def _measure(field: str, default: float) -> Column:
+def _measure(field: str, default: float) -> str:
     """Number at ``current.<field>``: the default when absent, null when unusable."""
-    raw = F.try_variant_get("current", f"$.{field}", "variant")
-    number = F.when(
-        F.schema_of_variant(raw) == "STRING", text_number(F.try_variant_get(raw, "$", "string"))
-    ).otherwise(F.try_variant_get(raw, "$", "double"))
-    usable = F.col("current").isNull() | F.schema_of_variant("current").startswith("OBJECT")
-    return F.when(usable & raw.isNull(), F.lit(default)).when(usable, number)
+    raw = f"try_variant_get(current, '$.{field}', 'variant')"
+    text = f"try_variant_get({raw}, '$', 'string')"
+    number = f"if(schema_of_variant({raw}) = 'STRING', {text_number(text)}, try_variant_get({raw}, '$', 'double'))"
+    return f"""CASE WHEN {raw} IS NOT NULL THEN {number}
+        WHEN current IS NULL OR schema_of_variant(current) LIKE 'OBJECT%' THEN {default}D END"""
 
 
-def weather_to_readings(responses: DataFrame, stations: DataFrame, as_of: Column | None = None) -> DataFrame:
+def weather_to_readings(
+    responses: DataFrame, stations: DataFrame, as_of: Column | None = None, small: int = 100_000
+) -> DataFrame:
     """Readings from responses ``(lat, lon, current variant)`` of known stations.
 
     A response whose temperature or wind is null or not a number is skipped.
-    ``event_ts`` is now unless ``as_of`` is given. Works on batch and streams;
-    Spark chooses the join from the size of ``stations``.
+    ``event_ts`` is now unless ``as_of`` is given. Works on batch and streams.
+    Up to ``small`` stations are broadcast; a larger table is joined by
+    shuffle, where adaptive execution splits hot stations.
     """
     ts = F.current_timestamp() if as_of is None else as_of
-    measured = responses.select(
-        "lat",
-        "lon",
-        ts.cast("timestamp").alias("event_ts"),
-        _measure("temperature_2m", DEFAULT_TEMPERATURE_C).alias("_temp"),
-        _measure("wind_speed_10m", DEFAULT_WIND).alias("_wind"),
+    found = (
+        f"named_struct('temp', {_measure('temperature_2m', DEFAULT_TEMPERATURE_C)}, "
+        f"'wind', {_measure('wind_speed_10m', DEFAULT_WIND)})"
     )
-    known = measured.join(stations.select("device_id", "room", "lat", "lon"), ["lat", "lon"])
-    return known.where(F.col("_temp").isNotNull() & F.col("_wind").isNotNull()).select(
+    measured = (
+        responses.select("lat", "lon", ts.cast("timestamp").alias("event_ts"), F.expr(found).alias("_found"))
+        .selectExpr("lat", "lon", "event_ts", f"{once('_found')} AS _m")
+        .where("_m.temp IS NOT NULL AND _m.wind IS NOT NULL")
+    )
+    places = stations.select("device_id", "room", "lat", "lon")
+    if places.limit(small + 1).count() <= small:
+        places = F.broadcast(places)
+    power = f"{BASE_POWER_KW}D + _m.wind * {POWER_PER_WIND}D"
+    return measured.join(places, ["lat", "lon"]).selectExpr(
         "device_id",
         "room",
         "event_ts",
-        round_half_even(F.col("_temp"), 2).alias("temperature_c"),
-        round_half_even(F.lit(BASE_POWER_KW) + F.col("_wind") * F.lit(POWER_PER_WIND), 3).alias("power_kw"),
+        f"{round_half_even('_m.temp', 2)} AS temperature_c",
+        f"{round_half_even(power, 3)} AS power_kw",
     )

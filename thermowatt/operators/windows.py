@@ -11,31 +11,26 @@ _KEYS = ["device_id", "window_start"]
 
 def _parts(decimals: int | None) -> list[Column]:
     """Mergeable partial aggregates of one window."""
-    temp, power = F.col("temperature_c"), F.col("power_kw")
+    temp, power = "temperature_c", "power_kw"
     if decimals is not None:
-        temp_sum, power_sum = to_units(temp, decimals), to_units(power, decimals)
-    else:
-        temp_sum, power_sum = temp, power
-    return [
-        F.sum(temp_sum).alias("temp_sum"),
-        F.max(temp).alias("temp_max"),
-        F.sum(power_sum).alias("power_sum"),
-        F.count(F.lit(1)).alias("n"),
-    ]
-
-
-def _finish(parts: DataFrame, decimals: int | None) -> DataFrame:
-    def mean(total: str, digits: int) -> Column:
-        if decimals is not None:
-            return mean_of_units(F.col(total), F.col("n"), decimals, digits)
-        return round_half_even(F.col(total) / F.col("n"), digits)
+        temp, power = to_units(temp, decimals), to_units(power, decimals)
+    parts = {"temp_sum": f"sum({temp})", "temp_max": "max(temperature_c)", "power_sum": f"sum({power})", "n": "count(1)"}
+    return [F.expr(e).alias(name) for name, e in parts.items()]
 
-    return parts.select(
-        *_KEYS,
-        mean("temp_sum", 2).alias("avg_temp"),
-        round_half_even(F.col("temp_max"), 2).alias("max_temp"),
-        mean("power_sum", 3).alias("avg_power"),
-        F.col("n").cast("int").alias("n"),
+
+def _finish(parts: DataFrame, decimals: int | None, start: str = "window_start") -> DataFrame:
+    def mean(total: str, digits: int) -> str:
+        if decimals is not None:
+            return mean_of_units(total, "n", decimals, digits)
+        return round_half_even(f"{total} / n", digits)
+
+    return parts.selectExpr(
+        "device_id",
+        f"{start} AS window_start",
+        f"{mean('temp_sum', 2)} AS avg_temp",
+        f"{round_half_even('temp_max', 2)} AS max_temp",
+        f"{mean('power_sum', 3)} AS avg_power",
+        "cast(n AS int) AS n",
     )
 
 
@@ -55,7 +50,7 @@ def rollup(
     rows = readings if watermark is None else readings.withWatermark("event_ts", watermark)
     # Group by the window itself: grouping by its start would lose the watermark.
     parts = rows.groupBy("device_id", F.window("event_ts", size)).agg(*_parts(decimals))
-    return _finish(parts.withColumn("window_start", F.col("window.start")), decimals)
+    return _finish(parts, decimals, "window.start")
 
 
 def rollup_parts(readings: DataFrame, size: str = "1 minute", decimals: int | None = None) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from ..operators.validate import valid_readings, validate
+from ..functions import once
+from ..operators.validation import valid_readings, validate
 from ..operators.weather import STATIONS
 
 ORDER = ["event_ts", "event_id"]
@@ -23,50 +24,51 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+_K = "cast(get_json_object(props, '$.k') AS int)"
 
 
 def readings_of(ev: DataFrame) -> DataFrame:
     """Readings contract plus ``event_id``; power is a multiple of 1/8."""
-    return ev.select(
-        F.concat(F.lit("sensor-"), F.col("user_id")).alias("device_id"),
-        F.concat(F.lit("Room-"), 200 + F.col("user_id") % 8).alias("room"),
-        F.col("ts").cast("timestamp").alias("event_ts"),
-        F.col("value").alias("temperature_c"),
-        (_k() / 8.0).alias("power_kw"),
+    return ev.selectExpr(
+        "concat('sensor-', user_id) AS device_id",
+        "concat('Room-', 200 + user_id % 8) AS room",
+        "cast(ts AS timestamp) AS event_ts",
+        "value AS temperature_c",
+        f"{_K} / 8D AS power_kw",
         "event_id",
     )
 
 
 def in_range_of(readings: DataFrame) -> DataFrame:
     """Readings the contract check lets through."""
-    return readings.where(F.col("temperature_c").between(-50.0, 120.0) & (F.col("power_kw") >= 0))
+    return readings.where("temperature_c BETWEEN -50D AND 120D AND power_kw >= 0")
 
 
 def raw_messages_of(ev: DataFrame) -> DataFrame:
     """``(event_id, ts, value)``: each event as a raw JSON message, 7 in 16 of them with a defect."""
-    r = readings_of(ev)
-    defect = F.col("event_id") % 16
-    stamp = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    temp = F.concat(F.lit('"temperature_c":'), F.col("temperature_c").cast("string"))
-    power = F.concat(F.lit('"power_kw":'), F.col("power_kw").cast("string"))
-    head = F.concat(
-        F.lit('{"device_id":"'), F.col("device_id"), F.lit('","room":"'), F.col("room"), F.lit('","event_ts":"')
+    stamped = readings_of(ev).selectExpr(
+        "event_id",
+        "event_ts AS ts",
+        """concat('{"device_id":"', device_id, '","room":"', room, '","event_ts":"') AS head""",
+        "concat(date_format(event_ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), 'Z\",') AS stamp",
+        """concat('"temperature_c":', temperature_c) AS temp""",
+        """concat('"power_kw":', power_kw) AS power""",
+        "temperature_c",
+        "power_kw",
     )
-    good_ts = F.concat(stamp, F.lit('Z",'))
-    comma, end = F.lit(","), F.lit("}")
-    text = (
-        F.when(defect == 0, F.concat(head, good_ts, F.lit('"temp": BROKEN_SYNTAX}')))
-        .when(defect == 1, F.concat(head, good_ts, power, end))
-        .when(defect == 2, F.concat(head, good_ts, temp, F.lit(',"power_kw":null}')))
-        .when(defect == 3, F.concat(head, good_ts, temp, F.lit(',"power_kw":-99.9}')))
-        .when(defect == 4, F.concat(head, good_ts, F.lit('"temperature_c":"abc",'), power, end))
-        .when(defect == 5, F.concat(F.lit("["), F.col("temperature_c").cast("string"), comma, F.col("power_kw").cast("string"), F.lit("]")))
-        .when(defect == 6, F.concat(head, F.lit('bad",'), temp, comma, power, end))
-        .otherwise(F.concat(head, good_ts, temp, comma, power, end))
+    return stamped.selectExpr(
+        "event_id",
+        "ts",
+        """CASE event_id % 16
+            WHEN 0 THEN concat(head, stamp, '"temp": BROKEN_SYNTAX}')
+            WHEN 1 THEN concat(head, stamp, power, '}')
+            WHEN 2 THEN concat(head, stamp, temp, ',"power_kw":null}')
+            WHEN 3 THEN concat(head, stamp, temp, ',"power_kw":-99.9}')
+            WHEN 4 THEN concat(head, stamp, '"temperature_c":"abc",', power, '}')
+            WHEN 5 THEN concat('[', temperature_c, ',', power_kw, ']')
+            WHEN 6 THEN concat(head, 'bad",', temp, ',', power, '}')
+            ELSE concat(head, stamp, temp, ',', power, '}') END AS value""",
     )
-    return r.select("event_id", F.col("event_ts").alias("ts"), text.alias("value"))
 
 
 def weather_lines_of(ev: DataFrame) -> DataFrame:
@@ -75,30 +77,27 @@ def weather_lines_of(ev: DataFrame) -> DataFrame:
     The shape of ``current`` depends on the event type, so absent, null and
     unusable measurements all occur.
     """
-    lat = F.element_at(F.array(*[F.lit(s[2]) for s in STATIONS]), (F.col("user_id") % len(STATIONS) + 1).cast("int"))
-    lon = F.element_at(F.array(*[F.lit(s[3]) for s in STATIONS]), (F.col("user_id") % len(STATIONS) + 1).cast("int"))
-    place = F.concat(F.lit('{"lat":'), lat.cast("string"), F.lit(',"lon":'), lon.cast("string"))
-    temp = F.col("value").cast("string")
-    wind = (_k() / 10.0).cast("string")
-    kind = F.col("event_type")
-    current = (
-        F.when(kind == "view", F.concat(F.lit(',"current":{"temperature_2m":'), temp, F.lit("}")))
-        .when(kind == "error", F.lit(',"current":{"temperature_2m":null}'))
-        .when(kind == "signup", F.lit(""))
-        .when(kind == "purchase", F.concat(F.lit(',"current":{"wind_speed_10m":'), wind, F.lit("}")))
-        .otherwise(F.concat(F.lit(',"current":{"temperature_2m":'), temp, F.lit(',"wind_speed_10m":'), wind, F.lit("}")))
-    )
-    return ev.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat(place, current, F.lit("}")).alias("line"))
+    lat = ", ".join(f"{s[2]}D" for s in STATIONS)
+    lon = ", ".join(f"{s[3]}D" for s in STATIONS)
+    station = f"int(user_id % {len(STATIONS)}) + 1"
+    temp, wind = """'"temperature_2m":', value""", f"""'"wind_speed_10m":', {_K} / 10D"""
+    current = f"""CASE event_type
+        WHEN 'view' THEN concat(',"current":{{', {temp}, '}}')
+        WHEN 'error' THEN ',"current":{{"temperature_2m":null}}'
+        WHEN 'signup' THEN ''
+        WHEN 'purchase' THEN concat(',"current":{{', {wind}, '}}')
+        ELSE concat(',"current":{{', {temp}, ',', {wind}, '}}') END"""
+    place = f"""'{{"lat":', element_at(array({lat}), {station}), ',"lon":', element_at(array({lon}), {station})"""
+    return ev.selectExpr("event_id", "cast(ts AS timestamp) AS ts", f"concat({place}, {current}, '}}') AS line")
 
 
 def weather_responses_of(lines: DataFrame) -> DataFrame:
     """Weather lines parsed to ``(lat, lon, current variant)`` and ``ts``."""
-    parsed = lines.select("ts", F.try_parse_json("line").alias("_doc"))
-    return parsed.select(
+    return lines.selectExpr("ts", f"{once('try_parse_json(line)')} AS _doc").selectExpr(
         "ts",
-        F.try_variant_get("_doc", "$.lat", "double").alias("lat"),
-        F.try_variant_get("_doc", "$.lon", "double").alias("lon"),
-        F.try_variant_get("_doc", "$.current", "variant").alias("current"),
+        "try_variant_get(_doc, '$.lat', 'double') AS lat",
+        "try_variant_get(_doc, '$.lon', 'double') AS lon",
+        "try_variant_get(_doc, '$.current', 'variant') AS current",
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.validate import decode
+from ..operators.validation import decode
 
 # Topic names.
 RAW_TOPIC = "sensors.raw"

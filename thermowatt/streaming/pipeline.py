@@ -11,8 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import contract as c
 from ..operators.anomalies import all_alerts
 from ..operators.hot_groups import SplitPolicy
-from ..operators.rollup import merge_rollup_parts, rollup_parts
-from ..operators.validate import rejected_rows, valid_readings, validate
+from ..operators.windows import merge_rollup_parts, rollup_parts
+from ..operators.validation import rejected_rows, valid_readings, validate
 from ..sinks.external import BatchSink
 from ..sinks.tables import BatchTable
 from .tails import DeviceTails

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import ROLLUPS
-from ..operators.rollup import rollup
+from ..operators.windows import rollup
 from ..sinks.tables import BatchTable
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
