@@ -1,0 +1,106 @@
+from collections import Counter
+
+import pytest
+
+from thermowatt import SplitPolicy, all_alerts, anomalous_readings, hard_limit_alerts, sigma_alerts
+from thermowatt.operators.history import last_rows
+
+from .helpers import bag, expected_alerts, numbered, random_readings, reading
+
+ALWAYS_SPLIT = SplitPolicy(parts=10, slices_per_group=8, min_bytes=0, min_rows=1)
+FINE_SPLIT = SplitPolicy(parts=100, slices_per_group=200, min_bytes=0, min_rows=1)
+
+
+def alerts(spark, rows, **kwargs):
+    found = all_alerts(numbered(spark, rows), ["event_ts", "seq"], extra=("seq",), **kwargs)
+    return bag(found, "device_id", "seq", "type", "value")
+
+
+def steady(n, device="s"):
+    return [reading(device, i, (22.0, 22.1, 22.2)[i % 3], 1.5) for i in range(n)]
+
+
+def test_hard_limits(spark):
+    rows = [reading("s", 0, 22, 1.5), reading("s", 1, 52, 1.5), reading("s", 2, 22, 15), reading("s", 3, 45.0, 10.0)]
+    found = hard_limit_alerts(numbered(spark, rows), extra=("seq",))
+    assert bag(found, "seq", "type", "value") == Counter(
+        {(1, "temp_spike_hard_limit", 52.0): 1, (2, "power_surge_hard_limit", 15.0): 1}
+    )
+    assert anomalous_readings(numbered(spark, rows)).count() == 2
+
+
+def test_needs_five_earlier_readings(spark):
+    wild = reading("s", 90, 40.0, 1.5)
+    assert alerts(spark, steady(4) + [wild]) == Counter()
+    assert alerts(spark, steady(5) + [wild]) == Counter({("s", 5, "temp_3_sigma_anomaly", 40.0): 1})
+
+
+def test_constant_history_is_quiet(spark):
+    assert alerts(spark, [reading("s", i, 22, 1.5) for i in range(9)] + [reading("s", 90, 23, 1.5)]) == Counter()
+
+
+def test_only_the_last_twenty_count(spark):
+    rows = [reading("s", 0, 44.9, 1.5)] + steady(24) + [reading("s", 90, 24.0, 1.5)]
+    assert alerts(spark, rows) == Counter({("s", 25, "temp_3_sigma_anomaly", 24.0): 1})
+
+
+def test_spike_after_steady_history(spark):
+    rows = steady(25) + [reading("s", 90, 60.0, 1.5)]
+    assert alerts(spark, rows) == Counter(
+        {("s", 25, "temp_spike_hard_limit", 60.0): 1, ("s", 25, "temp_3_sigma_anomaly", 60.0): 1}
+    )
+
+
+def test_four_alerts_in_fixed_order(spark):
+    rows = [reading("s", i, 22 + i % 3 / 10, 1.5 + i % 4 / 10) for i in range(10)] + [reading("s", 90, 60, 20)]
+    found = all_alerts(numbered(spark, rows).coalesce(1), ["event_ts", "seq"], extra=("seq",)).where("seq = 10")
+    assert [r["type"] for r in found.collect()] == [
+        "temp_spike_hard_limit", "power_surge_hard_limit", "temp_3_sigma_anomaly", "power_3_sigma_anomaly",
+    ]
+
+
+def test_limits_are_arguments(spark):
+    rows = steady(5) + [reading("s", 90, 40.0, 1.5)]
+    df = numbered(spark, rows)
+    assert sigma_alerts(df, ["event_ts", "seq"], min_history=6).count() == 0
+    assert sigma_alerts(df, ["event_ts", "seq"], std_floor=5).count() == 0
+    assert sigma_alerts(df, ["event_ts", "seq"], sigmas=1000).count() == 0
+    assert sigma_alerts(df, ["event_ts", "seq"], history=3, min_history=3).count() == 1
+    assert hard_limit_alerts(df, temp_max=22.05).count() == 4
+
+
+@pytest.mark.parametrize("policy", [SplitPolicy(), ALWAYS_SPLIT, FINE_SPLIT])
+@pytest.mark.parametrize("hot", [0.0, 0.4, 1.0])
+def test_random_readings_against_brute_force(spark, policy, hot):
+    rows = random_readings(1500, 12, seed=int(hot * 10), hot=hot)
+    assert alerts(spark, rows, policy=policy) == expected_alerts(rows)
+
+
+def test_hot_device_with_few_distinct_times(spark):
+    rows = [reading("d0", i // 300, 20 + i % 7 / 10 + (30 if i % 97 == 0 else 0), 2) for i in range(900)]
+    assert alerts(spark, rows, policy=FINE_SPLIT) == expected_alerts(rows)
+
+
+@pytest.mark.parametrize("policy", [SplitPolicy(), ALWAYS_SPLIT, FINE_SPLIT])
+@pytest.mark.parametrize("cut", [1, 7, 400])
+def test_seeds_continue_an_earlier_part(spark, policy, cut):
+    rows = random_readings(800, 5, seed=cut, hot=0.5)
+    order = ["event_ts", "seq"]
+    df = numbered(spark, rows)
+    seeds = last_rows(df.where(f"seq < {cut}"), "device_id", order, ["temperature_c", "power_kw"], 20)
+    later = all_alerts(df.where(f"seq >= {cut}"), order, extra=("seq",), seeds=seeds, policy=policy)
+    expected = Counter({k: n for k, n in expected_alerts(rows).items() if k[1] >= cut})
+    assert bag(later, "device_id", "seq", "type", "value") == expected
+
+
+def test_seeds_keep_arrival_order_over_two_steps(spark):
+    """The second part arrives late: its times lie before the first part's."""
+    first, second, third = steady(6), [reading("s", -50 + i, 30 + i, 1.5) for i in range(18)], steady(5)
+    rows = first + second + third
+    df, order, cols = numbered(spark, rows), ["event_ts", "seq"], ["temperature_c", "power_kw"]
+    one = last_rows(df.where("seq < 6"), "device_id", order, cols, 20)
+    two = last_rows(df.where("seq >= 6 and seq < 24"), "device_id", order, cols, 20, one)
+    assert [r["temperature_c"] for r in two.orderBy("_position").collect()] == [r[3] for r in rows[4:24]]
+    later = all_alerts(df.where("seq >= 24"), order, extra=("seq",), seeds=two)
+    expected = Counter({k: n for k, n in expected_alerts(rows).items() if k[1] >= 24})
+    assert bag(later, "device_id", "seq", "type", "value") == expected

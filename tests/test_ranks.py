@@ -1,0 +1,47 @@
+import random
+import statistics
+
+import pytest
+
+from thermowatt import SplitPolicy, latency_summary, order_statistics, timing_comparison
+from thermowatt.operators.ranks import at_fraction, lower_middle, upper_middle
+
+from .helpers import at
+
+SPLIT = SplitPolicy(parts=10, slices_per_group=32, min_bytes=0, min_rows=1)
+POLICIES = [SplitPolicy(), SPLIT]
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_three_thousand_latencies(spark, policy):
+    df = spark.createDataFrame([(10, float(v), at(v)) for v in range(3000)], "devices int, latency_ms double, ts timestamp")
+    row = latency_summary(df.repartition(4), "devices", "latency_ms", "ts", policy=policy).first().asDict()
+    assert row == {
+        "devices": 10, "messages": 3000, "throughput_msg_sec": round(3000 / 2999, 2), "p50_ms": 1499.5,
+        "p90_ms": 2700.0, "p95_ms": 2850.0, "p99_ms": 2970.0, "avg_ms": 1499.5,
+    }
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 99, 100, 1001])
+def test_positions_against_sorted_lists(spark, policy, n):
+    rng = random.Random(n)
+    data = {g: [round(rng.choice([0.0, rng.uniform(-5, 100)]), 2) for _ in range(n * (50 if g == "hot" else 1))] for g in ("hot", "a", "b")}
+    df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs], "g string, v double")
+    ranks = {"lower": lower_middle, "upper": upper_middle, "p90": at_fraction(0.9), "p99": at_fraction(0.99), "first": at_fraction(0.0)}
+    for row in order_statistics(df, ["g"], "v", ranks, policy=policy).collect():
+        values = sorted(data[row["g"]])
+        m = len(values)
+        assert row["n"] == m
+        assert (row["lower"] + row["upper"]) / 2 == statistics.median(values)
+        assert (row["p90"], row["p99"], row["first"]) == (values[int(m * 0.9)], values[int(m * 0.99)], values[0])
+
+
+@pytest.mark.parametrize("policy", POLICIES)
+def test_timing_comparison(spark, policy):
+    runs = {("q1", "x"): [3.0, 1.0, 2.0], ("q1", "y"): [5.0, 4.0], ("q2", "x"): [2.0], ("q2", "y"): [2.0], ("q3", "x"): [0.0], ("q3", "y"): [1.0]}
+    df = spark.createDataFrame([(q, e, i, s) for (q, e), v in runs.items() for i, s in enumerate(v)], "query string, engine string, run int, sec double")
+    found = {r["query"]: tuple(r)[1:] for r in timing_comparison(df, ["x", "y"], policy=policy).collect()}
+    assert found == {"q1": (2.0, 5.0, "x", 2.5), "q2": (2.0, 2.0, "y", 1.0), "q3": (0.0, 1.0, "x", 10000.0)}
+    even = {r["query"]: r["y_sec"] for r in timing_comparison(df, ["x", "y"], interpolate=True, policy=policy).collect()}
+    assert even["q1"] == 4.5

@@ -1,0 +1,139 @@
+import json
+
+import pytest
+
+from thermowatt import rejected_rows, split_valid, valid_readings, validate
+from thermowatt.contract import READINGS
+from thermowatt.streaming import stream_into
+
+BASE = {
+    "device_id": "sensor-01", "room": "Room-201", "event_ts": "2026-10-08T12:00:00.000Z",
+    "temperature_c": 22.5, "power_kw": 1.5,
+}
+
+
+def changed(**fields):
+    return json.dumps({**BASE, **fields})
+
+
+def without(*names):
+    return json.dumps({k: v for k, v in BASE.items() if k not in names})
+
+
+GOOD = [
+    (json.dumps(BASE), ("sensor-01", 22.5, 1.5)),
+    (changed(temperature_c=-50), ("sensor-01", -50.0, 1.5)),
+    (changed(temperature_c=120), ("sensor-01", 120.0, 1.5)),
+    (changed(temperature_c="22.0", power_kw=True, device_id=7), ("7", 22.0, 1.0)),
+    (changed(power_kw=False), ("sensor-01", 22.5, 0.0)),
+    (changed(temperature_c="1_0.5"), ("sensor-01", 10.5, 1.5)),
+    (changed(power_kw=1e-7), ("sensor-01", 22.5, 1e-7)),
+    (changed(power_kw=12345678901234567890123), ("sensor-01", 22.5, 1.2345678901234568e22)),
+    (changed(source="live", nested={"device_id": None}), ("sensor-01", 22.5, 1.5)),
+    (changed(event_ts="20261008"), ("sensor-01", 22.5, 1.5)),
+    (" \n" + json.dumps(BASE, indent=1) + "\n", ("sensor-01", 22.5, 1.5)),
+    (json.dumps(BASE)[:-1] + ', "device_id": "last"}', ("last", 22.5, 1.5)),
+]
+
+BAD = [
+    ("{invalid_json: 123", "malformed", "Malformed JSON"),
+    (json.dumps(BASE)[:-1] + ', "temp": BROKEN_SYNTAX}', "malformed", "Malformed JSON"),
+    ("", "malformed", "Malformed JSON"),
+    (None, "malformed", "Malformed JSON"),
+    ("   ", "malformed", "Malformed JSON"),
+    (json.dumps(BASE) + " x", "malformed", "Malformed JSON"),
+    (json.dumps(BASE) + json.dumps(BASE), "malformed", "Malformed JSON"),
+    (json.dumps(BASE) + "," + json.dumps(BASE), "malformed", "Malformed JSON"),
+    (json.dumps(BASE) + "]", "malformed", "Malformed JSON"),
+    (json.dumps(BASE).replace("22.5", "NaN"), "malformed", "Malformed JSON"),
+    (json.dumps(BASE).replace('"', "'"), "malformed", "Malformed JSON"),
+    ("1,2", "malformed", "Malformed JSON"),
+    ("[1,2]", "not_object", "Expected JSON object, got list"),
+    ('[{"device_id": 1}]', "not_object", "Expected JSON object, got list"),
+    ('"x"', "not_object", "Expected JSON object, got str"),
+    ("3", "not_object", "Expected JSON object, got int"),
+    (" -3.5", "not_object", "Expected JSON object, got float"),
+    ("true", "not_object", "Expected JSON object, got bool"),
+    ("null", "not_object", "Expected JSON object, got NoneType"),
+    ("{}", "missing:device_id", "Missing required field 'device_id'"),
+    (without("event_ts", "temperature_c", "power_kw"), "missing:event_ts", "Missing required field 'event_ts'"),
+    (without("temperature_c"), "missing:temperature_c", "Missing required field 'temperature_c'"),
+    (changed(temperature_c=None), "null:temperature_c", "Field 'temperature_c' cannot be null"),
+    (changed(power_kw=None), "null:power_kw", "Field 'power_kw' cannot be null"),
+    (json.dumps({"device_id": None, "room": "r"}), "null:device_id", "Field 'device_id' cannot be null"),
+    (changed(temperature_c="abc"), "type_cast", "Field type cast error"),
+    (changed(temperature_c=[1]), "type_cast", "Field type cast error"),
+    (changed(temperature_c="true"), "type_cast", "Field type cast error"),
+    (changed(temperature_c="22d"), "type_cast", "Field type cast error"),
+    (changed(temperature_c="NaN"), "type_cast", "Field type cast error"),
+    (changed(power_kw="inf"), "type_cast", "Field type cast error"),
+    (changed(power_kw="x").replace('"x"', "1e999"), "type_cast", "Field type cast error"),
+    (changed(event_ts="bad"), "type_cast", "Field type cast error"),
+    (changed(event_ts=5), "type_cast", "Field type cast error"),
+    (changed(event_ts=20261008), "type_cast", "Field type cast error"),
+    (changed(event_ts="2026-10-08T12:00:60.000Z"), "type_cast", "Field type cast error"),
+    (changed(power_kw=-5.0), "negative_power", "power_kw cannot be negative (-5.0)"),
+    (changed(power_kw=-99.9), "negative_power", "power_kw cannot be negative (-99.9)"),
+    (changed(power_kw=-5.0, temperature_c=200), "negative_power", "power_kw cannot be negative (-5.0)"),
+    (changed(temperature_c=-50.01), "temperature_range", "temperature_c out of physical range (-50.01)"),
+    (changed(temperature_c=120.01), "temperature_range", "temperature_c out of physical range (120.01)"),
+    (changed(temperature_c=12345678), "temperature_range", "temperature_c out of physical range (12345678.0)"),
+]
+
+
+@pytest.fixture(scope="module")
+def cases(spark):
+    return spark.createDataFrame(
+        [(i, t) for i, t in enumerate([t for t, _ in GOOD] + [t for t, _, _ in BAD])], "id long, value string"
+    )
+
+
+@pytest.fixture(scope="module")
+def checked(cases):
+    return {r["id"]: r for r in validate(cases).collect()}
+
+
+@pytest.mark.parametrize("i", range(len(GOOD)))
+def test_accepted(checked, i):
+    row = checked[i]
+    assert (row["reason_code"], row["reason"]) == (None, None)
+    assert (row["device_id"], row["temperature_c"], row["power_kw"]) == GOOD[i][1]
+
+
+@pytest.mark.parametrize("i", range(len(BAD)))
+def test_rejected_with_first_failure(checked, i):
+    row = checked[len(GOOD) + i]
+    assert row["reason_code"] == BAD[i][1], row["reason"]
+    assert row["reason"].startswith(BAD[i][2])
+
+
+def test_every_message_goes_to_exactly_one_side(cases):
+    readings, rejected = split_valid(validate(cases))
+    assert readings.count() == len(GOOD)
+    assert rejected.count() == len(BAD)
+    assert readings.columns == READINGS.names
+    assert rejected.columns == ["raw_payload", "reason", "ts"]
+
+
+def test_bytes_and_other_payload_column(spark):
+    df = spark.createDataFrame([(bytearray(json.dumps(BASE), "utf-8"), 4)], "body binary, offset long")
+    row = validate(df, payload="body").first()
+    assert (row["device_id"], row["offset"], row["reason_code"]) == ("sensor-01", 4, None)
+
+
+def test_stream_gives_the_same_reasons(spark, cases, checked, tmp_path):
+    cases.coalesce(2).write.parquet(str(tmp_path / "in"))
+    stream = validate(spark.readStream.schema(cases.schema).parquet(str(tmp_path / "in")))
+    rejected = rejected_rows(stream, extra=("id", "reason_code"))
+
+    def sink(df, batch_id):
+        df.write.mode("overwrite").parquet(str(tmp_path / f"out/batch_id={batch_id}"))
+
+    stream_into(rejected, sink, str(tmp_path / "checkpoint"), {"availableNow": True}).awaitTermination()
+    found = {r["id"]: r["reason_code"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == {i: r["reason_code"] for i, r in checked.items() if r["reason_code"]}
+
+
+def test_filter_does_not_repeat_the_parse(cases):
+    plan = valid_readings(validate(cases))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

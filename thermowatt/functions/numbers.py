@@ -40,7 +40,7 @@ def float_text(x: str) -> str:
     plain = rf"regexp_replace(cast(cast({x} AS decimal(38,21)) AS string), r'(\.\d+?)0+$', '$1')"
     mantissa = rf"regexp_replace(substring_index({text}, 'E', 1), r'\.0$', '')"
     exponent = f"try_cast(substring_index({text}, 'E', -1) AS int)"
-    power = f"concat(if({exponent} < 0, 'e-', 'e+'), lpad(cast(abs({exponent}) AS string), 2, '0'))"
+    power = f"concat(if({exponent} < 0, 'e-', 'e+'), format_string('%02d', abs({exponent})))"
     return f"""CASE WHEN {x} = 0 OR (abs({x}) >= 1e-3D AND abs({x}) < 1e7D) THEN {text}
         WHEN abs({x}) >= 1e-4D AND abs({x}) < 1e16D THEN {plain}
         ELSE concat({mantissa}, {power}) END"""

@@ -22,7 +22,7 @@ def _spread(text: str) -> str:
         (rf"^(.{{10}}.\d{{2}})(\d{{2}}){tail}", "$1:$2"),
         (rf"^(.{{10}}.\d{{2}}){tail}", "$1:00"),
         (rf"^(.{{10}}.\d{{2}}:\d{{2}}){tail}", "$1:00"),
-        (r"^(.{10})$", "$1T00:00:00"),
+        (r"^(.{10})Z?$", "$1T00:00:00"),
     ]
     for pattern, replacement in steps:
         text = f"regexp_replace({text}, r'{pattern}', '{replacement}')"

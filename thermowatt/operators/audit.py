@@ -101,16 +101,17 @@ def pipeline_stats(
     ``order_by`` columns come from ``validated``. Alerts and windows are
     counted from one shuffle by device.
     """
-    arrived = validated.agg(
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(F.col("reason_code").isNull()).alias("readings"),
-        F.count("reason_code").alias("rejected"),
+    arrived = validated.selectExpr(
+        "1 AS received", "int(reason_code IS NULL) AS readings", "int(reason_code IS NOT NULL) AS rejected",
+        "0 AS alerts", "0 AS aggregates",
     )
     extra = tuple(c for c in order_by if c != "event_ts")
     counted = alert_count_per_reading(valid_readings(validated, extra), order_by, policy)
     windows = counted.groupBy("device_id", F.window("event_ts", size)).agg(F.sum("alerts").alias("alerts"))
-    produced = windows.agg(
-        F.coalesce(F.sum("alerts"), F.lit(0)).alias("alerts"), F.count(F.lit(1)).alias("aggregates")
-    )
-    # Both sides are one row.
-    return arrived.withColumn("_one", F.lit(1)).join(produced.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    produced = windows.selectExpr("0 AS received", "0 AS readings", "0 AS rejected", "alerts", "1 AS aggregates")
+    return total_counters(arrived.unionByName(produced))
+
+
+def total_counters(rows: DataFrame) -> DataFrame:
+    """One row with the sum of every column, zero where there are no rows."""
+    return rows.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in rows.columns])

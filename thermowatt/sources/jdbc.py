@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contract import READINGS, conform
@@ -13,16 +11,6 @@ def postgres_url(host: str, port: int, dbname: str) -> str:
     return f"jdbc:postgresql://{host}:{port}/{dbname}"
 
 
-def time_slices(start: datetime, end: datetime, n: int, column: str = "event_ts") -> list[str]:
-    """``n`` half-open time ranges that cover all rows; the outer ones are open ended."""
-    step = (end - start) / n
-    cuts = [f"TIMESTAMP '{(start + i * step):%Y-%m-%d %H:%M:%S.%f}'" for i in range(1, n)]
-    if not cuts:
-        return ["1 = 1"]
-    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
-    return [f"{column} < {cuts[0]}", *inner, f"{column} >= {cuts[-1]}"]
-
-
 def read_readings_jdbc(
     spark: SparkSession, url: str, table: str = "readings", partitions: int = 32, properties: dict[str, str] | None = None
 ) -> DataFrame:
@@ -31,8 +19,11 @@ def read_readings_jdbc(
     The range comes from one MIN/MAX query that the database answers.
     """
     props = {"fetchsize": "10000", **(properties or {})}
-    bounds = spark.read.jdbc(url, table, properties=props).agg(F.min("event_ts"), F.max("event_ts")).first()
-    if bounds[0] is None:
-        return conform(spark.read.jdbc(url, table, properties=props), READINGS)
-    predicates = time_slices(bounds[0], bounds[1], partitions)
-    return conform(spark.read.jdbc(url, table, predicates=predicates, properties=props), READINGS)
+    whole = spark.read.jdbc(url, table, properties=props)
+    lowest, highest = whole.agg(F.min("event_ts").cast("string"), F.max("event_ts").cast("string")).first()
+    if lowest is None:
+        return conform(whole, READINGS)
+    split = spark.read.jdbc(
+        url, table, column="event_ts", lowerBound=lowest, upperBound=highest, numPartitions=partitions, properties=props
+    )
+    return conform(split, READINGS)

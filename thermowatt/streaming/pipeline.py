@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as c
 from ..operators.anomalies import all_alerts
+from ..operators.audit import total_counters
 from ..operators.hot_groups import SplitPolicy
 from ..operators.windows import merge_rollup_parts, rollup_parts
 from ..operators.validation import rejected_rows, valid_readings, validate
@@ -68,10 +69,9 @@ class PipelineTables:
 
     def counters(self, spark: SparkSession) -> DataFrame:
         """One row: received, readings, rejected, alerts and rollup windows so far."""
-        sums = self.stats.rows(spark).agg(*[F.sum(n).alias(n) for n in _COUNTERS])
-        windows = self.rollups(spark).agg(F.count(F.lit(1)).alias("aggregates"))
-        # Both sides are one row.
-        return sums.withColumn("_one", F.lit(1)).join(windows.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        counted = self.stats.rows(spark).selectExpr(*_COUNTERS, "0 AS aggregates")
+        windows = self.rollups(spark).selectExpr(*[f"0 AS {n}" for n in _COUNTERS], "1 AS aggregates")
+        return total_counters(counted.unionByName(windows))
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
