@@ -23,7 +23,8 @@ def read_readings_jdbc(
     lowest, highest = whole.agg(F.min("event_ts").cast("string"), F.max("event_ts").cast("string")).first()
     if lowest is None:
         return conform(whole, READINGS)
-    split = spark.read.jdbc(
-        url, table, column="event_ts", lowerBound=lowest, upperBound=highest, numPartitions=partitions, properties=props
-    )
+    ranges = {
+        "partitionColumn": "event_ts", "lowerBound": lowest, "upperBound": highest, "numPartitions": str(partitions)
+    }
+    split = spark.read.format("jdbc").options(url=url, dbtable=table, **ranges, **props).load()
     return conform(split, READINGS)
