@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from .hot_groups import SLICE, SplitPolicy, slice_groups
 
@@ -27,6 +27,14 @@ def _newest(rows: DataFrame, keys: list[str], order: list[Column], n: int) -> Da
     return rows.withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") <= n)
 
 
+def _stats(frame: WindowSpec, columns: list[str]) -> list[Column]:
+    stats = [F.count(F.lit(1)).over(frame).alias(PRIOR)]
+    for c in columns:
+        stats.append(F.avg(c).over(frame).alias(f"{c}_mean"))
+        stats.append(F.stddev_pop(c).over(frame).alias(f"{c}_std"))
+    return stats
+
+
 def prior_stats(
     readings: DataFrame,
     key: str,
@@ -47,6 +55,10 @@ def prior_stats(
     same as over the uncut key.
     """
     sliced = slice_groups(readings, [key], order_by[0], policy)
+    if sliced.cut_keys is None and seeds is None:
+        frame = Window.partitionBy(key).orderBy(*order_by).rowsBetween(-history, -1)
+        return readings.select("*", *_stats(frame, columns))
+
     rows = sliced.rows.withColumns({_FRESH: F.lit(1), _POSITION: F.lit(0), _GIVEN: F.lit(True)})
     order = _arrival(order_by)
     older = seeds
@@ -70,12 +82,8 @@ def prior_stats(
 
     frame_keys = [key] if sliced.cut_keys is None else [key, SLICE]
     frame = Window.partitionBy(*frame_keys).orderBy(*order).rowsBetween(-history, -1)
-    stats = [F.count(F.lit(1)).over(frame).alias(PRIOR)]
-    for c in columns:
-        stats.append(F.avg(c).over(frame).alias(f"{c}_mean"))
-        stats.append(F.stddev_pop(c).over(frame).alias(f"{c}_std"))
     helpers = (_FRESH, _POSITION, _GIVEN, *sliced.helper_columns)
-    return rows.select("*", *stats).where(_GIVEN).drop(*helpers)
+    return rows.select("*", *_stats(frame, columns)).where(_GIVEN).drop(*helpers)
 
 
 def last_rows(

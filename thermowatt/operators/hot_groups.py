@@ -1,33 +1,35 @@
 """Splitting of groups that are too large for one task.
 
 A group counts as hot when it holds more than one part in ``parts`` of all
-rows, so there can be at most ``parts`` hot groups and the tables kept about
-them have a fixed size limit. A hot group is cut along an ordering column at
-its own quantiles; the slices come in order, so work on one slice only needs a
-short carry from the slices before it.
+rows, so there are fewer than ``parts`` hot groups and what is kept about them
+has a fixed size limit. A hot group is cut along an ordering column at its own
+quantiles, into slices of about that size. The slices come in order, so work
+on one slice only needs a short carry from the slices before it.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 SLICE = "_slice"
 _CUTS = "_cuts"
-_CHUNK = 16
+_CHUNK = 64
 
 
 @dataclass(frozen=True)
 class SplitPolicy:
     """When and how finely to split.
 
-    Input whose estimated size is below ``min_bytes`` is never split: no group
-    of it can be too large for one task.
+    ``parts`` should be a few times the number of tasks the cluster runs at
+    once. Input with an estimated size below ``min_bytes`` is never split: no
+    group of it can be too large for one task. Nor is a group below ``min_rows``.
     """
 
-    parts: int = 1000
-    slices_per_group: int = 256
+    parts: int = 10_000
+    max_slices: int = 4096
     min_bytes: int = 256 << 20
     min_rows: int = 100_000
 
@@ -46,43 +48,48 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _hot_counts(df: DataFrame, keys: list[str], policy: SplitPolicy) -> list[tuple]:
-    """At most ``policy.parts`` rows (keys..., n) of the hot groups."""
+def _hot_counts(df: DataFrame, keys: list[str], policy: SplitPolicy) -> tuple[list[tuple], float]:
+    """Fewer than ``policy.parts`` rows (keys..., n) of the hot groups, and the row count that makes one hot."""
     totals = Observation()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(totals, F.sum("_n").alias("total"))
-    largest = counts.orderBy(F.desc("_n")).limit(policy.parts).collect()
-    total = totals.get["total"] or 0
-    limit = max(total / policy.parts, policy.min_rows)
-    return [tuple(r) for r in largest if r["_n"] > limit]
+    largest = counts.where(F.col("_n") > policy.min_rows).orderBy(F.desc("_n")).limit(policy.parts).collect()
+    limit = max((totals.get["total"] or 0) / policy.parts, policy.min_rows)
+    return [tuple(r) for r in largest if r["_n"] > limit], limit
 
 
-def _cut_value(df: DataFrame, order: str) -> tuple[Column, T.DataType]:
+def _cut_value(df: DataFrame, order: str) -> tuple[str, T.DataType]:
     """The ordering column in a type that is cheap to compare."""
     kind = df.schema[order].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order).cast("timestamp")), T.LongType()
+        return f"unix_micros(cast({order} AS timestamp))", T.LongType()
     if isinstance(kind, T.NumericType):
-        return F.col(order), kind
+        return order, kind
     raise TypeError(f"cannot cut groups along {order}: {kind.simpleString()}")
 
 
-def _cut_table(df: DataFrame, keys: list[str], order: str, hot: list[tuple], policy: SplitPolicy) -> DataFrame | None:
-    """Table (keys..., nested sorted cut points) with one row per hot group."""
+def _cut_table(
+    df: DataFrame, keys: list[str], order: str, hot: list[tuple], limit: float, policy: SplitPolicy
+) -> DataFrame:
+    """Table (keys..., sorted cut points in short arrays) with one row per hot group.
+
+    All groups together have at most about two cut points per part.
+    """
     spark = df.sparkSession
     key_fields = [df.schema[k] for k in keys]
     key_table = spark.createDataFrame([r[:-1] for r in hot], T.StructType(key_fields))
-    fractions = [i / policy.slices_per_group for i in range(1, policy.slices_per_group)]
     value, kind = _cut_value(df, order)
+    finest = min(policy.max_slices, math.ceil(max(r[-1] for r in hot) / limit))
+    fractions = [i / finest for i in range(1, finest)]
+    # A smaller group takes every so many of the cut points of the largest.
+    step = f"greatest(1, int({finest} / ceil(_n / {limit}D)))"
     found = (
-        df.select(*keys, value.alias("_value"))
+        df.selectExpr(*keys, f"{value} AS _value")
         .join(F.broadcast(key_table), keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.percentile_approx("_value", fractions, 2000).alias(_CUTS))
-        .select(*keys, F.array_sort(F.array_distinct(_CUTS)).alias(_CUTS))
+        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_value", fractions, 4 * finest).alias(_CUTS))
+        .selectExpr(*keys, f"array_sort(array_distinct(filter({_CUTS}, (c, i) -> (i + 1) % {step} = 0))) AS {_CUTS}")
         .collect()
     )
-    if not found:
-        return None
     nested = [
         (*[r[k] for k in keys], [r[_CUTS][i : i + _CHUNK] for i in range(0, len(r[_CUTS]), _CHUNK)])
         for r in found
@@ -91,12 +98,11 @@ def _cut_table(df: DataFrame, keys: list[str], order: str, hot: list[tuple], pol
     return spark.createDataFrame(nested, T.StructType([*key_fields, T.StructField(_CUTS, cuts_type)]))
 
 
-def _slice_number(order: Column) -> Column:
-    """How many cut points are at or below ``order``; found in two short steps."""
-    cuts = F.col(_CUTS)
-    chunk = F.size(F.filter(cuts, lambda c: c[0] <= order))
-    inside = F.size(F.filter(F.element_at(cuts, chunk), lambda c: c <= order))
-    return F.when(cuts.isNull() | (chunk == 0), 0).otherwise((chunk - 1) * _CHUNK + inside)
+def _slice_number(value: str) -> str:
+    """How many cut points are at or below ``value``; found in two short steps."""
+    chunk = f"size(filter({_CUTS}, c -> c[0] <= {value}))"
+    inside = f"size(filter(element_at({_CUTS}, {chunk}), c -> c <= {value}))"
+    return f"CASE WHEN {_CUTS} IS NULL OR {chunk} = 0 THEN 0 ELSE ({chunk} - 1) * {_CHUNK} + {inside} END"
 
 
 def slice_groups(df: DataFrame, keys: list[str], order: str, policy: SplitPolicy = SplitPolicy()) -> Sliced:
@@ -110,10 +116,10 @@ def slice_groups(df: DataFrame, keys: list[str], order: str, policy: SplitPolicy
     whole = Sliced(df.withColumn(SLICE, F.lit(0)), (SLICE,))
     if estimated_bytes(df) < policy.min_bytes:
         return whole
-    hot = _hot_counts(df, keys, policy)
-    table = _cut_table(df, keys, order, hot, policy) if hot else None
-    if table is None:
+    hot, limit = _hot_counts(df, keys, policy)
+    if not hot:
         return whole
-    # Bounded: at most `parts` rows of `slices_per_group` values.
-    rows = df.join(F.broadcast(table), keys, "left").withColumn(SLICE, _slice_number(_cut_value(df, order)[0]))
+    table = _cut_table(df, keys, order, hot, limit, policy)
+    # Bounded: fewer than `parts` rows with at most `max_slices` values in one of them.
+    rows = df.join(F.broadcast(table), keys, "left").withColumn(SLICE, F.expr(_slice_number(_cut_value(df, order)[0])))
     return Sliced(rows, (SLICE, _CUTS), table.select(*keys))

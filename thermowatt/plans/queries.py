@@ -268,7 +268,7 @@ def streamed_rollup(spark, sf_dir):
 
 def streamed_alerts(spark, sf_dir):
     root = shared_folder(spark, "alerts")
-    table = BatchTable(f"{root}/table", c.ALERTS, "event_ts")
+    table = BatchTable(f"{root}/table", c.ALERTS, "event_ts", rebalance=True)
     rows = _in_range_stream(spark, sf_dir)
     tails = DeviceTails(f"{root}/tails")
     stream_alerts(rows, table.add, tails, f"{root}/checkpoint", ORDER, _BOUNDED).awaitTermination()
@@ -277,7 +277,7 @@ def streamed_alerts(spark, sf_dir):
 
 def streamed_sigma_alerts(spark, sf_dir):
     root = shared_folder(spark, "sigma")
-    table = BatchTable(f"{root}/table", c.ALERTS, "event_ts")
+    table = BatchTable(f"{root}/table", c.ALERTS, "event_ts", rebalance=True)
     rows = _in_range_stream(spark, sf_dir)
     tails = DeviceTails(f"{root}/tails")
     query = stream_alerts(rows, table.add, tails, f"{root}/checkpoint", ORDER, _BOUNDED, hard_limits=False)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..contract import enforce
 
@@ -24,24 +24,40 @@ class BatchTable:
     Rows lie under ``event_date=…/batch_id=…`` (``batch_id=…`` without a time
     column). A batch overwrites only its own folders, so running it again after
     a failure leaves the table as if it had run once. Readers filter by
-    ``event_date`` to prune folders.
+    ``event_date`` to prune folders. With ``rebalance`` the rows are first
+    spread by date into files of even size: for rows that come out of a
+    shuffle, where every task would write a file for every date.
     """
 
     path: str
     schema: T.StructType
     ts: str | None = None
+    rebalance: bool = False
 
     def add(self, df: DataFrame, batch_id: int) -> None:
+        self._write(self._laid_out(df, batch_id))
+
+    def add_counted(self, df: DataFrame, batch_id: int) -> int:
+        """``add``, and how many rows it wrote."""
+        # Observed last: adaptive execution may drop what lies below an empty stage.
+        seen = Observation()
+        self._write(self._laid_out(df, batch_id).observe(seen, F.count(F.lit(1)).alias("n")))
+        return seen.get["n"]
+
+    def _laid_out(self, df: DataFrame, batch_id: int) -> DataFrame:
         rows = enforce(df, self.schema).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        folders = ["batch_id"]
         if self.ts is not None:
             rows = rows.withColumn("event_date", F.to_date(self.ts))
-            folders = ["event_date", "batch_id"]
+            if self.rebalance:
+                rows = rows.hint("rebalance", "event_date")
+        return rows
+
+    def _write(self, rows: DataFrame) -> None:
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "snappy")
-            .partitionBy(*folders)
+            .partitionBy(*([] if self.ts is None else ["event_date"]), "batch_id")
             .parquet(self.path)
         )
 

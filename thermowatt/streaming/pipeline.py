@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as c
@@ -55,8 +55,10 @@ class PipelineTables:
         tables = {
             "readings": BatchTable(f"{self.root}/readings", c.READINGS, "event_ts"),
             "rejected": BatchTable(f"{self.root}/rejected", c.REJECTED, "ts"),
-            "alerts": BatchTable(f"{self.root}/alerts", c.ALERTS, "event_ts"),
-            "parts": BatchTable(f"{self.root}/rollup_parts", _parts_schema(self.decimals), "window_start"),
+            "alerts": BatchTable(f"{self.root}/alerts", c.ALERTS, "event_ts", rebalance=True),
+            "parts": BatchTable(
+                f"{self.root}/rollup_parts", _parts_schema(self.decimals), "window_start", rebalance=True
+            ),
             "stats": BatchTable(f"{self.root}/stats", _STATS),
             "tails": DeviceTails(f"{self.root}/tails"),
         }
@@ -74,11 +76,6 @@ class PipelineTables:
         return total_counters(counted.unionByName(windows))
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
-
-
 def run_pipeline(
     raw: DataFrame,
     tables: PipelineTables,
@@ -104,24 +101,24 @@ def run_pipeline(
     checked = validate(raw.withColumn("_received_at", stamp), payload)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             readings = valid_readings(batch, extra)
             seeds = tables.tails.seeds(readings, batch_id)
-            kept, n_kept = _counted(readings)
-            tables.readings.add(kept, batch_id)
-            refused, n_refused = _counted(rejected_rows(batch, F.col("_received_at")))
-            tables.rejected.add(refused, batch_id)
-            alerts, n_alerts = _counted(all_alerts(readings, order_by, seeds=seeds, policy=policy))
-            tables.alerts.add(alerts, batch_id)
+            n_kept = tables.readings.add_counted(readings, batch_id)
+            n_refused = tables.rejected.add_counted(rejected_rows(batch, F.col("_received_at")), batch_id)
+            alerts = all_alerts(readings, order_by, seeds=seeds, policy=policy)
+            if alert_topic is not None:
+                alerts.persist(StorageLevel.MEMORY_AND_DISK)
+            n_alerts = tables.alerts.add_counted(alerts, batch_id)
             if alert_topic is not None:
-                written = tables.alerts.read(batch.sparkSession).where(F.col("batch_id") == batch_id)
-                alert_topic(written.select(*c.ALERTS.names), batch_id)
+                alert_topic(alerts, batch_id)
+                alerts.unpersist()
             tables.parts.add(rollup_parts(readings, size, tables.decimals), batch_id)
             tables.tails.advance(readings, batch_id, order_by, seeds)
-            counts = [n.get["n"] for n in (n_kept, n_refused, n_alerts)]
-            stats = batch.sparkSession.createDataFrame([(counts[0] + counts[1], *counts)], _STATS)
-            tables.stats.add(stats, batch_id)
+            counts = (n_kept + n_refused, n_kept, n_refused, n_alerts)
+            tables.stats.add(spark.createDataFrame([counts], _STATS), batch_id)
         finally:
             batch.unpersist()
 

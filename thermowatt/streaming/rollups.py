@@ -14,7 +14,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def versions_table(path: str) -> BatchTable:
-    return BatchTable(path, ROLLUPS, ts="window_start")
+    return BatchTable(path, ROLLUPS, "window_start", rebalance=True)
 
 
 def stream_rollup(
