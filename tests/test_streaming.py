@@ -110,7 +110,7 @@ def test_pipeline_over_batches_and_restart(spark, tmp_path, policy):
         feed(raw, str(tmp_path / "in"), cut)
         run_pipeline(
             as_stream(spark, raw, str(tmp_path / "in")), tables, str(tmp_path / "check"), ORDER, trigger=ONCE,
-            alert_topic=lambda df, batch_id: published.extend(df.collect()), policy=policy,
+            also={"alerts": lambda df, batch_id: published.extend(df.collect())}, policy=policy,
         ).awaitTermination()
     assert tables.readings.rows(spark).count() == len(kept)
     assert bag(tables.rejected.rows(spark), "raw_payload") == Counter((t,) for t in broken.values())
@@ -133,3 +133,23 @@ def test_pipeline_with_nothing_good_or_nothing_bad(spark, tmp_path):
         good = int(name == "good")
         assert counts == {"received": 1, "readings": good, "rejected": 1 - good, "alerts": 0, "aggregates": good}
         assert tables.alerts.rows(spark).count() == 0
+
+
+def test_unknown_output_is_refused(spark, tmp_path):
+    raw = spark.createDataFrame([("x", 0)], "value string, seq long")
+    with pytest.raises(ValueError, match="no such output"):
+        run_pipeline(raw, PipelineTables(str(tmp_path)), "unused", ORDER, also={"alert": print})
+
+
+def test_table_folder_as_stream(spark, tmp_path):
+    """The given table may be one file or a folder of files; both match the same pattern."""
+    from thermowatt.plans.queries import _event_stream
+    from thermowatt.plans.views import events
+
+    ev = events(spark, "/root/testdata/sf0.001")
+    ev.repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    counts = []
+    stream_into(
+        _event_stream(spark, str(tmp_path / "sf")), lambda df, i: counts.append(df.count()), str(tmp_path / "check"), ONCE
+    ).awaitTermination()
+    assert counts == [ev.count()]

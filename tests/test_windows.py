@@ -61,7 +61,7 @@ def test_late_readings_over_restarts(spark, tmp_path, watermark, first):
         rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
         stream_rollup(
-            stream, table, str(tmp_path / "checkpoint"), watermark=watermark, trigger={"availableNow": True}
+            stream, table.add, str(tmp_path / "checkpoint"), watermark=watermark, trigger={"availableNow": True}
         ).awaitTermination()
     found = {k[1]: v[3] for k, v in by_window(latest_rollups(spark, table)).items()}
     assert found == {"12:00": first, "12:01": 1, "12:09": 1, "12:10": 1}
@@ -76,3 +76,19 @@ def test_repeated_batch_leaves_one_copy(spark, tmp_path):
     assert table.rows(spark).count() == 3
     assert table.read(spark).where("event_date = '2026-10-09'").count() == 2
     assert Counter(r["batch_id"] for r in table.read(spark).collect()) == {0: 2, 1: 1}
+
+
+def test_closed_windows_come_once(spark, tmp_path):
+    table = versions_table(str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="watermark"):
+        stream_rollup(numbered(spark, []), table.add, "unused", closed_only=True)
+    for seconds in LATE:
+        rows = spark.createDataFrame([reading("s", s, 20, 1) for s in seconds], READING)
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        stream_rollup(
+            stream, table.add, str(tmp_path / "checkpoint"), watermark="60 seconds", closed_only=True,
+            trigger={"availableNow": True},
+        ).awaitTermination()
+    found = [(r["window_start"].strftime("%H:%M"), r["n"]) for r in table.rows(spark).orderBy("window_start").collect()]
+    assert found == [("12:00", 3), ("12:01", 1)]

@@ -262,7 +262,10 @@ def streamed_rollup(spark, sf_dir):
     root = shared_folder(spark, "rollup")
     table = versions_table(f"{root}/table")
     rows = _in_range_stream(spark, sf_dir)
-    stream_rollup(rows, table, f"{root}/checkpoint", "1 hour", decimals=_POWER_DECIMALS, trigger=_BOUNDED).awaitTermination()
+    query = stream_rollup(
+        rows, table.add, f"{root}/checkpoint", "1 hour", decimals=_POWER_DECIMALS, trigger=_BOUNDED
+    )
+    query.awaitTermination()
     return latest_rollups(spark, table)
 
 

@@ -84,7 +84,7 @@ def run_pipeline(
     payload: str = "value",
     size: str = "1 minute",
     trigger: dict | None = None,
-    alert_topic: BatchSink | None = None,
+    also: dict[str, BatchSink] | None = None,
     rejected_at: str | None = None,
     policy: SplitPolicy = SplitPolicy(),
 ) -> StreamingQuery:
@@ -93,9 +93,14 @@ def run_pipeline(
     Every message is parsed once; the checked batch is persisted while its
     outputs are written. ``order_by`` gives the arrival order inside a batch
     from the contract columns and the columns of ``raw``, for Kafka
-    ``["offset", "partition"]``. ``alert_topic`` also gets the alerts.
-    Rejected rows are stamped with the batch time, or the column ``rejected_at``.
+    ``["offset", "partition"]``. ``also`` names further sinks of the
+    ``readings``, ``rejected`` rows and ``alerts``, such as a topic or a
+    database. Rejected rows are stamped with the batch time, or the column
+    ``rejected_at``.
     """
+    others = also or {}
+    if unknown := others.keys() - {"readings", "rejected", "alerts"}:
+        raise ValueError(f"no such output: {sorted(unknown)}")
     extra = tuple(o for o in order_by if o not in c.READINGS.names)
     stamp = F.current_timestamp() if rejected_at is None else F.col(rejected_at).cast("timestamp")
     checked = validate(raw.withColumn("_received_at", stamp), payload)
@@ -106,19 +111,23 @@ def run_pipeline(
         try:
             readings = valid_readings(batch, extra)
             seeds = tables.tails.seeds(readings, batch_id)
-            n_kept = tables.readings.add_counted(readings, batch_id)
-            n_refused = tables.rejected.add_counted(rejected_rows(batch, F.col("_received_at")), batch_id)
-            alerts = all_alerts(readings, order_by, seeds=seeds, policy=policy)
-            if alert_topic is not None:
-                alerts.persist(StorageLevel.MEMORY_AND_DISK)
-            n_alerts = tables.alerts.add_counted(alerts, batch_id)
-            if alert_topic is not None:
-                alert_topic(alerts, batch_id)
-                alerts.unpersist()
+            outputs = {
+                "readings": readings,
+                "rejected": rejected_rows(batch, F.col("_received_at")),
+                "alerts": all_alerts(readings, order_by, seeds=seeds, policy=policy),
+            }
+            counts = {"received": 0}
+            for name, rows in outputs.items():
+                if name in others:
+                    rows.persist(StorageLevel.MEMORY_AND_DISK)
+                counts[name] = getattr(tables, name).add_counted(rows, batch_id)
+                if name in others:
+                    others[name](rows, batch_id)
+                    rows.unpersist()
+            counts["received"] = counts["readings"] + counts["rejected"]
             tables.parts.add(rollup_parts(readings, size, tables.decimals), batch_id)
             tables.tails.advance(readings, batch_id, order_by, seeds)
-            counts = (n_kept + n_refused, n_kept, n_refused, n_alerts)
-            tables.stats.add(spark.createDataFrame([counts], _STATS), batch_id)
+            tables.stats.add(spark.createDataFrame([tuple(counts[n] for n in _COUNTERS)], _STATS), batch_id)
         finally:
             batch.unpersist()
 

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import ROLLUPS
 from ..operators.windows import rollup
+from ..sinks.external import BatchSink
 from ..sinks.tables import BatchTable
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -19,27 +20,34 @@ def versions_table(path: str) -> BatchTable:
 
 def stream_rollup(
     readings: DataFrame,
-    table: BatchTable,
+    sink: BatchSink,
     checkpoint: str,
     size: str = "1 minute",
     watermark: str | None = None,
     decimals: int | None = None,
     trigger: dict | None = None,
+    closed_only: bool = False,
 ) -> StreamingQuery:
-    """Keep rollups of a stream up to date in ``table``, open windows included.
+    """Hand rollups of a stream to ``sink``.
 
-    Each batch adds the windows it changed; ``latest_rollups`` reads the newest
-    version of each. Set ``watermark`` on an endless stream, or the state grows
-    with every window ever seen. The state is kept in RocksDB, off the heap.
+    Each batch hands over the windows it changed, open ones included; keep them
+    in a ``versions_table`` and read the newest with ``latest_rollups``. With
+    ``closed_only`` every window comes once, when the watermark has passed it,
+    as a table without keys needs it.
+
+    Set ``watermark`` on an endless stream, or the state grows with every
+    window ever seen. The state is kept in RocksDB, off the heap.
     """
+    if closed_only and watermark is None:
+        raise ValueError("a window closes by the watermark, and there is none")
     spark = readings.sparkSession
     before = spark.conf.get(_STORE)
     spark.conf.set(_STORE, _ROCKSDB)
     try:
         return (
             rollup(readings, size, watermark, decimals)
-            .writeStream.outputMode("update")
-            .foreachBatch(table.add)
+            .writeStream.outputMode("append" if closed_only else "update")
+            .foreachBatch(sink)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"}))
             .start()
