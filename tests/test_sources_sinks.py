@@ -53,15 +53,15 @@ def test_empty_database_table(spark):
 
 
 def test_database_address():
-    assert postgres_url("db", 5432, "iot") == "jdbc:postgresql://db:5432/iot"
+    assert postgres_url("db", 5432, "telemetry") == "jdbc:postgresql://db:5432/telemetry"
 
 
 def test_kafka_options():
     assert source_options("broker:9092") == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "sensors.raw", "startingOffsets": "earliest",
     }
-    full = source_options("b:1", "t", "latest", "processor-group", 500, 12)
-    assert full["kafka.group.id"] == "processor-group"
+    full = source_options("b:1", "t", "latest", "group-1", 500, 12)
+    assert full["kafka.group.id"] == "group-1"
     assert (full["maxOffsetsPerTrigger"], full["minPartitions"]) == ("500", "12")
     assert kafka_sink_options("b:1", "sensors.alerts", "alerts") == {
         "kafka.bootstrap.servers": "b:1", "topic": "sensors.alerts", "kafka.client.id": "alerts",
