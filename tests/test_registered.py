@@ -53,3 +53,8 @@ def test_number_of_shuffles(spark, name, exchanges):
 def test_columns_are_pruned(spark):
     text = plan(spark, "q4_readings_per_device")
     assert "ReadSchema: struct<user_id:bigint>" in text
+
+
+def test_range_filter_reaches_the_scan(spark):
+    assert "LessThanOrEqual(value,120.0)" in plan(spark, "panel_total_readings")
+    assert "ReadSchema: struct<value:double>" in plan(spark, "panel_total_readings")

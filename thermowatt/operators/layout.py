@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame
 
 
 def by_device(df: DataFrame, n: int | None = None) -> DataFrame:
-    """Hash-partition by device, into ``n`` partitions or as many as AQE finds right."""
-    return df.repartition("device_id") if n is None else df.repartition(n, "device_id")
+    """Partition by device: by hash into ``n`` partitions, or into even ones of as many as fit.
+
+    Even partitions may share a device that is too large for one of them.
+    """
+    return df.hint("rebalance", "device_id") if n is None else df.repartition(n, "device_id")
 
 
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:

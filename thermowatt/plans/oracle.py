@@ -7,7 +7,7 @@ _R = """r AS (
   SELECT 'sensor-' || user_id AS device_id, 'Room-' || (200 + user_id % 8) AS room, ts AS event_ts,
          value AS temperature_c, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) / 8 AS power_kw, event_id
   FROM events)"""
-_V = _R + """, v AS (SELECT * FROM r WHERE temperature_c BETWEEN -50 AND 120 AND power_kw >= 0)"""
+_V = _R + """, v AS (SELECT * FROM r WHERE temperature_c BETWEEN -50 AND 120)"""
 
 _STAMP = "strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f')"
 _HEAD = "'{\"device_id\":\"' || device_id || '\",\"room\":\"' || room || '\",\"event_ts\":\"'"
