@@ -43,3 +43,15 @@ def test_one_value_only(spark):
     found = slice_groups(same, ["k"], "v", POLICY)
     assert found.rows.count() == 503
     assert found.rows.where("k = 'a'").select(SLICE).distinct().count() == 1
+
+
+def test_no_rows(spark):
+    found = slice_groups(rows(spark).where("v < 0"), ["k"], "v", POLICY)
+    assert found.cut_keys is None and found.rows.count() == 0
+
+
+def test_cut_along_offsets_as_from_a_topic(spark):
+    data = [("hot", i) for i in range(400)] + [(f"k{i}", i) for i in range(50)]
+    df = spark.createDataFrame(data, "k string, offset long")
+    found = slice_groups(df, ["k"], "offset", POLICY)
+    assert found.rows.where("k = 'hot'").select(SLICE).distinct().count() > 10

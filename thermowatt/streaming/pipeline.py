@@ -104,6 +104,8 @@ def run_pipeline(
     extra = tuple(o for o in order_by if o not in c.READINGS.names)
     stamp = F.current_timestamp() if rejected_at is None else F.col(rejected_at).cast("timestamp")
     checked = validate(raw.withColumn("_received_at", stamp), payload)
+    # The text of a good message is not needed any more.
+    checked = checked.withColumn("raw_payload", F.expr("if(reason_code IS NULL, NULL, raw_payload)"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -111,13 +113,17 @@ def run_pipeline(
         try:
             readings = valid_readings(batch, extra)
             seeds = tables.tails.seeds(readings, batch_id)
+            # Built one after the other: once the first is written, the size of
+            # the persisted batch is known, and the alerts can tell whether a
+            # device in it could be too large for one task.
             outputs = {
-                "readings": readings,
-                "rejected": rejected_rows(batch, F.col("_received_at")),
-                "alerts": all_alerts(readings, order_by, seeds=seeds, policy=policy),
+                "readings": lambda: readings,
+                "rejected": lambda: rejected_rows(batch, F.col("_received_at")),
+                "alerts": lambda: all_alerts(readings, order_by, seeds=seeds, policy=policy),
             }
-            counts = {"received": 0}
-            for name, rows in outputs.items():
+            counts = {}
+            for name, build in outputs.items():
+                rows = build()
                 if name in others:
                     rows.persist(StorageLevel.MEMORY_AND_DISK)
                 counts[name] = getattr(tables, name).add_counted(rows, batch_id)
