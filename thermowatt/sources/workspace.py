@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,10 +9,33 @@ from pyspark.sql import SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
+def _base(spark: SparkSession) -> str:
+    """The cluster's shared folder: its setting, else the context's checkpoint folder, else one below the warehouse."""
+    set_dir = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    if set_dir:
+        return set_dir
+    checkpoints = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if checkpoints.isDefined():
+        return checkpoints.get()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's shared folder (``spark.checkpoint.dir``).
+    """A new folder below the shared folder.
 
-    Only where that is unset, as in local tests, a temporary folder is used.
+    Never a folder of one machine only: where ``spark.checkpoint.dir`` is unset
+    the warehouse decides, which a cluster has to share anyway. A warehouse on
+    a local disk is refused unless the session runs on one machine.
     """
-    base = spark.conf.get(_SETTING, None) or tempfile.mkdtemp(prefix="run-")
+    base = _base(spark)
+    alone = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    if base.endswith("/_shared") and base.startswith(("file:", "/")) and not alone:
+        raise ValueError(f"set {_SETTING} to a folder that all executors share")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``shared_folder``, wherever it lies."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
