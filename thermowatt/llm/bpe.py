@@ -142,12 +142,13 @@ class Codec:
         self._start()
 
     def _start(self) -> None:
+        self.by_decimal = {str(i): token for i, token in enumerate(self.tokens)}
         self.memo: dict[str, str] = {}
         self.older: dict[str, str] = {}
         self.cuts = None
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("memo", "older", "cuts")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("by_decimal", "memo", "older", "cuts")}
 
     def __setstate__(self, state):
         self.__dict__ = state
@@ -192,8 +193,9 @@ class Codec:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         listed = self.listed(text)
-        ids = list(map(int, listed.split(","))) if listed else []
-        return len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
+        ids = listed.split(",") if listed else []
+        decoded = b"".join(map(self.by_decimal.__getitem__, ids))
+        return len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 def codec(spark: SparkSession, vocabulary: str, pattern: str):
