@@ -26,7 +26,14 @@ from .common import BLANKS, private_session, stored
 #: A group gets one copy of its text per so many hits to compare with, so a large group is compared by many tasks.
 HITS_PER_COPY = 1000
 
-_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small stores: only changes are saved after a batch, and no disk is set aside for files in advance.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.minBatchesToRetain": "2",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -46,7 +53,7 @@ def _rows(source: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
 
 def _keep_state(spark: SparkSession, path: str, batches: int, digest: Callable[[Column], Column]) -> DataFrame:
     """Run the stream; its final state as (digest, kept(no_id, doc_id, path, row), n)."""
-    own = private_session(spark, **{"spark.sql.streaming.stateStore.providerClass": _STATE})
+    own = private_session(spark, **_STATE)
     found = own.read.parquet(path)
     size = int(str(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     root = shared_folder(spark, "exact-dedup")
