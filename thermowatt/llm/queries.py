@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, exact_dedup, simhash
+from . import bpe, chat, exact_dedup, language, lines, mixing, neighbours, simhash, spans, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,31 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(rows, F.col("vec_id") % 20 == 0)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.warc_round_trip(spark, table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "'</s>[INST] ok [/INST]' AS text"
@@ -29,16 +54,41 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), shared).drop("text")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "line_no", "first_doc_id", "first_line_no")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op7_chat_formatting, op8_byte_bpe, op10_simhash)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_nearest_neighbours, op3_mixing, op4_warc, op5_language, op6_substring_dedup,
+    op7_chat_formatting, op8_byte_bpe, op9_line_dedup, op10_simhash, pipeline,
+)}
 
 _CONTROLS = r"([<\[])(\\*)(/?INST\]|<SYS>>|</SYS>>|<ROLE>>|</ROLE>>|</TEXT>>|/?s>)"
 
 ORACLE = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS newest, sha1(encode(html)) AS h FROM p)
+        SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+               list_aggregate(list_transform(range(32), i -> 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+                   CAST(('0x' || substr(h, CAST(i // 4 * 5 + 1 AS BIGINT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS BIGINT) & 31 AS BIGINT) + 1
+               ]), 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> newest THEN newest END AS refers_to
+        FROM g
+    """,
     "op1_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
