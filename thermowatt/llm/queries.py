@@ -82,9 +82,10 @@ ORACLE = {
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS newest, sha1(encode(html)) AS h FROM p)
         SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
-               list_aggregate(list_transform(range(32), i -> 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
-                   CAST(('0x' || substr(h, CAST(i // 4 * 5 + 1 AS BIGINT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS BIGINT) & 31 AS BIGINT) + 1
-               ]), 'string_agg', '') AS payload_digest,
+               array_to_string([
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(('0x' || h[i // 4 * 5 + 1 : i // 4 * 5 + 5])::BIGINT >> (15 - 5 * (i % 4))::BIGINT & 31) + 1]
+                   for i in range(32)
+               ], '') AS payload_digest,
                CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> newest THEN newest END AS refers_to
         FROM g
