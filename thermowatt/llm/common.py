@@ -15,7 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, with no lineage behind it."""
+    """``df`` written to the shared folder and read back: computed once, with no lineage behind it.
+
+    The small side of a join is stored as well where it comes from an aggregate over the join's own key:
+    both sides are then plain shuffles, of which adaptive execution can split a hot key.
+    """
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

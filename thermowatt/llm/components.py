@@ -13,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources import drop_folder, shared_folder
+from .common import stored
 
 
 def _minimum(pairs: DataFrame) -> DataFrame:
     """(u, m): the smallest of a node and its neighbours."""
-    return pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    return stored(pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least-neighbours")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

@@ -249,6 +249,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     rooted = stored(rooted, "line-places")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key", "line_no")
     firsts = rooted.groupBy("root").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first <> last")
+    firsts = stored(firsts, "line-firsts")
     return rooted.join(firsts, "root").where(order != F.col("first")).select(
         "doc_id", "doc_key", "line_no",
         F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"),

@@ -186,7 +186,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     roots = components(fingerprint_links(distinct.select("fp")), "a", "b")
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labelled = rooted.join(smallest, "root").select("fp", "component_id")
+    labelled = rooted.join(stored(smallest, "simhash-roots"), "root").select("fp", "component_id")
     return marked.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 

@@ -76,7 +76,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key", "first")
     ends = found.groupBy("hash").agg(F.min(place).alias("kept"), F.max(place).alias("other")).where("kept <> other")
-    return found.join(ends.select("hash", "kept"), "hash").where(place != F.col("kept")).select(
+    ends = stored(ends.select("hash", "kept"), "span-firsts")
+    return found.join(ends, "hash").where(place != F.col("kept")).select(
         "doc_id", "doc_key", "first", "last", F.col("kept.doc_id").alias("first_doc_id")
     )
 

@@ -90,7 +90,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, row_id: str =
         F.col(row_id).cast("long").alias("row_id"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     ).withColumn("same", F.when(F.length("payload") >= min_bytes, F.sha2("payload", 256)))
     groups = rows.groupBy("same").agg(F.max("row_id").alias("newest"))
-    rows = rows.join(groups, "same", "left").withColumn(
+    rows = rows.join(stored(groups, "warc-payloads"), "same", "left").withColumn(
         "refers_to", F.when(~F.col("row_id").eqNullSafe(F.col("newest")), F.col("newest"))
     ).select("row_id", "url", "payload", "refers_to")
 
