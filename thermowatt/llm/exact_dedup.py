@@ -77,7 +77,7 @@ def _keep_state(spark: SparkSession, path: str, batches: int, digest: Callable[[
     schema = "digest string, kept struct<no_id: boolean, doc_id: bigint, path: string, row: bigint>, n bigint"
     changes = spark.read.schema(schema).parquet(f"{root}/changes/*") if query.lastProgress else spark.createDataFrame([], schema)
     # A later batch has seen at least as many rows of the digest.
-    return changes.groupBy("digest").agg(F.max_by("kept", "n").alias("kept"), F.max("n").alias("n"))
+    return stored(changes.groupBy("digest").agg(F.max_by("kept", "n").alias("kept"), F.max("n").alias("n")), "exact-dedup-state")
 
 
 def exact_dedup(

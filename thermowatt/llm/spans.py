@@ -111,6 +111,9 @@ def _cut_out(lists: pd.Series, texts: pd.Series) -> pd.Series:
 def _without(lists: pd.Series, texts: pd.Series) -> pd.Series:
     out = []
     for gone, text in zip(lists, texts):
+        if gone is None:
+            out.append(text)
+            continue
         parts, at = [], 0
         for _, start, stop, _ in _passages([(g["first"], g["last"], None) for g in gone], text):
             parts.append(text[at:start])
