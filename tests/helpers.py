@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import random
+import statistics
 from collections import Counter, defaultdict, deque
 from datetime import datetime, timedelta, timezone
 
@@ -49,8 +49,7 @@ def expected_alerts(rows, history=20, sigmas=True, hard=True):
             out.append((device, seq, "power_surge_hard_limit", power))
         for values, x, kind in ((temps, temp, "temp_3_sigma_anomaly"), (powers, power, "power_3_sigma_anomaly")):
             if sigmas and len(values) >= 5:
-                mean = sum(values) / len(values)
-                std = math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
+                mean, std = statistics.fmean(values), statistics.pstdev(values)
                 if std > 0.05 and abs(x - mean) > 3.0 * std:
                     out.append((device, seq, kind, x))
             values.append(x)

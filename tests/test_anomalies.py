@@ -7,8 +7,8 @@ from thermowatt.operators.history import last_rows
 
 from .helpers import bag, expected_alerts, numbered, random_readings, reading
 
-ALWAYS_SPLIT = SplitPolicy(parts=10, min_bytes=0, min_rows=1)
-FINE_SPLIT = SplitPolicy(parts=600, min_bytes=0, min_rows=1)
+ALWAYS_SPLIT = SplitPolicy(rows_per_slice=40)
+FINE_SPLIT = SplitPolicy(rows_per_slice=3)
 
 
 def alerts(spark, rows, **kwargs):

@@ -54,3 +54,10 @@ def test_pipeline_counters(spark):
     raw = spark.createDataFrame([(good.format(i, 50 if i == 2 else 20), i) for i in range(4)] + [("x", 9)], "value string, seq int")
     stats = pipeline_stats(validate(raw), ["event_ts", "seq"]).first().asDict()
     assert stats == {"received": 5, "readings": 4, "rejected": 1, "alerts": 1, "aggregates": 4}
+
+
+def test_more_runs_than_a_number_has_bits(spark):
+    runs = {f"r{i}": seqs(spark, [i, i + 1]) for i in range(1, 71)}
+    found = delivery_audit(expected_sequence(spark, 72), runs).first()
+    assert (found["unique_processed"], found["missing"], found["duplicated"]) == (71, 1, 69)
+    assert found["processed_r1"] == found["processed_r63"] == found["processed_r70"] == 2

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from thermowatt.operators.hot_groups import SLICE, SplitPolicy, slice_groups
 
-POLICY = SplitPolicy(parts=20, min_bytes=0, min_rows=10)
+POLICY = SplitPolicy(rows_per_slice=150)
 
 
 def rows(spark):
@@ -17,7 +17,7 @@ def test_hot_group_is_cut_into_even_ordered_slices(spark):
     found = slice_groups(rows(spark), ["k"], "v", POLICY)
     assert [r["k"] for r in found.cut_keys.collect()] == ["hot"]
     sizes = Counter(r[SLICE] for r in found.rows.where("k = 'hot'").collect())
-    # One part is 150 rows, so a third of the rows makes seven slices.
+    # 1,000 rows in slices of 150.
     assert sorted(sizes) == list(range(7)) and max(sizes.values()) < 200
     spans = found.rows.where("k = 'hot'").groupBy(SLICE).agg(F.min("v").alias("a"), F.max("v").alias("b")).orderBy(SLICE).collect()
     assert all(x["b"] < y["a"] for x, y in zip(spans, spans[1:]))
@@ -26,7 +26,7 @@ def test_hot_group_is_cut_into_even_ordered_slices(spark):
 
 
 def test_more_slices_than_one_chunk(spark):
-    found = slice_groups(rows(spark), ["k"], "v", SplitPolicy(parts=600, min_bytes=0, min_rows=4))
+    found = slice_groups(rows(spark), ["k"], "v", SplitPolicy(rows_per_slice=5))
     sizes = Counter(r[SLICE] for r in found.rows.where("k = 'hot'").collect())
     assert sorted(sizes) == list(range(200)) and max(sizes.values()) < 12
     # Every other key is hot as well: 20 rows in slices of about five.
@@ -35,7 +35,7 @@ def test_more_slices_than_one_chunk(spark):
 
 
 def test_small_input_is_left_alone(spark):
-    assert slice_groups(rows(spark), ["k"], "v", SplitPolicy(min_bytes=0)).cut_keys is None
+    assert slice_groups(rows(spark), ["k"], "v", SplitPolicy()).cut_keys is None
 
 
 def test_one_value_only(spark):
@@ -53,5 +53,5 @@ def test_no_rows(spark):
 def test_cut_along_offsets_as_from_a_topic(spark):
     data = [("hot", i) for i in range(400)] + [(f"k{i}", i) for i in range(50)]
     df = spark.createDataFrame(data, "k string, offset long")
-    found = slice_groups(df, ["k"], "offset", POLICY)
+    found = slice_groups(df, ["k"], "offset", SplitPolicy(rows_per_slice=20))
     assert found.rows.where("k = 'hot'").select(SLICE).distinct().count() > 10

@@ -8,7 +8,7 @@ from thermowatt.operators.ranks import at_fraction, lower_middle, upper_middle
 
 from .helpers import at
 
-SPLIT = SplitPolicy(parts=40, min_bytes=0, min_rows=1)
+SPLIT = SplitPolicy(rows_per_slice=5)
 POLICIES = [SplitPolicy(), SPLIT]
 
 

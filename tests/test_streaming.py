@@ -10,7 +10,7 @@ from thermowatt.streaming import DeviceTails, PipelineTables, run_pipeline, stre
 
 from .helpers import bag, expected_alerts, numbered, random_readings, reading
 
-SPLIT = SplitPolicy(parts=10, min_bytes=0, min_rows=1)
+SPLIT = SplitPolicy(rows_per_slice=10)
 ONCE = {"availableNow": True}
 ORDER = ["event_ts", "seq"]
 

@@ -55,6 +55,9 @@ BAD = [
     (" -3.5", "not_object", "Expected JSON object, got float"),
     ("true", "not_object", "Expected JSON object, got bool"),
     ("null", "not_object", "Expected JSON object, got NoneType"),
+    ("\n[1]", "not_object", "Expected JSON object, got list"),
+    ("\t\"x\"", "not_object", "Expected JSON object, got str"),
+    ("\r\ntrue", "not_object", "Expected JSON object, got bool"),
     ("{}", "missing:device_id", "Missing required field 'device_id'"),
     (without("event_ts", "temperature_c", "power_kw"), "missing:event_ts", "Missing required field 'event_ts'"),
     (without("temperature_c"), "missing:temperature_c", "Missing required field 'temperature_c'"),

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..contract import READINGS
+from ..sources.workspace import shared_folder
 from .anomalies import alert_count_per_reading
 from .hot_groups import SplitPolicy
 from .validation import valid_readings
 
+_SIDES_PER_MASK = 62
+
 
 def expected_sequence(spark, last: int, first: int = 1, key: str = "seq") -> DataFrame:
     """Every number from ``first`` to ``last``."""
@@ -34,20 +38,29 @@ def duplicated_keys(first: DataFrame, second: DataFrame, key: str = "seq") -> Da
 def delivery_audit(expected: DataFrame, runs: dict[str, DataFrame], key: str = "seq") -> DataFrame:
     """One row: keys produced, handled per run and in all, missing, in more than one run, and the verdict.
 
-    One shuffle: every key is reduced to a bit mask of the sides it appears on.
+    One shuffle: every key is reduced to bit masks of the sides it appears on,
+    one mask for so many sides as a number has bits.
     """
     sides = [expected, *runs.values()]
-    marked = reduce(
-        DataFrame.union, [side.select(F.col(key), F.lit(1 << i).alias("mask")) for i, side in enumerate(sides)]
-    )
-    masks = marked.groupBy(key).agg(F.bit_or("mask").alias("mask"))
-    mask = F.col("mask")
-    handled = F.bit_count(mask.bitwiseAND((1 << len(sides)) - 2))
-    is_expected = mask.bitwiseAND(1) != 0
+    words = range(-(-len(sides) // _SIDES_PER_MASK))
+
+    def bits(i: int, word: int) -> Column:
+        return F.lit(1 << i % _SIDES_PER_MASK if i // _SIDES_PER_MASK == word else 0).cast("long")
+
+    marked = reduce(DataFrame.union, [
+        side.select(F.col(key), *[bits(i, w).alias(f"mask_{w}") for w in words]) for i, side in enumerate(sides)
+    ])
+    masks = marked.groupBy(key).agg(*[F.bit_or(f"mask_{w}").alias(f"mask_{w}") for w in words])
+
+    def seen_on(i: int) -> Column:
+        return F.col(f"mask_{i // _SIDES_PER_MASK}").bitwiseAND(bits(i, i // _SIDES_PER_MASK)) != 0
+
+    is_expected = seen_on(0)
+    handled = reduce(Column.__add__, [F.bit_count(f"mask_{w}") for w in words]) - is_expected.cast("int")
     report = masks.agg(
         F.count_if(is_expected).alias("produced"),
         *[
-            F.count_if(mask.bitwiseAND(1 << i) != 0).alias(f"processed_{name}")
+            F.count_if(seen_on(i)).alias(f"processed_{name}")
             for i, name in enumerate(runs, start=1)
         ],
         F.count_if(handled > 0).alias("unique_processed"),
@@ -98,9 +111,15 @@ def pipeline_stats(
 ) -> DataFrame:
     """One row of counters: messages received, readings, rejected, alerts and rollup windows.
 
-    ``order_by`` columns come from ``validated``. Alerts and windows are
-    counted from one shuffle by device.
+    ``order_by`` columns come from ``validated``. What the check found is
+    written to the shared folder once, without the texts, so every message is
+    parsed once. Alerts and windows are counted from one shuffle by device.
     """
+    needed = [*dict.fromkeys([*READINGS.names, *order_by]), "reason_code"]
+    path = shared_folder(validated.sparkSession, "checked")
+    checked = validated.select(*needed)
+    checked.write.parquet(path)
+    validated = validated.sparkSession.read.schema(checked.schema).parquet(path)
     arrived = validated.selectExpr(
         "1 AS received", "int(reason_code IS NULL) AS readings", "int(reason_code IS NOT NULL) AS rejected",
         "0 AS alerts", "0 AS aggregates",

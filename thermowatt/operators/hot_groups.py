@@ -1,10 +1,10 @@
 """Splitting of groups that are too large for one task.
 
-A group counts as hot when it holds more than one part in ``parts`` of all
-rows, so there are fewer than ``parts`` hot groups and what is kept about them
-has a fixed size limit. A hot group is cut along an ordering column at its own
-quantiles, into slices of about that size. The slices come in order, so work
-on one slice only needs a short carry from the slices before it.
+A group is hot when it holds more than ``rows_per_slice`` rows, as counted. It
+is cut along an ordering column at its own quantiles, into slices of about
+that many rows. The slices come in order, so work on one slice only needs a
+short carry from the slices before it. What is kept about hot groups is one
+cut point per slice, so never more than all rows divided by ``rows_per_slice``.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 SLICE = "_slice"
 _CUTS = "_cuts"
@@ -21,17 +21,9 @@ _CHUNK = 64
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """When and how finely to split.
+    """``rows_per_slice``: rows of one group that a task should work on at most. The rule is the same for any input size."""
 
-    ``parts`` should be a few times the number of tasks the cluster runs at
-    once. Input with an estimated size below ``min_bytes`` is never split: no
-    group of it can be too large for one task. Nor is a group below ``min_rows``.
-    """
-
-    parts: int = 10_000
-    max_slices: int = 4096
-    min_bytes: int = 256 << 20
-    min_rows: int = 100_000
+    rows_per_slice: int = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -43,18 +35,10 @@ class Sliced:
     cut_keys: DataFrame | None = None
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def _hot_counts(df: DataFrame, keys: list[str], policy: SplitPolicy) -> tuple[list[tuple], float]:
-    """Fewer than ``policy.parts`` rows (keys..., n) of the hot groups, and the row count that makes one hot."""
-    totals = Observation()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(totals, F.sum("_n").alias("total"))
-    largest = counts.where(F.col("_n") > policy.min_rows).orderBy(F.desc("_n")).limit(policy.parts).collect()
-    limit = max((totals.get["total"] or 0) / policy.parts, policy.min_rows)
-    return [tuple(r) for r in largest if r["_n"] > limit], limit
+def _hot_counts(df: DataFrame, keys: list[str], policy: SplitPolicy) -> list[tuple]:
+    """Rows (keys..., n) of the hot groups: fewer than all rows divided by ``rows_per_slice``."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return [tuple(r) for r in counts.where(F.col("_n") > policy.rows_per_slice).collect()]
 
 
 def _cut_value(df: DataFrame, order: str) -> tuple[str, T.DataType]:
@@ -68,17 +52,15 @@ def _cut_value(df: DataFrame, order: str) -> tuple[str, T.DataType]:
 
 
 def _cut_table(
-    df: DataFrame, keys: list[str], order: str, hot: list[tuple], limit: float, policy: SplitPolicy
+    df: DataFrame, keys: list[str], order: str, hot: list[tuple], policy: SplitPolicy
 ) -> DataFrame:
-    """Table (keys..., sorted cut points in short arrays) with one row per hot group.
-
-    All groups together have at most about two cut points per part.
-    """
+    """Table (keys..., sorted cut points in short arrays) with one row per hot group."""
     spark = df.sparkSession
     key_fields = [df.schema[k] for k in keys]
     key_table = spark.createDataFrame([r[:-1] for r in hot], T.StructType(key_fields))
     value, kind = _cut_value(df, order)
-    finest = min(policy.max_slices, math.ceil(max(r[-1] for r in hot) / limit))
+    limit = policy.rows_per_slice
+    finest = math.ceil(max(r[-1] for r in hot) / limit)
     fractions = [i / finest for i in range(1, finest)]
     # A smaller group takes every so many of the cut points of the largest.
     step = f"greatest(1, int({finest} / ceil(_n / {limit}D)))"
@@ -109,17 +91,15 @@ def slice_groups(df: DataFrame, keys: list[str], order: str, policy: SplitPolicy
     """Add a slice number that grows with ``order`` inside each group.
 
     Groups that are not hot have slice 0 only. In a hot group every slice from
-    1 on is non-empty, because each cut point is a value of that group. Runs up
-    to two small jobs to find the hot groups, none when the input is small.
+    1 on is non-empty, because each cut point is a value of that group. Runs a
+    job that counts groups, and one more for the cut points of hot ones.
     Hidden columns of the result are listed in ``helper_columns``.
     """
     whole = Sliced(df.withColumn(SLICE, F.lit(0)), (SLICE,))
-    if estimated_bytes(df) < policy.min_bytes:
-        return whole
-    hot, limit = _hot_counts(df, keys, policy)
+    hot = _hot_counts(df, keys, policy)
     if not hot:
         return whole
-    table = _cut_table(df, keys, order, hot, limit, policy)
-    # Bounded: fewer than `parts` rows with at most `max_slices` values in one of them.
+    table = _cut_table(df, keys, order, hot, policy)
+    # Bounded: one cut point per `rows_per_slice` rows.
     rows = df.join(F.broadcast(table), keys, "left").withColumn(SLICE, F.expr(_slice_number(_cut_value(df, order)[0])))
     return Sliced(rows, (SLICE, _CUTS), table.select(*keys))

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..contract import READINGS, TEMP_RANGE_C
 from ..functions import float_text, iso_instant, once, out_of_line, text_number
 
-# Reason codes in the order the checks are made. MISSING and NULL
-# carry the field name after a colon.
+# Reason codes in the order the checks are made, as the stored
+# tables know them. MISSING and NULL carry the field name after a colon. The
+# reason texts of `_checks` and the kind names are fixed values as well.
 MALFORMED = "malformed"
 NOT_OBJECT = "not_object"
 MISSING = "missing"
@@ -52,7 +53,7 @@ def _instant(field: str) -> str:
 
 
 # Name of a top-level JSON value that is not an object, as written in the reason.
-_KIND_NAME = r"""CASE left(ltrim(raw_payload), 1)
+_KIND_NAME = r"""CASE regexp_extract(raw_payload, r'^\s*(\S)', 1)
     WHEN '[' THEN 'list' WHEN '"' THEN 'str' WHEN 't' THEN 'bool' WHEN 'f' THEN 'bool' WHEN 'n' THEN 'NoneType'
     ELSE if(raw_payload RLIKE r'^\s*-?\d+\s*$', 'int', 'float') END"""
 

@@ -37,14 +37,13 @@ def _measure(field: str, default: float) -> str:
 
 
 def weather_to_readings(
-    responses: DataFrame, stations: DataFrame, as_of: Column | None = None, small: int = 100_000
+    responses: DataFrame, stations: DataFrame, as_of: Column | None = None
 ) -> DataFrame:
     """Readings from responses ``(lat, lon, current variant)`` of known stations.
 
     A response whose temperature or wind is null or not a number is skipped.
     ``event_ts`` is now unless ``as_of`` is given. Works on batch and streams.
-    Up to ``small`` stations are broadcast; a larger table is joined by
-    shuffle, where adaptive execution splits hot stations.
+    Spark knows the size of the station table and chooses the join.
     """
     ts = F.current_timestamp() if as_of is None else as_of
     found = (
@@ -57,8 +56,6 @@ def weather_to_readings(
         .where("_m.temp IS NOT NULL AND _m.wind IS NOT NULL")
     )
     places = stations.select("device_id", "room", "lat", "lon")
-    if places.limit(small + 1).count() <= small:
-        places = F.broadcast(places)
     power = f"{BASE_POWER_KW}D + _m.wind * {POWER_PER_WIND}D"
     return measured.join(places, ["lat", "lon"]).selectExpr(
         "device_id",

@@ -24,7 +24,7 @@ _J = _R + f""", j AS (
       WHEN 2 THEN {_GOOD} || {_TEMP} || ',"power_kw":null}}'
       WHEN 3 THEN {_GOOD} || {_TEMP} || ',"power_kw":-99.9}}'
       WHEN 4 THEN {_GOOD} || '"temperature_c":"abc",' || {_POWER} || '}}'
-      WHEN 5 THEN '[' || CAST(temperature_c AS VARCHAR) || ',' || CAST(power_kw AS VARCHAR) || ']'
+      WHEN 5 THEN chr(10) || '[' || CAST(temperature_c AS VARCHAR) || ',' || CAST(power_kw AS VARCHAR) || ']'
       WHEN 6 THEN {_HEAD} || 'bad",' || {_TEMP} || ',' || {_POWER} || '}}'
       ELSE {_GOOD} || {_TEMP} || ',' || {_POWER} || '}}' END AS raw_payload,
     CASE event_id % 16
@@ -78,9 +78,9 @@ def _units(column: str, decimals: int) -> str:
     return f"CAST(round({column} * {10**decimals}) AS BIGINT)"
 
 
-def _rollup(unit: str) -> str:
+def _rollup(unit: str, views: str = _V) -> str:
     temp, power = f"sum({_units('temperature_c', 3)})", f"sum({_units('power_kw', 3)})"
-    return f"""WITH {_V}
+    return f"""WITH {views}
 SELECT device_id, date_trunc('{unit}', event_ts) AS window_start, {_mean(temp, 'count(*)', 3, 2)} AS avg_temp,
        max(temperature_c) AS max_temp, {_mean(power, 'count(*)', 3, 3)} AS avg_power, CAST(count(*) AS INTEGER) AS n
 FROM v GROUP BY 1, 2"""
@@ -150,6 +150,10 @@ def _series(column: str, where: str = "") -> str:
     return f"WITH {_V} SELECT event_ts AS time, {column} AS value, room AS metric FROM v {where} ORDER BY time"
 
 
+_LAST_DAYS = "WHERE event_ts BETWEEN (SELECT max(ts) FROM events) - INTERVAL 15 DAY AND (SELECT max(ts) FROM events)"
+_ACCEPTED = f"{_J}, v AS (SELECT * FROM j WHERE reason_code IS NULL)"
+
+
 def oracle() -> dict[str, str]:
     batch = {
         "q1_room_hourly_temp": f"""WITH {_R}
@@ -183,6 +187,13 @@ SELECT reason, count(*) AS n FROM j WHERE reason_code IS NOT NULL GROUP BY reaso
         "hard_limit_alerts": f"WITH {_V} {_HARD.format('v')}",
         "three_sigma_alerts": f"WITH {_V}, {_sigma('v')} {_SIGMA}",
         "all_alerts": f"WITH {_A} SELECT * FROM a",
+        "hot_device_alerts": f"WITH {_A} SELECT * FROM a".replace("'sensor-' || user_id", "'sensor-' || (user_id % 3)"),
+        "readings_by_device": f"WITH {_R} SELECT device_id, CAST(1 AS BIGINT) AS partitions, count(*) AS n FROM r GROUP BY 1",
+        "stream_rollup_closed": f"""SELECT * FROM ({_rollup('hour')}) x WHERE window_start + INTERVAL 90 MINUTE <=
+            (WITH {_V} SELECT max(event_ts) FROM v)""",
+        "stream_pipeline_alerts": f"""WITH {_ACCEPTED}, {_sigma('v')},
+a AS ({_HARD.format('v')} UNION ALL {_SIGMA}) SELECT * FROM a""",
+        "stream_pipeline_rollups": _rollup("minute", _ACCEPTED),
         "alerts_by_type": f"WITH {_A} SELECT type, count(*) AS n FROM a GROUP BY type ORDER BY type",
         "rollup_1m": _rollup("minute"),
         "rollup_1h": _rollup("hour"),
@@ -194,11 +205,8 @@ SELECT count(*) AS minute_rollups FROM (SELECT DISTINCT device_id, date_trunc('m
 SELECT count(*) AS msgs_last_min FROM v WHERE event_ts >= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""",
         "panel_alert_count": f"WITH {_A} SELECT count(*) AS alert_count FROM a",
         "panel_rejected_count": f"WITH {_J} SELECT count(*) AS rejected_count FROM j WHERE reason_code IS NOT NULL",
-        "panel_temp_series": _series("temperature_c"),
-        "panel_power_series": _series(
-            "power_kw",
-            "WHERE event_ts BETWEEN (SELECT max(ts) FROM events) - INTERVAL 15 DAY AND (SELECT max(ts) FROM events)",
-        ),
+        "panel_temp_series": _series("temperature_c", _LAST_DAYS),
+        "panel_power_series": _series("power_kw", _LAST_DAYS),
         "recent_readings": f"WITH {_V} " + _recent("v", "event_ts", 10, _READING_COLUMNS, "device_id, room, temperature_c, power_kw"),
         "processed_sequences": f"WITH {_RUNS} SELECT seq FROM b UNION SELECT seq FROM c",
         "missing_sequences": f"""WITH {_RUNS}
@@ -229,7 +237,6 @@ FROM j""",
         )
     same_rows = {
         "parquet_export": "scan_readings",
-        "readings_by_device": "scan_readings",
         "stream_rollup": "rollup_1h",
         "stream_alerts": "three_sigma_alerts",
         "stream_all_alerts": "all_alerts",

@@ -5,17 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as c
 from ..operators import (
-    all_alerts, anomalous_readings, anomaly_count, by_device, count_by, count_since, delivery_audit,
+    SplitPolicy, all_alerts, anomalous_readings, anomaly_count, by_device, count_by, count_since, delivery_audit,
     duplicated_keys, default_stations, hard_limit_alerts, latency_summary, missing_keys, parity_check,
     pipeline_stats, processed_keys, readings_per_device, recent, rejected_rows, rollup, room_daily_power,
     room_hourly_temperature, row_count, series, sigma_alerts, timing_comparison, to_messages,
     top_anomalous_devices, valid_readings, validate, weather_to_readings,
 )
 from ..sinks import BatchTable, write_parquet
-from ..sources import read_readings, shared_folder, stream_parquet
+from ..sources import drop_folder, read_readings, shared_folder, stream_parquet
 from ..streaming import (
     DeviceTails, PipelineTables, latest_rollups, run_pipeline, stream_alerts, stream_into, stream_rollup,
     versions_table,
@@ -79,7 +80,10 @@ def reading_messages(spark, sf_dir):
 
 
 def readings_by_device(spark, sf_dir):
-    return by_device(scan_readings(spark, sf_dir))
+    """What a hash placement by device leads to: in how many partitions a device lies."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = by_device(scan_readings(spark, sf_dir), n).withColumn("at", F.spark_partition_id())
+    return placed.groupBy("device_id").agg(F.count_distinct("at").alias("partitions"), F.count(F.lit(1)).alias("n"))
 
 
 # Validation
@@ -140,6 +144,14 @@ def every_alert(spark, sf_dir):
     return _alerts(spark, sf_dir)
 
 
+def hot_device_alerts(spark, sf_dir):
+    """All events as readings of three devices, each cut into slices of a 64th of all rows."""
+    rows = views.in_range(spark, sf_dir).withColumn(
+        "device_id", F.concat(F.lit("sensor-"), F.pmod(F.substring_index("device_id", "-", -1).cast("long"), F.lit(3)))
+    )
+    return all_alerts(rows, ORDER, policy=SplitPolicy(max(1, rows.count() // 64)))
+
+
 def alerts_by_type(spark, sf_dir):
     return count_by(_alerts(spark, sf_dir), "type")
 
@@ -172,7 +184,8 @@ def throughput(spark, sf_dir):
 
 
 def temp_series(spark, sf_dir):
-    return series(views.in_range(spark, sf_dir), "temperature_c")
+    end = _newest(spark, sf_dir)
+    return series(views.in_range(spark, sf_dir), "temperature_c", end - F.expr("INTERVAL 15 DAYS"), end)
 
 
 def power_series(spark, sf_dir):
@@ -247,96 +260,141 @@ def timings(spark, sf_dir):
     return timing_comparison(runs, ["morning", "evening"])
 
 
-# Streams. Each runs over the whole table as one bounded stream, so that the
-# order of a device's readings does not depend on how the table is cut into files.
+# Streams. The events are landed in the shared folder in four parts, one after
+# the other. After each, the query is started again from its checkpoint, runs
+# until it has taken what is new, and stops.
+
+_PARTS = 4
+
+
+def _in_time(ev: DataFrame) -> Column:
+    """Part number by event time, so that a device's readings arrive in order."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = ev.agg(F.percentile_approx(at, [i / _PARTS for i in range(1, _PARTS)], 10_000)).first()[0] or []
+    return sum((F.when(at > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_parquet(spark, f"{sf_dir}/events*.parquet", views.EVENTS)
+def _interleaved(ev: DataFrame) -> Column:
+    """Part number by event id: every part but the first is full of late readings."""
+    return F.pmod("event_id", F.lit(_PARTS))
 
 
-def _in_range_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.in_range_of(views.readings_of(_event_stream(spark, sf_dir)))
+def _in_parts(
+    spark: SparkSession, sf_dir: str, root: str, start: Callable[[DataFrame, str], StreamingQuery],
+    part: Callable[[DataFrame], Column] = _in_time,
+) -> None:
+    ev = views.events(spark, sf_dir)
+    number = part(ev)
+    for i in range(_PARTS):
+        ev.where(number == i).write.parquet(f"{root}/landed/part-{i}")
+        start(stream_parquet(spark, f"{root}/landed/*", views.EVENTS), f"{root}/checkpoint").awaitTermination()
+    for used in ("landed", "checkpoint"):
+        drop_folder(spark, f"{root}/{used}")
+
+
+def _in_range_stream(ev: DataFrame) -> DataFrame:
+    return views.in_range_of(views.readings_of(ev))
 
 
 def streamed_rollup(spark, sf_dir):
     root = shared_folder(spark, "rollup")
     table = versions_table(f"{root}/table")
-    rows = _in_range_stream(spark, sf_dir)
-    query = stream_rollup(
-        rows, table.add, f"{root}/checkpoint", "1 hour", decimals=_POWER_DECIMALS, trigger=_BOUNDED
-    )
-    query.awaitTermination()
+
+    def start(ev: DataFrame, checkpoint: str) -> StreamingQuery:
+        return stream_rollup(
+            _in_range_stream(ev), table.add, checkpoint, "1 hour", decimals=_POWER_DECIMALS, trigger=_BOUNDED
+        )
+
+    _in_parts(spark, sf_dir, root, start, _interleaved)
     return latest_rollups(spark, table)
 
 
-def streamed_alerts(spark, sf_dir):
-    root = shared_folder(spark, "alerts")
-    table = BatchTable(f"{root}/table", c.ALERTS, "event_ts", rebalance=True)
-    rows = _in_range_stream(spark, sf_dir)
-    tails = DeviceTails(f"{root}/tails")
-    stream_alerts(rows, table.add, tails, f"{root}/checkpoint", ORDER, _BOUNDED).awaitTermination()
-    return table.rows(spark)
+def streamed_closed_rollup(spark, sf_dir):
+    root = shared_folder(spark, "closed")
+    table = BatchTable(f"{root}/table", c.ROLLUPS, "window_start", rebalance=True)
 
+    def start(ev: DataFrame, checkpoint: str) -> StreamingQuery:
+        return stream_rollup(
+            _in_range_stream(ev), table.add, checkpoint, "1 hour", "30 minutes", _POWER_DECIMALS, _BOUNDED, closed_only=True
+        )
 
-def streamed_sigma_alerts(spark, sf_dir):
-    root = shared_folder(spark, "sigma")
-    table = BatchTable(f"{root}/table", c.ALERTS, "event_ts", rebalance=True)
-    rows = _in_range_stream(spark, sf_dir)
-    tails = DeviceTails(f"{root}/tails")
-    query = stream_alerts(rows, table.add, tails, f"{root}/checkpoint", ORDER, _BOUNDED, hard_limits=False)
-    query.awaitTermination()
+    _in_parts(spark, sf_dir, root, start)
     return table.rows(spark)
 
 
-def _streamed(purpose: str, schema: str, build: Callable[[SparkSession, DataFrame], DataFrame]) -> Query:
+def _streamed_alerts(hard_limits: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_folder(spark, "alerts")
+        table = BatchTable(f"{root}/table", c.ALERTS, "event_ts", rebalance=True)
+        tails = DeviceTails(f"{root}/tails")
+
+        def start(ev: DataFrame, checkpoint: str) -> StreamingQuery:
+            rows = _in_range_stream(ev)
+            return stream_alerts(rows, table.add, tails, checkpoint, ORDER, _BOUNDED, hard_limits=hard_limits)
+
+        _in_parts(spark, sf_dir, root, start)
+        return table.rows(spark)
+
+    return run
+
+
+def _streamed(purpose: str, schema: T.StructType, build: Callable[[SparkSession, DataFrame], DataFrame]) -> Query:
     """A stateless operator run over the event stream into a table."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = shared_folder(spark, purpose)
-        table = BatchTable(f"{root}/table", T.StructType.fromDDL(schema))
-        stream_into(build(spark, _event_stream(spark, sf_dir)), table.add, f"{root}/checkpoint", _BOUNDED).awaitTermination()
+        table = BatchTable(f"{root}/table", schema)
+        _in_parts(spark, sf_dir, root, lambda ev, checkpoint: stream_into(build(spark, ev), table.add, checkpoint, _BOUNDED))
         return table.rows(spark)
 
     return run
 
 
-_READINGS_DDL = "device_id string, room string, event_ts timestamp, temperature_c double, power_kw double"
+def _with_event(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("event_id", T.LongType(), nullable=False)])
+
 
 streamed_reasons = _streamed(
     "reasons",
-    "event_id bigint, reason_code string, reason string",
+    T.StructType([
+        T.StructField("event_id", T.LongType(), nullable=False),
+        T.StructField("reason_code", T.StringType()),
+        T.StructField("reason", T.StringType()),
+    ]),
     lambda spark, ev: validate(views.raw_messages_of(ev)),
 )
 streamed_readings = _streamed(
     "accepted",
-    f"{_READINGS_DDL}, event_id bigint",
+    _with_event(c.READINGS),
     lambda spark, ev: valid_readings(validate(views.raw_messages_of(ev)), ("event_id",)),
 )
 streamed_rejects = _streamed(
     "rejected",
-    "raw_payload string, reason string, ts timestamp, event_id bigint",
+    _with_event(c.REJECTED),
     lambda spark, ev: rejected_rows(validate(views.raw_messages_of(ev)), F.col("ts"), ("event_id",)),
 )
-streamed_hard_alerts = _streamed(
-    "hard",
-    "device_id string, event_ts timestamp, type string, value double",
-    lambda spark, ev: hard_limit_alerts(views.in_range_of(views.readings_of(ev))),
-)
+streamed_hard_alerts = _streamed("hard", c.ALERTS, lambda spark, ev: hard_limit_alerts(_in_range_stream(ev)))
 streamed_weather = _streamed(
     "weather",
-    _READINGS_DDL,
+    c.READINGS,
     lambda spark, ev: weather_to_readings(
         views.weather_responses_of(views.weather_lines_of(ev)), default_stations(spark), F.col("ts")
     ),
 )
 
 
-def streamed_pipeline(spark, sf_dir):
-    root = shared_folder(spark, "pipeline")
-    tables = PipelineTables(root, decimals=_POWER_DECIMALS)
-    raw = views.raw_messages_of(_event_stream(spark, sf_dir))
-    run_pipeline(raw, tables, f"{root}/checkpoint", ORDER, trigger=_BOUNDED, rejected_at="ts").awaitTermination()
-    return tables.counters(spark)
+def _streamed_pipeline(output: Callable[[PipelineTables, SparkSession], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_folder(spark, "pipeline")
+        tables = PipelineTables(root, decimals=_POWER_DECIMALS)
+
+        def start(ev: DataFrame, checkpoint: str) -> StreamingQuery:
+            return run_pipeline(views.raw_messages_of(ev), tables, checkpoint, ORDER, trigger=_BOUNDED, rejected_at="ts")
+
+        _in_parts(spark, sf_dir, root, start)
+        return output(tables, spark)
+
+    return run
 
 
 _QUERIES: dict[str, Query] = {
@@ -359,6 +417,7 @@ _QUERIES: dict[str, Query] = {
     "hard_limit_alerts": hard_alerts,
     "three_sigma_alerts": three_sigma,
     "all_alerts": every_alert,
+    "hot_device_alerts": hot_device_alerts,
     "alerts_by_type": alerts_by_type,
     "rollup_1m": _rollup("1 minute"),
     "rollup_1h": _rollup("1 hour"),
@@ -384,14 +443,17 @@ _QUERIES: dict[str, Query] = {
     "latency_summary": latencies,
     "timing_comparison": timings,
     "stream_rollup": streamed_rollup,
-    "stream_alerts": streamed_sigma_alerts,
-    "stream_all_alerts": streamed_alerts,
+    "stream_rollup_closed": streamed_closed_rollup,
+    "stream_alerts": _streamed_alerts(hard_limits=False),
+    "stream_all_alerts": _streamed_alerts(hard_limits=True),
     "stream_hard_limit_alerts": streamed_hard_alerts,
     "stream_validate_reasons": streamed_reasons,
     "stream_valid_readings": streamed_readings,
     "stream_rejected_rows": streamed_rejects,
     "stream_weather_to_readings": streamed_weather,
-    "stream_pipeline_stats": streamed_pipeline,
+    "stream_pipeline_stats": _streamed_pipeline(lambda tables, spark: tables.counters(spark)),
+    "stream_pipeline_alerts": _streamed_pipeline(lambda tables, spark: tables.alerts.rows(spark)),
+    "stream_pipeline_rollups": _streamed_pipeline(lambda tables, spark: tables.rollups(spark)),
 }
 
 

@@ -65,7 +65,7 @@ def raw_messages_of(ev: DataFrame) -> DataFrame:
             WHEN 2 THEN concat(head, stamp, temp, ',"power_kw":null}')
             WHEN 3 THEN concat(head, stamp, temp, ',"power_kw":-99.9}')
             WHEN 4 THEN concat(head, stamp, '"temperature_c":"abc",', power, '}')
-            WHEN 5 THEN concat('[', temperature_c, ',', power_kw, ']')
+            WHEN 5 THEN concat('\\n[', temperature_c, ',', power_kw, ']')
             WHEN 6 THEN concat(head, 'bad",', temp, ',', power, '}')
             ELSE concat(head, stamp, temp, ',', power, '}') END AS value""",
     )

@@ -11,6 +11,9 @@ SETTINGS = {
     # Shuffle sizes and skewed joins are settled at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state lies on disk, off the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Building expressions does not record where each was written.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -12,17 +12,28 @@ def postgres_url(host: str, port: int, dbname: str) -> str:
 
 
 def read_readings_jdbc(
-    spark: SparkSession, url: str, table: str = "readings", partitions: int = 32, properties: dict[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    table: str = "readings",
+    partitions: int = 32,
+    properties: dict[str, str] | None = None,
+    predicates: list[str] | None = None,
 ) -> DataFrame:
-    """The five contract columns of a database table, read in parallel by time range.
+    """The five contract columns of a database table, read in parallel.
 
-    The range comes from one MIN/MAX query that the database answers.
+    By equal time ranges between the first and the last time, which a
+    sub-select makes the database find; or, where rows are uneven in time, by
+    one task for each of the caller's ``predicates``.
     """
     props = {"fetchsize": "10000", **(properties or {})}
-    whole = spark.read.jdbc(url, table, properties=props)
-    lowest, highest = whole.agg(F.min("event_ts").cast("string"), F.max("event_ts").cast("string")).first()
+    if predicates is not None:
+        return conform(spark.read.jdbc(url, table, predicates=predicates, properties=props), READINGS)
+    bounds = f"(SELECT MIN(event_ts) AS lo, MAX(event_ts) AS hi FROM {table}) b"
+    lowest, highest = spark.read.jdbc(url, bounds, properties=props).select(
+        F.col("lo").cast("string"), F.col("hi").cast("string")
+    ).first()
     if lowest is None:
-        return conform(whole, READINGS)
+        return conform(spark.read.jdbc(url, table, properties=props), READINGS)
     ranges = {
         "partitionColumn": "event_ts", "lowerBound": lowest, "upperBound": highest, "numPartitions": str(partitions)
     }

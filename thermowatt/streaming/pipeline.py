@@ -113,9 +113,8 @@ def run_pipeline(
         try:
             readings = valid_readings(batch, extra)
             seeds = tables.tails.seeds(readings, batch_id)
-            # Built one after the other: once the first is written, the size of
-            # the persisted batch is known, and the alerts can tell whether a
-            # device in it could be too large for one task.
+            # Built one after the other: the alerts count their devices, and the
+            # batch is persisted by then.
             outputs = {
                 "readings": lambda: readings,
                 "rejected": lambda: rejected_rows(batch, F.col("_received_at")),

@@ -10,9 +10,6 @@ from ..operators.windows import rollup
 from ..sinks.external import BatchSink
 from ..sinks.tables import BatchTable
 
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def versions_table(path: str) -> BatchTable:
     return BatchTable(path, ROLLUPS, "window_start", rebalance=True)
@@ -36,24 +33,19 @@ def stream_rollup(
     as a table without keys needs it.
 
     Set ``watermark`` on an endless stream, or the state grows with every
-    window ever seen. The state is kept in RocksDB, off the heap.
+    window ever seen. With the settings of ``session.configure`` the state is
+    kept in RocksDB, off the heap.
     """
     if closed_only and watermark is None:
         raise ValueError("a window closes by the watermark, and there is none")
-    spark = readings.sparkSession
-    before = spark.conf.get(_STORE)
-    spark.conf.set(_STORE, _ROCKSDB)
-    try:
-        return (
-            rollup(readings, size, watermark, decimals)
-            .writeStream.outputMode("append" if closed_only else "update")
-            .foreachBatch(sink)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": "5 seconds"}))
-            .start()
-        )
-    finally:
-        spark.conf.set(_STORE, before)
+    return (
+        rollup(readings, size, watermark, decimals)
+        .writeStream.outputMode("append" if closed_only else "update")
+        .foreachBatch(sink)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
 
 
 def latest_rollups(spark: SparkSession, table: BatchTable) -> DataFrame:

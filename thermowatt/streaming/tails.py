@@ -39,24 +39,21 @@ class DeviceTails:
     def _oldest_needed(self, batch_id: int) -> int:
         return (batch_id - 1) // self.full_every * self.full_every
 
-    def _latest(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+    def _latest(self, spark: SparkSession, batch_id: int, only: DataFrame | None = None) -> DataFrame | None:
+        """Newest tail of every device, or of those in ``only``; devices are picked before versions are compared."""
         if batch_id == 0:
             return None
         folders = [self._folder(v) for v in range(self._oldest_needed(batch_id), batch_id)]
-        return (
-            spark.read.schema(_SCHEMA)
-            .parquet(*folders)
-            .groupBy("device_id")
-            .agg(F.max_by("tail", "version").alias("tail"))
-        )
+        stored = spark.read.schema(_SCHEMA).parquet(*folders)
+        if only is not None:
+            stored = stored.join(only, "device_id", "left_semi")
+        return stored.groupBy("device_id").agg(F.max_by("tail", "version").alias("tail"))
 
     def seeds(self, readings: DataFrame, batch_id: int) -> DataFrame | None:
         """Stored rows ``(device_id, _position, signals...)`` of the devices in this batch."""
-        latest = self._latest(readings.sparkSession, batch_id)
-        if latest is None:
-            return None
         touched = readings.select("device_id").distinct()
-        return latest.join(touched, "device_id", "left_semi").select("device_id", F.inline("tail"))
+        latest = self._latest(readings.sparkSession, batch_id, touched)
+        return None if latest is None else latest.select("device_id", F.inline("tail"))
 
     def advance(self, readings: DataFrame, batch_id: int, order_by: list[str], seeds: DataFrame | None) -> None:
         """Store the state after this batch."""
