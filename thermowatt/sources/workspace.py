@@ -39,3 +39,10 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def list_folder(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, wherever they lie."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    return [str(f.getPath().toString()) for f in found or []]
