@@ -28,7 +28,7 @@ def read_readings_jdbc(
     props = {"fetchsize": "10000", **(properties or {})}
     if predicates is not None:
         return conform(spark.read.jdbc(url, table, predicates=predicates, properties=props), READINGS)
-    bounds = f"(SELECT MIN(event_ts) AS lo, MAX(event_ts) AS hi FROM {table}) b"
+    bounds = f"(SELECT MIN(\"event_ts\") AS lo, MAX(\"event_ts\") AS hi FROM {table}) b"
     lowest, highest = spark.read.jdbc(url, bounds, properties=props).select(
         F.col("lo").cast("string"), F.col("hi").cast("string")
     ).first()
