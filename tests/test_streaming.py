@@ -142,14 +142,10 @@ def test_unknown_output_is_refused(spark, tmp_path):
 
 
 def test_table_folder_as_stream(spark, tmp_path):
-    """The given table may be one file or a folder of files; both match the same pattern."""
-    from thermowatt.plans.queries import _event_stream
+    """The given table may be one file or a folder of files."""
+    from thermowatt.plans import registered
     from thermowatt.plans.views import events
 
-    ev = events(spark, "/root/testdata/sf0.001")
-    ev.repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
-    counts = []
-    stream_into(
-        _event_stream(spark, str(tmp_path / "sf")), lambda df, i: counts.append(df.count()), str(tmp_path / "check"), ONCE
-    ).awaitTermination()
-    assert counts == [ev.count()]
+    query, sf = registered()["stream_hard_limit_alerts"], "/root/testdata/sf0.001"
+    events(spark, sf).repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    assert bag(query(spark, str(tmp_path / "sf"))) == bag(query(spark, sf))
