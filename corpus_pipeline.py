@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from thermowatt.llm import bpe, language, lines, mixing, simhash
 from thermowatt.llm.common import stored, table
@@ -34,9 +34,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token ids, and whether these decode to the text."""
     shared = bpe.codec(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    encoded = docs.withColumn("token_ids", bpe.encode_column(F.col("text"), shared))
-    decoded = bpe.decode_column(F.col("token_ids"), shared) == F.coalesce("text", F.lit("")).cast("binary")
-    return encoded.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("round_trip", decoded)
+    return bpe.encode_documents(docs, shared)
 
 
 STAGES = [

@@ -33,7 +33,7 @@ def texts(n=600):
 
 def test_same_ids_as_the_library(library, shared):
     for t in texts():
-        ids = shared.value.encode(t)
+        ids = shared.value.encode(t).tolist()
         assert ids == library.encode_ordinary(t)
         assert shared.value.decode(ids) == t.encode()
 
@@ -42,7 +42,7 @@ def test_memo_of_two_generations(library, monkeypatch):
     monkeypatch.setattr(bpe, "MEMO_ENTRIES", 3)
     own = bpe.Codec([library.decode_single_token_bytes(i) for i in range(library.n_vocab)], P.PATTERN)
     for t in [*texts(50), *texts(50)]:
-        assert own.encode(t) == library.encode_ordinary(t)
+        assert own.encode(t).tolist() == library.encode_ordinary(t)
         assert len(own.memo) <= 4100 and len(own.older) <= 4100
 
 
@@ -72,3 +72,14 @@ def test_columns_round_trip(spark, shared):
     out = out.withColumn("raw", bpe.decode_column(out["ids"], shared))
     for r in out.collect():
         assert bytes(r.raw) == (r.text or "").encode()
+
+
+def test_documents_keep_their_columns(spark, shared, library):
+    rows = [(1, "Some text.", None), (None, None, 2), (3, "", 3), (3, "", 3), (2**60 + 1, "long text " * 30_000, 4)]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, n long, token_ids string")
+    out = bpe.encode_documents(df, shared)
+    assert out.columns == ["doc_id", "text", "n", "token_ids", "n_tokens", "round_trip"]
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    want = [(*r, ids, len(ids), True) for r in rows for ids in [library.encode_ordinary(r[1] or "")]]
+    assert got == sorted(want, key=str)
+    assert bpe.encode_documents(df.where("false"), shared).collect() == []

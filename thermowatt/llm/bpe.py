@@ -19,10 +19,12 @@ import heapq
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: Entries of a task's memo; a full one becomes the older of two, and its words move over when they come again.
 MEMO_ENTRIES = 250_000
@@ -184,12 +186,15 @@ class Codec:
             out += [known(t) or piece(t) for t in pretokens[at : at + 4096]]
         return "".join(out)[:-1]
 
-    def encode(self, text: str) -> list[int]:
-        listed = self.listed(text)
-        return list(map(int, listed.split(","))) if listed else []
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, four bytes each."""
+        return np.fromstring(self.listed(text), np.int32, sep=",")
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The bytes of ids; a long list is joined piece by piece."""
+        ids = np.asarray(ids, np.int32)
+        pieces = (map(self.tokens.__getitem__, ids[at : at + 65536].tolist()) for at in range(0, len(ids), 65536))
+        return b"".join([b"".join(p) for p in pieces])
 
     def digests(self, text: str) -> tuple[int, str, str]:
         listed = self.listed(text)
@@ -227,6 +232,38 @@ def decode_column(ids: Column, shared) -> Column:
     return decode(ids)
 
 
+def encode_documents(docs: DataFrame, shared) -> DataFrame:
+    """``docs`` with token_ids, n_tokens and round_trip (whether the ids decode to the text).
+
+    Encoded and decoded in one pass, a few hundred rows at a time, so that memory
+    does not depend on the size of the batches Spark hands over.
+    """
+    names = [c for c in docs.columns if c not in ("token_ids", "n_tokens", "round_trip")]
+    rows = docs.select(*names)
+    schema = T.StructType([
+        *rows.schema.fields,
+        T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("round_trip", T.BooleanType()),
+    ])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                ids = [own.encode(t) for t in texts]
+                yield pa.RecordBatch.from_arrays([
+                    *part.columns,
+                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array([own.decode(i) == t.encode() for i, t in zip(ids, texts)], pa.bool_()),
+                ], names=schema.names)
+
+    return rows.mapInArrow(encode, schema)
+
+
 def bpe_digests(docs: DataFrame, shared) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 and decoded_sha256 of its texts, encoded and decoded again."""
 
