@@ -5,7 +5,6 @@ import random
 import zlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from check_oracle import compare, connect
 from thermowatt.llm.warc import read_warc, record, write_warc
