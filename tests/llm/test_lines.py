@@ -102,6 +102,15 @@ def test_lengths_are_counted_anew(spark):
     assert {(r.doc_id, r.n_chars) for r in drop_repeated_lines(df).collect()} == {(1, 48), (2, 4), (3, 99)}
 
 
+def test_early_ends_do_not_change_the_answer():
+    rng = random.Random(4)
+    for _ in range(2000):
+        a = "".join(rng.choice("ab c") for _ in range(rng.randrange(20, 120)))
+        b = a if rng.random() < 0.3 else "".join(rng.choice("ab c") for _ in range(rng.randrange(20, 120)))
+        b = "".join(c if rng.random() > 0.02 else "#" for c in b) + "ab" * rng.randrange(10)
+        assert lines.similar(a, lines.shingles(b)) == (jaccard(a, b) >= lines.SIMILARITY)
+
+
 def test_large_buckets_give_two_candidates_a_member():
     keys, ids = np.repeat(np.array([5, 9], np.int64), [1000, 3]), np.arange(1003, dtype=np.int64)
     a, b, sent = lines.candidates(keys, ids)

@@ -117,7 +117,7 @@ def _sorted_distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _entries(groups: int):
-    """Task that turns (text) rows into candidates within the task (part -1: a, b) and band entries by group."""
+    """Task that turns (text) rows into band entries (key, line) by group, and candidates (line, line) found on the way."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held_keys, held_ids, seen = [], [], set()
@@ -142,16 +142,18 @@ def _entries(groups: int):
             held_keys, held_ids = [], []
             seen.clear()
             a, b, sent = candidates(keys, ids)
-            rows = [(-1, a, b)] if len(a) else []
+            rows = []
             keys, ids = keys[sent], ids[sent]
             part = (keys.view(np.uint64) >> np.uint64(8)) % np.uint64(groups)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(groups + 1, dtype=np.uint64))
             for g in np.flatnonzero(np.diff(cuts)).tolist():
                 own = order[cuts[g] : cuts[g + 1]]
-                rows.append((g, keys[own], ids[own]))
+                rows.append((g, False, keys[own], ids[own]))
+            for at in range(0, len(a), 65536):
+                rows.append(((int(a[at]) + at) % groups, True, a[at : at + 65536], b[at : at + 65536]))
             for at in range(0, len(rows), 64):
-                yield pd.DataFrame(rows[at : at + 64], columns=["part", "keys", "ids"])
+                yield pd.DataFrame(rows[at : at + 64], columns=["part", "paired", "keys", "ids"])
 
         for pdf in batches:
             for text in pdf["text"]:
@@ -171,21 +173,24 @@ def _entries(groups: int):
 
 
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys, ids = _sorted_distinct(np.concatenate(pdf["keys"].to_list()), np.concatenate(pdf["ids"].to_list()))
-    a, b, _ = candidates(keys, ids)
-    return pd.DataFrame({"a": a, "b": b})
+    paired = pdf["paired"].to_numpy(bool)
+    a, b = [x for x in pdf["keys"][paired]], [x for x in pdf["ids"][paired]]
+    if not paired.all():
+        keys, ids = _sorted_distinct(np.concatenate(pdf["keys"][~paired].to_list()), np.concatenate(pdf["ids"][~paired].to_list()))
+        met = candidates(keys, ids)
+        a.append(met[0]), b.append(met[1])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})[a != b].drop_duplicates()
 
 
 def candidate_pairs(docs: DataFrame) -> DataFrame:
     """Distinct (a, b), a > b: identifiers of lines that meet in some band."""
     spark = docs.sparkSession
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = stored(
-        docs.select("text").mapInPandas(_entries(groups), "part int, keys array<long>, ids array<long>"), "line-bands"
+    entries = docs.select("text").mapInPandas(
+        _entries(groups), "part int, paired boolean, keys array<long>, ids array<long>"
     )
-    local = entries.where("part = -1").select(F.explode(F.arrays_zip("keys", "ids")).alias("x")).select("x.keys", "x.ids").toDF("a", "b")
-    met = entries.where("part >= 0").groupBy("part").applyInPandas(_meet, "a long, b long")
-    return local.unionAll(met).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    return entries.groupBy("part").applyInPandas(_meet, "a long, b long").distinct()
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,16 +212,45 @@ def _lines_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"line": [line_id(x) for x in lines], "content": list(lines)})
 
 
+def shingles(line: str, start: int = 0, stop: int | None = None) -> set[str]:
+    """Shingles that begin in [start, stop)."""
+    last = len(line) - SHINGLE + 1
+    return {line[i : i + SHINGLE] for i in range(start, last if stop is None else min(stop, last))}
+
+
 def jaccard(a: str, b: str) -> float:
-    x = {a[i : i + SHINGLE] for i in range(len(a) - SHINGLE + 1)}
-    y = {b[i : i + SHINGLE] for i in range(len(b) - SHINGLE + 1)}
+    x, y = shingles(a), shingles(b)
     both = len(x & y)
     return both / (len(x) + len(y) - both)
 
 
+def similar(a: str, y: set[str]) -> bool:
+    """Whether the shingles of ``a`` and ``y`` have a Jaccard similarity of at least ``SIMILARITY``.
+
+    At that similarity less than a fifth of the places of ``a`` can begin a
+    shingle that is not in ``y``, and ``a`` has places for most of ``y``; parts
+    of ``a`` that show otherwise end the comparison early.
+    """
+    places = len(a) - SHINGLE + 1
+    if places < SIMILARITY * len(y) - 1e-6:
+        return False
+    x: set[str] = set()
+    for start, stop in ((0, places // 4), (places // 4, places // 2), (places // 2, places)):
+        x |= shingles(a, start, stop)
+        if len(x - y) > places - SIMILARITY * places + 1e-6:
+            return False
+    both = len(x & y)
+    return both / (len(x) + len(y) - both) >= SIMILARITY
+
+
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    last, own = None, set()
     for pdf in batches:
-        good = [jaccard(a, b) >= SIMILARITY for a, b in zip(pdf["content_a"], pdf["content_b"])]
+        good = []
+        for a, b in zip(pdf["content_a"], pdf["content_b"]):
+            if b != last:  # pairs come sorted by b from the join
+                last, own = b, shingles(b)
+            good.append(similar(a, own))
         yield pdf.loc[good, ["a", "b"]]
 
 
