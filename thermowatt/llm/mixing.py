@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 OTHER = "(other)"
 #: Rows of a hash bucket that numbers rows of one source.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 2_000
 #: Sources that can have a weight of their own.
 MAX_SOURCES = 1_000
 
