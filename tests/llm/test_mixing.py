@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from thermowatt.llm.mixing import OTHER, lay_out, mix, mixed_order, plan, shares, slot_of
+from thermowatt.llm.mixing import OTHER, lay_out, mix, mixed_order, plan, schedule, shares, slot_of
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -74,3 +74,59 @@ def test_mixed_order_keeps_columns_and_is_sorted(spark):
 
 def test_empty_table(spark):
     assert mix(documents(spark).where("false")).collect() == []
+
+
+def skewed(n):
+    return {f"s{i}": (1_000 if i == 0 else 1 + i % 7) ** 1.5 for i in range(n)}
+
+
+@pytest.mark.parametrize("n", [1, 20, 1_000, 1_500])
+def test_deviation_from_the_given_weights(n):
+    weights = skewed(n)
+    total, got = sum(weights.values()), Counter()
+    blocks = {s: 40 + int(30_000 * w / total) for s, w in weights.items()}
+    owed = sorted(weights, key=lambda s: blocks[s] / weights[s])
+    ends = int(blocks[owed[0]] / weights[owed[0]] * total)  # until then no source runs out
+    for s, k, slot, release, due in schedule(weights, blocks):
+        if slot >= ends:
+            break
+        assert k == got[s] and release <= slot < due
+        w = weights[s] / total
+        assert abs(release - k / w) <= 1 and (abs(due - (k + 1) / w) <= 1 or due > ends)
+        got[s] += 1
+        assert got[s] - (slot + 1) * w < 1 + 1e-9
+        if slot % 97 == 0:
+            assert all(abs(got[x] - (slot + 1) * v / total) < 1 + 1e-9 for x, v in weights.items())
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_deviation_from_the_flow_as_sources_run_out(seed):
+    rng = random.Random(seed)
+    weights = {f"s{i}": rng.random() ** 3 + 0.01 for i in range(12)} | {"none": 0.0}
+    blocks = {s: rng.randrange(0, 60) for s in weights}
+    rows = list(schedule(weights, blocks))
+    assert [r[2] for r in rows] == list(range(sum(blocks.values())))
+    assert Counter(r[0] for r in rows) == Counter(blocks)
+    given, got = {s: 0.0 for s in weights}, Counter()
+    for s, _, slot, _, _ in rows[: len(rows) - blocks["none"]]:
+        rest = 1.0
+        while rest > 1e-12:  # one slot of the flow, cut where a source runs out
+            active = {x: w for x, w in weights.items() if w and blocks[x] - given[x] > 1e-9}
+            if not active:
+                break
+            step = min([rest] + [(blocks[x] - given[x]) * sum(active.values()) / w for x, w in active.items()])
+            for x, w in active.items():
+                given[x] += step * w / sum(active.values())
+            rest -= step
+        got[s] += 1
+        assert all(abs(got[x] - given[x]) < 1 + 1e-6 for x in weights)
+
+
+def test_every_source_has_a_weight_of_its_own(spark):
+    rows = [(i, f"s{i % 1_200}") for i in range(4_800)] + [(10_000 + i, "hot") for i in range(9_000)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, source string"), block_rows=2).collect()
+    assert {r.mix_source for r in got} == {r[1] for r in rows}
+    total = 1_200 * 2 + 9_000**0.5
+    hot = sorted(r.mix_slot for r in got if r.source == "hot")
+    first = [x for x in hot if x < 2_000]
+    assert abs(len(first) / 2 - 2_000 * 9_000**0.5 / total) < 1
