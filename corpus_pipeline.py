@@ -50,7 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the last stage, with mix_position: the mixed order they are to be read in."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if stage is mixing_stage:
+            docs = mixing.positioned(docs)
     return docs

@@ -1,9 +1,11 @@
 import itertools
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import pytest
 from thermowatt.llm.common import stored
+from thermowatt.llm.mixing import mix, mixed_order, positioned
 
 from .test_lines import brute as brute_lines
 from .test_simhash import naive_fingerprint, roots
@@ -64,3 +66,29 @@ def test_tokens_decode_to_the_text(steps):
 def test_run_gives_the_same(spark, steps):
     key = lambda df: sorted((r.doc_id, r.n_tokens, zlib.crc32(str(r.token_ids).encode())) for r in df.collect())
     assert key(corpus_pipeline.run(spark, SF)) == key(steps[5])
+
+
+def test_run_carries_the_mixed_order(spark, steps):
+    rows = sorted(corpus_pipeline.run(spark, SF).collect(), key=lambda r: r.mix_position)
+    assert [r.mix_position for r in rows] == list(range(len(rows)))
+    assert [r.doc_id for r in rows] == [r.doc_id for r in mix(steps[3]).orderBy("mix_position").collect()]
+
+
+def test_order_is_read_from_files_however_they_are_packed(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('s', CAST(log2(1 + id % 512) AS INT)) AS source", "'x' AS text")
+    docs = stored(mixed_order(docs, block_rows=8), "test-order")
+    rows = sorted(positioned(docs).repartition(7, "doc_id").collect(), key=lambda r: r.mix_position)
+    assert [r.mix_position for r in rows] == list(range(20_000))
+    deviates_less_than(rows, block=8)
+
+
+def deviates_less_than(rows, block):
+    """Before a source ends each has had its weight, to within a block (and the slot's own)."""
+    sizes, got = Counter(r.source for r in rows), Counter()
+    weights = {s: n**0.5 / sum(x**0.5 for x in sizes.values()) for s, n in sizes.items()}
+    for at, r in enumerate(rows, 1):
+        got[r.source] += 1
+        if got[r.source] > sizes[r.source] - block:
+            break
+        assert all(abs(got[s] - at * w) < 2 * block for s, w in weights.items())
+    assert len(rows) > block and at > block

@@ -266,3 +266,20 @@ def mix(
 def mixed_order(docs: DataFrame, **options) -> DataFrame:
     """The rows and columns of ``docs``, sorted into mixed order over all partitions."""
     return mix(docs, **options).orderBy("mix_position").select(*docs.columns)
+
+
+def positioned(mixed: DataFrame) -> DataFrame:
+    """A stored and reread ``mixed_order`` with mix_position: each row's place, by the number of its file and its place there.
+
+    How Spark packs files into tasks when it reads them doesn't matter.
+    """
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    piece = F.coalesce(F.regexp_extract("_metadata.file_name", r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
+    placed = mixed.select(
+        "*", part.alias("_part"), piece.alias("_piece"), F.col("_metadata.row_index").alias("_row")
+    )
+    # One row per file.
+    counts = placed.groupBy("_part", "_piece").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.selectExpr("_part", "_piece", "sum(n) OVER (ORDER BY _part, _piece) - n AS _before")
+    joined = placed.join(F.broadcast(before), ["_part", "_piece"])
+    return joined.select(*[c for c in mixed.columns if c != "mix_position"], (F.col("_before") + F.col("_row")).alias("mix_position"))
