@@ -120,3 +120,39 @@ def test_large_buckets_give_two_candidates_a_member():
 
 def test_empty_table(spark):
     assert repeated_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def templates(n=60, kinds=25):
+    """Unlike families of lines with one template; the lines of a family are alike."""
+    rng, out = random.Random(12), []
+    word = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    for _ in range(kinds):
+        head = word(180)
+        for _ in range(n // 4):
+            slot = word(24)
+            out += [f"{head}{slot}{word(3)}" for _ in range(4)]
+    rng.shuffle(out)
+    return out
+
+
+def test_large_divided_buckets_are_settled_as_by_all_pairs():
+    own = templates(kinds=1, n=200)
+    links = [(i, j) for i, j in itertools.combinations(range(len(own)), 2) if jaccard(own[i], own[j]) >= 0.8]
+    got = lines.settle(own, list(range(len(own))))
+    assert roots(range(len(own)), got) == roots(range(len(own)), links)
+    assert len(set(roots(range(len(own)), links).values())) > 20
+    assert len(got) < len(own)
+
+
+def test_every_pair_that_meets_is_settled(spark):
+    own = templates()
+    rows = [(i, "\n".join(own[i::40])) for i in range(40)]
+    found = line_links(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    ids = {line_id: i for i, line_id in enumerate(map(lines.line_id, own))}
+    keys = lines.band_keys(own)
+    links = [
+        (i, j) for i, j in itertools.combinations(range(len(own)), 2)
+        if (keys[i] == keys[j]).any() and jaccard(own[i], own[j]) >= 0.8
+    ]
+    assert len(links) > 1_000
+    assert roots(range(len(own)), [(ids[r.a], ids[r.b]) for r in found]) == roots(range(len(own)), links)

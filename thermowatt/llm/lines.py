@@ -4,17 +4,20 @@ A line takes part if it has at least ``MIN_CHARS`` characters after trimming.
 Lines are lower-cased, with runs of blanks as one; equal ones share a 64-bit
 identifier. Each distinct line has a signature of ``BANDS * ROWS`` minima over
 hashes of its character shingles, cut into bands. With 10 bands of 4, a pair of
-similarity 0.8 meets with probability 0.995, one of 0.9 surely. Lines that
-meet in a band become candidates: every member with the smallest identifier
-of its bucket and with its neighbour in the order of identifiers, two
-per member and band, however large the bucket. Candidates are verified by
-their exact Jaccard similarity; verified links become components by
-distributed union-find, and of every component the first line stays, by
-doc_id and line number.
-
-Buckets are reduced within each task first, so of a bucket that a third of all
-lines share each task sends on two entries. Entries travel as arrays, one row per task and
-target group.
+similarity 0.8 meets with probability 0.995, one of 0.9 surely. Every pair that
+meets in a band is settled, in two steps. First each member is compared with
+the smallest identifier of its bucket and with its neighbour in the order of
+identifiers; verified links become components. Then, in each bucket that
+components still divide, all members of different components are compared, but
+for pairs that a prefix filter proves unlike: of two lines that are similar,
+the rarest shingles of both overlap. So lines with one template and unlike rest
+don't cost a comparison each. Candidates are verified by their exact Jaccard
+similarity; components come from distributed union-find, and of every
+component the first line stays, by doc_id and line number.
+
+Entries of a line that comes again in a task are sent on once. They travel as
+arrays, one row per task and target group. A bucket that is still divided is
+settled in one task, as much as its lines share with each other.
 
 Defined results: a null text has no lines. A null doc_id counts as larger than
 any other. Rows that repeat both doc_id and text count as one document. Extra
@@ -23,6 +26,7 @@ columns are kept. Order and line breaks of what stays are unchanged.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +45,9 @@ SEED = 20240101
 #: Groups that band entries are dealt to, for each shuffle partition.
 GROUPS_PER_PARTITION = 8
 
+#: Members up to which all of a divided bucket are compared without a filter.
+SMALL_BUCKET = 16
+
 _FLUSH_ENTRIES = 4_000_000
 _FLUSH_CHARS = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -117,7 +124,7 @@ def _sorted_distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _entries(groups: int):
-    """Task that turns (text) rows into band entries (key, line) by group, and candidates (line, line) found on the way."""
+    """Task that turns (text) rows into band entries (key, line) by group."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held_keys, held_ids, seen = [], [], set()
@@ -138,22 +145,18 @@ def _entries(groups: int):
             sign()
             if not held_keys:
                 return
-            keys, ids = _sorted_distinct(np.concatenate(held_keys), np.concatenate(held_ids))
+            keys, ids = np.concatenate(held_keys), np.concatenate(held_ids)
             held_keys, held_ids = [], []
             seen.clear()
-            a, b, sent = candidates(keys, ids)
-            rows = []
-            keys, ids = keys[sent], ids[sent]
             part = (keys.view(np.uint64) >> np.uint64(8)) % np.uint64(groups)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(groups + 1, dtype=np.uint64))
+            rows = []
             for g in np.flatnonzero(np.diff(cuts)).tolist():
                 own = order[cuts[g] : cuts[g + 1]]
-                rows.append((g, False, keys[own], ids[own]))
-            for at in range(0, len(a), 65536):
-                rows.append(((int(a[at]) + at) % groups, True, a[at : at + 65536], b[at : at + 65536]))
+                rows.append((g, keys[own], ids[own]))
             for at in range(0, len(rows), 64):
-                yield pd.DataFrame(rows[at : at + 64], columns=["part", "paired", "keys", "ids"])
+                yield pd.DataFrame(rows[at : at + 64], columns=["part", "keys", "ids"])
 
         for pdf in batches:
             for text in pdf["text"]:
@@ -173,24 +176,25 @@ def _entries(groups: int):
 
 
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    paired = pdf["paired"].to_numpy(bool)
-    a, b = [x for x in pdf["keys"][paired]], [x for x in pdf["ids"][paired]]
-    if not paired.all():
-        keys, ids = _sorted_distinct(np.concatenate(pdf["keys"][~paired].to_list()), np.concatenate(pdf["ids"][~paired].to_list()))
-        met = candidates(keys, ids)
-        a.append(met[0]), b.append(met[1])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})[a != b].drop_duplicates()
-
-
-def candidate_pairs(docs: DataFrame) -> DataFrame:
-    """Distinct (a, b), a > b: identifiers of lines that meet in some band."""
+    """First candidates as arrays (a, b) without a key, and buckets of three or more as (key, members)."""
+    keys, ids = _sorted_distinct(np.concatenate(pdf["keys"].to_list()), np.concatenate(pdf["ids"].to_list()))
+    a, b, _ = candidates(keys, ids)
+    pairs = pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates().to_numpy()
+    rows = [(None, pairs[at : at + 65536, 0], pairs[at : at + 65536, 1]) for at in range(0, len(pairs), 65536)]
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    stops = np.append(starts[1:], len(keys))
+    large = stops - starts > 2
+    for i, j in zip(starts[large].tolist(), stops[large].tolist()):
+        rows.append((int(keys[i]), ids[i:j], None))
+    return pd.DataFrame(rows, columns=["key", "a", "b"]).astype({"key": "Int64"})
+
+
+def buckets(docs: DataFrame) -> DataFrame:
+    """See ``_meet``."""
     spark = docs.sparkSession
     groups = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = docs.select("text").mapInPandas(
-        _entries(groups), "part int, paired boolean, keys array<long>, ids array<long>"
-    )
-    return entries.groupBy("part").applyInPandas(_meet, "a long, b long").distinct()
+    entries = docs.select("text").mapInPandas(_entries(groups), "part int, keys array<long>, ids array<long>")
+    return entries.groupBy("part").applyInPandas(_meet, "key long, a array<long>, b array<long>")
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -254,9 +258,78 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[good, ["a", "b"]]
 
 
+def _by_rarity(contents: list[str]) -> Iterator[np.ndarray]:
+    """The distinct shingles of each line, hashed, those first that are rare among all the lines."""
+    shift = np.uint64(48 if len(contents) < 4096 else 44)
+    counts = np.zeros(1 << (64 - int(shift)), np.int64)
+    parts = [contents[at : at + 1024] for at in range(0, len(contents), 1024)]
+    with np.errstate(over="ignore"):
+        for part in parts:
+            counts += np.bincount((shingle_hashes(part)[0] >> shift).astype(np.int64), minlength=len(counts))
+        for part in parts:
+            hashes, starts = shingle_hashes(part)
+            for own in np.split(hashes, starts[1:]):
+                own = np.unique(own)
+                yield own[np.lexsort((own, counts[(own >> shift).astype(np.int64)]))]
+
+
+def settle(contents: list[str], roots: list[int]) -> list[tuple[int, int]]:
+    """Links (i, j) that connect all similar lines, directly or over others; lines of one root are connected already.
+
+    Of similar x and y, x with no more shingles than y, at least 2 S / (1 + S) of x's shingles and S of y's are
+    common to both (S the similarity). In any one order of shingles, the first of x up to the share that may be
+    missing, and the first of y, therefore have one in common.
+    """
+    names = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+    up = list(range(len(names)))
+
+    def find(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    of = [names[r] for r in roots]
+    links: list[tuple[int, int]] = []
+
+    def compare(j: int, others) -> None:
+        own = None
+        for i in others:
+            if find(of[i]) != find(of[j]):
+                own = shingles(contents[j]) if own is None else own
+                if similar(contents[i], own):
+                    up[find(of[i])] = find(of[j])
+                    links.append((i, j))
+
+    if len(contents) <= SMALL_BUCKET:
+        for j in range(1, len(contents)):
+            compare(j, range(j))
+        return links
+    kept, probes, sizes = [], [], np.zeros(len(contents), np.int64)
+    for i, own in enumerate(_by_rarity(contents)):
+        n = sizes[i] = len(own)
+        kept.append(own[: n - math.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-6) + 1])
+        probes.append(own[: n - math.ceil(SIMILARITY * n - 1e-6) + 1])
+    index: dict[int, list[int]] = {}
+    for j in np.argsort(sizes, kind="stable").tolist():
+        met = {i for token in probes[j].tolist() for i in index.get(token, ())}
+        least = SIMILARITY * sizes[j] - 1e-6
+        compare(j, sorted(i for i in met if sizes[i] >= least))
+        for token in kept[j].tolist():
+            index.setdefault(token, []).append(j)
+    return links
+
+
+def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
+    ids = pdf["line"].tolist()
+    links = settle(pdf["content"].tolist(), pdf["root"].tolist())
+    return pd.DataFrame([(ids[i], ids[j]) for i, j in links], columns=["a", "b"]).astype("int64")
+
+
 def line_links(docs: DataFrame) -> DataFrame:
-    """Verified links (a, b) between identifiers of different lines."""
-    pairs = stored(candidate_pairs(docs), "line-pairs")
+    """Links (a, b) between identifiers of different lines that connect all similar ones that meet in a band."""
+    met = stored(buckets(docs), "line-buckets")
+    pairs = stored(met.where("key IS NULL").selectExpr("inline(arrays_zip(a, b))").distinct(), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
     texts = docs.select("text").mapInPandas(_lines_of, "line long, content string")
     texts = texts.join(wanted, "line", "left_semi").dropDuplicates(["line"])
@@ -264,7 +337,16 @@ def line_links(docs: DataFrame) -> DataFrame:
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("content").alias("content_a")), "a").join(
         texts.select(F.col("line").alias("b"), F.col("content").alias("content_b")), "b"
     )
-    return both.mapInPandas(_verified, "a long, b long")
+    first = stored(components(both.mapInPandas(_verified, "a long, b long"), "a", "b"), "line-first-roots")
+
+    # Buckets that components still divide; those with the same members are one.
+    members = met.where("key IS NOT NULL").groupBy(F.col("a").alias("members")).agg(F.min("key").alias("key"))
+    members = members.select("key", F.explode("members").alias("line")).join(first.withColumnRenamed("node", "line"), "line", "left")
+    members = stored(members.select("key", "line", F.coalesce("root", "line").alias("root")), "line-members")
+    divided = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    divided = members.join(stored(divided, "line-divided"), "key").join(texts, "line")
+    more = divided.groupBy("key").applyInPandas(_settled, "a long, b long")
+    return first.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
