@@ -7,7 +7,7 @@ import zlib
 import pytest
 
 from check_oracle import compare, connect
-from thermowatt.llm.warc import read_warc, record, write_warc
+from thermowatt.llm.warc import read_warc, record, warc_round_trip, write_warc
 
 SF = "/root/testdata/sf0.001"
 KIND = "page_id long, url string, html string, record_id int"
@@ -78,3 +78,12 @@ def test_no_rows(spark, tmp_path):
 
 def test_same_rows_as_sql(spark):
     assert compare(spark, connect(SF), "op4_warc", SF) is None
+
+
+def test_headers_of_any_length(spark):
+    urls = {1: "http://a.example/" + "x" * 100_000, 2: "data:text/html," + "é" * 40_000, 3: "http://a.example/"}
+    df = spark.createDataFrame([(i, u, f"page {i % 2}") for i, u in urls.items()], "page_id long, url string, html string")
+    found = {r.record_id: r for r in warc_round_trip(spark, df).collect()}
+    assert found.keys() == urls.keys()
+    assert {i: len(r.target) for i, r in found.items()} == {1: 100_017, 2: 15 + 6 * 40_000, 3: 17}
+    assert all(r.intact for r in found.values()) and found[1].refers_to == 3

@@ -45,8 +45,8 @@ DATE = "2024-01-01T00:00:00Z"
 
 RANGE_BYTES = 16 << 20
 CHUNK = 1 << 20
-#: A WARC header that is longer isn't taken for one.
-MAX_HEADER = 1 << 16
+#: Decoded bytes that tell whether a member is a WARC record; its header may be longer.
+PEEK = 1 << 16
 
 _WRITTEN = "path string, length long"
 _RECORD = (
@@ -134,7 +134,7 @@ def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
             if not chunk:
                 return None  # cut off
             pos += len(chunk)
-            got = unpacker.decompress(chunk, 0 if seen >= len(VERSION) else MAX_HEADER)
+            got = unpacker.decompress(chunk, 0 if seen >= len(VERSION) else PEEK)
             parts.append(got)
             seen += len(got)
             if seen >= len(VERSION):
@@ -159,8 +159,7 @@ def _row_id(text: str | None) -> int | None:
 
 def parse(content: bytes) -> dict | None:
     """Columns of a record; None if it isn't one."""
-    cut = content.find(b"\r\n\r\n", 0, MAX_HEADER)
-    if cut < 0 or not content.startswith(b"WARC/1."):
+    if not content.startswith(b"WARC/1.") or (cut := content.find(b"\r\n\r\n")) < 0:
         return None
     head = _fields(content[:cut])
     if not head.get("content-length", "").isdigit() or "warc-type" not in head:
