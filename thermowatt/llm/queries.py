@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, exact_dedup, language, lines, mixing, neighbours, simhash, spans, warc
+from . import bpe, chat, exact_dedup, language, lines, mixing, neighbours, runs, simhash, spans, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -64,6 +64,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Tenths of the documents get a part that repeats: from word a on, the first p words from there over and over.
+_PERIODIC = r"""
+    concat_ws(' ', slice(w, 1, CAST(a AS INT)), slice(
+        flatten(array_repeat(slice(w, CAST(a + 1 AS INT), CAST(p AS INT)), CAST((n - a) div p + 1 AS INT))), 1, CAST(n - a AS INT)))
+"""
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "text", "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) AS h",
+        r"filter(split(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w",
+    ).selectExpr("*", "h div 10 AS g", "CAST(size(w) AS BIGINT) AS n").selectExpr("*", "g % greatest(n, 1) AS a")
+    docs = docs.selectExpr("*", "1 + (n - a) div (3 + g % 8) AS p")
+    texts = docs.selectExpr("doc_id", f"CASE WHEN h % 10 = 0 AND n > 0 THEN {_PERIODIC} ELSE text END AS text")
+    most = """
+        array_sort(runs, (x, y) -> CASE
+            WHEN x.length * y.period > y.length * x.period THEN -1 WHEN x.length * y.period < y.length * x.period THEN 1
+            WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1 ELSE CAST(x.period - y.period AS INT) END)
+    """
+    found = runs.periodic_runs(texts).selectExpr("*", f"get({most}, 0) AS top")
+    written = "transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n'))"
+    return found.selectExpr(
+        "doc_id", "CAST(size(runs) AS BIGINT) AS n_runs", "top.start", "top.length", "top.period",
+        "1000 * top.length div top.period AS exponent_milli",
+        f"sha2(array_join({written}, ''), 256) AS runs_sha256", "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_nearest_neighbours, op3_mixing, op4_warc, op5_language, op6_substring_dedup,
-    op7_chat_formatting, op8_byte_bpe, op9_line_dedup, op10_simhash, pipeline,
+    op7_chat_formatting, op8_byte_bpe, op9_line_dedup, op10_simhash, op12_periodic_runs, pipeline,
 )}
 
 _CONTROLS = r"([<\[])(\\*)(/?INST\]|<SYS>>|</SYS>>|<ROLE>>|</ROLE>>|</TEXT>>|/?s>)"
