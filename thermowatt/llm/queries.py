@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, exact_dedup, language, lines, mixing, neighbours, runs, simhash, spans, warc
+from . import bpe, chat, exact_dedup, language, lines, mixing, neighbours, ngrams, runs, simhash, spans, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -64,6 +64,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = "crc32(CAST(coalesce(CAST(doc_id AS STRING), '') AS BINARY)) % 10 = 0 AS held_out"
+    docs = table(spark, sf_dir, "documents").selectExpr("doc_id", "text", held_out)
+    model = ngrams.train(docs.where("NOT held_out"))
+    return ngrams.score(docs, model).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 #: Tenths of the documents get a part that repeats: from word a on, the first p words from there over and over.
 _PERIODIC = r"""
     concat_ws(' ', slice(w, 1, CAST(a AS INT)), slice(
@@ -100,7 +109,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_nearest_neighbours, op3_mixing, op4_warc, op5_language, op6_substring_dedup,
-    op7_chat_formatting, op8_byte_bpe, op9_line_dedup, op10_simhash, op12_periodic_runs, pipeline,
+    op7_chat_formatting, op8_byte_bpe, op9_line_dedup, op10_simhash, op11_lm_scoring, op12_periodic_runs, pipeline,
 )}
 
 _CONTROLS = r"([<\[])(\\*)(/?INST\]|<SYS>>|</SYS>>|<ROLE>>|</ROLE>>|</TEXT>>|/?s>)"
