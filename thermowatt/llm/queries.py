@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, exact_dedup, language, lines, mixing, neighbours, ngrams, runs, simhash, spans, warc
+from . import bpe, chat, exact_dedup, language, lines, mixing, neighbours, ngrams, runs, simhash, spans, spelling, warc
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -101,6 +101,19 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = "translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    found = table(spark, sf_dir, "documents").selectExpr(
+        "coalesce(CAST(doc_id AS STRING), '') AS id", r"explode(regexp_extract_all(text, '[A-Za-z\\u00C0-\\u00FF]+', 0)) AS run"
+    ).where(F.length("run") >= spelling.MIN_LENGTH).selectExpr("id", f"{lowered} AS run")
+    hashed = found.selectExpr("run", "crc32(CAST(concat(id, ':', run) AS BINARY)) AS h").selectExpr(
+        "run", "h % 31 = 0 AS marred", "CAST(h % length(run) AS INT) AS at"
+    )
+    words = hashed.selectExpr("IF(marred, concat(left(run, at), substring(run, at + 2)), run) AS word")
+    counted = words.where(F.length("word") >= spelling.MIN_LENGTH).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return spelling.spelling_variants(counted.where("n >= 2"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,7 +122,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_nearest_neighbours, op3_mixing, op4_warc, op5_language, op6_substring_dedup,
-    op7_chat_formatting, op8_byte_bpe, op9_line_dedup, op10_simhash, op11_lm_scoring, op12_periodic_runs, pipeline,
+    op7_chat_formatting, op8_byte_bpe, op9_line_dedup, op10_simhash, op11_lm_scoring, op12_periodic_runs,
+    op13_spelling_variants, pipeline,
 )}
 
 _CONTROLS = r"([<\[])(\\*)(/?INST\]|<SYS>>|</SYS>>|<ROLE>>|</ROLE>>|</TEXT>>|/?s>)"
