@@ -6,6 +6,7 @@ from .shape import out_of_line
 
 _ZONE = r"(?:Z|[+-]\d{2}(?::?\d{2}(?::?\d{2})?)?)"
 _ZULU = r"^\d{4}-\d{2}-\d{2}.\d{2}:\d{2}:\d{2}(?:[.,]\d*)?Z$"
+_PLAIN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?Z$"
 _FULL = rf"^\d{{4}}-\d{{2}}-\d{{2}}.\d{{2}}:\d{{2}}:\d{{2}}(?:[.,]\d*)?{_ZONE}$"
 
 
@@ -39,7 +40,8 @@ def iso_instant(text: str) -> str:
     spread = _spread(text)
     zoned = f"transform(array({spread}), t -> if(t RLIKE r'^.{{11}}.*{_ZONE}$', t, concat(t, 'Z')))"
     other = f"element_at(transform({zoned}, z -> CASE WHEN z RLIKE r'{_FULL}' THEN {_instant('z')} END), 1)"
-    return f"CASE WHEN {text} RLIKE r'{_ZULU}' THEN {_instant(text)} ELSE {out_of_line(other)} END"
+    return f"""CASE WHEN {text} RLIKE r'{_PLAIN}' THEN try_cast({text} AS timestamp)
+        WHEN {text} RLIKE r'{_ZULU}' THEN {_instant(text)} ELSE {out_of_line(other)} END"""
 
 
 def iso_text(ts: str) -> str:

@@ -70,8 +70,9 @@ def _checks() -> list[tuple[str, str, str]]:
         f"coalesce(try_variant_get({alone}, '$[2]', 'variant') IS NULL "
         f"AND is_variant_null(try_variant_get({alone}, '$[1]', 'variant')), false)"
     )
+    # A text that begins like an object and is none needs no second parse: it is no JSON, or more than one value.
     checks = [
-        (f"NOT _object AND NOT {one_value}", MALFORMED, "'Malformed JSON syntax: not one JSON value'"),
+        (f"NOT _object AND (raw_payload RLIKE r'^\\s*[{{]' OR NOT {one_value})", MALFORMED, "'Malformed JSON syntax: not one JSON value'"),
         ("NOT _object", NOT_OBJECT, f"concat('Expected JSON object, got ', {_KIND_NAME})"),
     ]
     for f in _FIELDS:
