@@ -1,6 +1,8 @@
+from pyspark.sql import functions as F
+
 from thermowatt import (
-    delivery_audit, duplicated_keys, expected_sequence, missing_keys, parity_check, pipeline_stats, processed_keys,
-    validate,
+    delivery_audit, duplicated_keys, expected_sequence, missing_keys, missing_ranges, parity_check, pipeline_stats,
+    processed_keys, validate,
 )
 from .helpers import bag
 
@@ -61,3 +63,22 @@ def test_more_runs_than_a_number_has_bits(spark):
     found = delivery_audit(expected_sequence(spark, 72), runs).first()
     assert (found["unique_processed"], found["missing"], found["duplicated"]) == (71, 1, 69)
     assert found["processed_r1"] == found["processed_r63"] == found["processed_r70"] == 2
+
+
+def test_missing_ranges(spark):
+    def run(*keys):
+        return spark.createDataFrame([(k,) for k in keys], "seq long")
+
+    runs = {"all": run(*range(-5, 31)), "some": run(0, 1, 1, 2, 7, 8, 20, 20, None, 99), "none": run(), "ends": run(*range(1, 25))}
+    for width in (1, 4, 1 << 20):
+        got = {tuple(r) for r in missing_ranges(runs, 0, 25, width=width).collect()}
+        assert got == {
+            ("some", 3, 6, 4), ("some", 9, 19, 11), ("some", 21, 25, 5), ("none", 0, 25, 26), ("ends", 0, 0, 1), ("ends", 25, 25, 1),
+        }
+    assert {tuple(r) for r in missing_ranges({"x": run(-4, 2)}, -6, 3, width=4).collect()} == {("x", -6, -5, 2), ("x", -3, 1, 5), ("x", 3, 3, 1)}
+
+
+def test_missing_ranges_shuffle_keys_once(spark):
+    rows = spark.range(1000).select(F.col("id").alias("seq"))
+    plan = missing_ranges({"a": rows, "b": rows.where("seq % 7 > 0")}, 0, 1000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(source#") - plan.count("ReusedExchange") <= 3

@@ -123,6 +123,22 @@ def test_pipeline_over_batches_and_restart(spark, tmp_path, policy):
     }
 
 
+def test_pipeline_folds_its_tables(spark, tmp_path):
+    rows = random_readings(120, 4, seed=10)
+    raw = spark.createDataFrame([(message(r), i) for i, r in enumerate(rows)], "value string, seq long")
+    feed(raw, str(tmp_path / "in"), range(0, 121, 15))
+    tables = PipelineTables(str(tmp_path / "out"), decimals=3)
+    stream = as_stream(spark, raw, str(tmp_path / "in"))
+    run_pipeline(stream, tables, str(tmp_path / "check"), ORDER, trigger=ONCE, compact_every=3).awaitTermination()
+    # Eight batches, folded when the fourth and the seventh began.
+    for table in (tables.readings, tables.rejected, tables.alerts, tables.parts):
+        assert [p.name for p in sorted((tmp_path / "out").glob(f"{table.path.rsplit('/', 1)[1]}-folded/*"))] == ["0-3", "0-6"]
+    assert {p.name for p in (tmp_path / "out" / "readings").glob("event_date=*/batch_id=*")} == {f"batch_id={n}" for n in range(3, 8)}
+    assert bag(tables.rollups(spark)) == bag(rollup(numbered(spark, rows), decimals=3))
+    assert tables.counters(spark).first()["received"] == 120
+    assert bag(tables.alerts.rows(spark), "device_id", "type", "value") == by_value(rows)
+
+
 def test_pipeline_with_nothing_good_or_nothing_bad(spark, tmp_path):
     for name, value in (("bad", "{"), ("good", message(reading("s", 0, 20, 1)))):
         raw = spark.createDataFrame([(value, 0)], "value string, seq long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..contract import READINGS
 from ..sources.workspace import shared_folder
@@ -71,6 +71,36 @@ def delivery_audit(expected: DataFrame, runs: dict[str, DataFrame], key: str = "
     return report.withColumn("success", success)
 
 
+def missing_ranges(runs: dict[str, DataFrame], first: int, last: int, key: str = "seq", width: int = 1 << 20) -> DataFrame:
+    """Ranges ``(source, first, last, n)`` of the numbers from ``first`` to ``last`` that a run did not handle.
+
+    Gaps between neighbours, found with ``lag`` inside blocks of ``width``
+    numbers. What reaches over the border of blocks is found from each
+    block's lowest and highest number: one row per block, so ``width`` times less than numbers.
+    Keys may repeat; nulls and numbers beyond the range are left out. One shuffle of the keys.
+    """
+    handled = reduce(DataFrame.union, [
+        run.select(F.lit(name).alias("source"), F.col(key).cast("bigint").alias("_at")).where(F.col("_at").between(first, last))
+        for name, run in runs.items()
+    ])
+    blocks = handled.withColumn("_block", F.expr(f"(_at - pmod(_at, {width}L)) div {width}L")).repartition("source", "_block")
+    inside = Window.partitionBy("source", "_block").orderBy("_at")
+    near = blocks.select("source", F.lag("_at").over(inside).alias("_before"), "_at").where("_at - _before > 1")
+    # Each run gets a number before the first and one after the last, so that open ends are gaps like any other.
+    ends = reduce(DataFrame.union, [
+        handled.sparkSession.range(1).select(
+            F.lit(name).alias("source"), F.lit(block).cast("bigint").alias("_block"), F.lit(at).alias("_low"), F.lit(at).alias("_high")
+        )
+        for name in runs for block, at in ((first // width - 1, first - 1), (last // width + 1, last + 1))
+    ])
+    spans = blocks.groupBy("source", "_block").agg(F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+    along = Window.partitionBy("source").orderBy("_block")
+    far = spans.unionByName(ends).select("source", F.lag("_high").over(along).alias("_before"), F.col("_low").alias("_at")).where(
+        "_at - _before > 1"
+    )
+    return near.union(far).selectExpr("source", "_before + 1 AS first", "_at - 1 AS last", "_at - _before - 1 AS n")
+
+
 def parity_check(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row telling whether two tables are equal as bags of rows.
 

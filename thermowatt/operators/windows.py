@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import mean_of_units, round_half_even, to_units
 
@@ -61,9 +61,22 @@ def rollup_parts(readings: DataFrame, size: str = "1 minute", decimals: int | No
     )
 
 
-def merge_rollup_parts(parts: DataFrame, decimals: int | None = None) -> DataFrame:
-    """Final rollups from any number of partial ones; one row per device and window."""
-    merged = parts.groupBy(*_KEYS).agg(
+def parts_schema(decimals: int | None) -> T.StructType:
+    """Columns of partial rollups as a table."""
+    total = T.DoubleType() if decimals is None else T.LongType()
+    return T.StructType([
+        T.StructField("device_id", T.StringType(), False),
+        T.StructField("window_start", T.TimestampType(), False),
+        T.StructField("temp_sum", total, False),
+        T.StructField("temp_max", T.DoubleType(), False),
+        T.StructField("power_sum", total, False),
+        T.StructField("n", T.LongType(), False),
+    ])
+
+
+def merge_rollup_parts(parts: DataFrame, decimals: int | None = None, apart: tuple[str, ...] = ()) -> DataFrame:
+    """Final rollups from any number of partial ones: one row per device and window, and per value of the columns ``apart``."""
+    merged = parts.groupBy(*_KEYS, *apart).agg(
         F.sum("temp_sum").alias("temp_sum"),
         F.max("temp_max").alias("temp_max"),
         F.sum("power_sum").alias("power_sum"),

@@ -86,6 +86,21 @@ SELECT device_id, date_trunc('{unit}', event_ts) AS window_start, {_mean(temp, '
 FROM v GROUP BY 1, 2"""
 
 
+def _late_rollup() -> str:
+    """Rollups of the events as they come in four parts, told apart by the watermark of the part before."""
+    temp, power = f"sum({_units('temperature_c', 3)})", f"sum({_units('power_kw', 3)})"
+    return f"""WITH {_V}, m AS (
+  SELECT event_id % 4 AS part, max(max(event_ts)) OVER (ORDER BY event_id % 4) - INTERVAL 30 MINUTE AS mark FROM v GROUP BY 1),
+x AS (
+  SELECT v.*, event_id % 4 AS part, date_trunc('hour', event_ts) AS window_start,
+         coalesce(date_trunc('hour', event_ts) + INTERVAL 1 HOUR <= mark, false) AS late
+  FROM v LEFT JOIN m ON m.part = event_id % 4 - 1)
+SELECT CASE WHEN late THEN 'late' WHEN window_start + INTERVAL 1 HOUR <= (SELECT max(mark) FROM m) THEN 'closed' ELSE 'open' END AS kind,
+       device_id, window_start, {_mean(temp, 'count(*)', 3, 2)} AS avg_temp, max(temperature_c) AS max_temp,
+       {_mean(power, 'count(*)', 3, 3)} AS avg_power, CAST(count(*) AS INTEGER) AS n
+FROM x GROUP BY 1, 2, 3, CASE WHEN late THEN part END"""
+
+
 _READING_COLUMNS = "device_id, room, event_ts, temperature_c, power_kw"
 _ANOMALOUS = "temperature_c > 45 OR power_kw > 10"
 
@@ -212,6 +227,12 @@ SELECT count(*) AS msgs_last_min FROM v WHERE event_ts >= (SELECT max(ts) FROM e
         "missing_sequences": f"""WITH {_RUNS}
 SELECT event_id AS seq FROM events EXCEPT (SELECT seq FROM b UNION SELECT seq FROM c)""",
         "duplicated_sequences": f"WITH {_RUNS} SELECT seq FROM b INTERSECT SELECT seq FROM c",
+        "missing_ranges": f"""WITH {_RUNS}, s AS (SELECT 'before' AS source, seq FROM b UNION SELECT 'after', seq FROM c
+  UNION ALL SELECT k, min(event_id) - 1 FROM events, (VALUES ('before'), ('after')) x(k) GROUP BY k
+  UNION ALL SELECT k, max(event_id) + 1 FROM events, (VALUES ('before'), ('after')) x(k) GROUP BY k),
+g AS (SELECT source, lag(seq) OVER (PARTITION BY source ORDER BY seq) AS prior, seq FROM s)
+SELECT source, prior + 1 AS first, seq - 1 AS last, seq - prior - 1 AS n FROM g WHERE seq - prior > 1""",
+        "stream_rollup_late": _late_rollup(),
         "delivery_audit": f"""WITH {_RUNS}, u AS (SELECT seq FROM b UNION SELECT seq FROM c)
 SELECT count(*) AS produced, (SELECT count(*) FROM b) AS processed_before, (SELECT count(*) FROM c) AS processed_after,
        (SELECT count(*) FROM u) AS unique_processed, count(*) - (SELECT count(*) FROM u) AS missing,
@@ -238,6 +259,7 @@ FROM j""",
     same_rows = {
         "parquet_export": "scan_readings",
         "stream_rollup": "rollup_1h",
+        "stream_rollup_flushed": "rollup_1h",
         "stream_alerts": "three_sigma_alerts",
         "stream_all_alerts": "all_alerts",
         "stream_hard_limit_alerts": "hard_limit_alerts",

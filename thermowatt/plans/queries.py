@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import contract as c
 from ..operators import (
     SplitPolicy, all_alerts, anomalous_readings, anomaly_count, by_device, count_by, count_since, delivery_audit,
-    duplicated_keys, default_stations, hard_limit_alerts, latency_summary, missing_keys, parity_check,
+    duplicated_keys, default_stations, hard_limit_alerts, latency_summary, missing_keys, missing_ranges, parity_check,
     pipeline_stats, processed_keys, readings_per_device, recent, rejected_rows, rollup, room_daily_power,
     room_hourly_temperature, row_count, series, sigma_alerts, timing_comparison, to_messages,
     top_anomalous_devices, valid_readings, validate, weather_to_readings,
@@ -18,8 +18,8 @@ from ..operators import (
 from ..sinks import BatchTable, write_parquet
 from ..sources import drop_folder, read_readings, shared_folder, stream_parquet
 from ..streaming import (
-    DeviceTails, PipelineTables, latest_rollups, run_pipeline, stream_alerts, stream_into, stream_rollup,
-    versions_table,
+    ClosedRollups, DeviceTails, PipelineTables, latest_rollups, open_rollups, run_pipeline, stream_alerts,
+    stream_closed_rollups, stream_into, stream_rollup, versions_table,
 )
 from . import views
 from .views import ORDER
@@ -237,6 +237,12 @@ def duplicated_sequences(spark, sf_dir):
     return duplicated_keys(*_deliveries(spark, sf_dir)[1].values())
 
 
+def missing_sequence_ranges(spark, sf_dir):
+    ev, runs = _deliveries(spark, sf_dir)
+    first, last = ev.agg(F.min("seq"), F.max("seq")).first()
+    return missing_ranges(runs, first or 0, last or 0, width=1 << 10)
+
+
 def parity(spark, sf_dir):
     return parity_check(
         views.in_range(spark, sf_dir).select(*_READING_COLUMNS),
@@ -281,13 +287,14 @@ def _interleaved(ev: DataFrame) -> Column:
 
 def _in_parts(
     spark: SparkSession, sf_dir: str, root: str, start: Callable[[DataFrame, str], StreamingQuery],
-    part: Callable[[DataFrame], Column] = _in_time,
+    part: Callable[[DataFrame], Column] = _in_time, at_end: Callable[[str], None] = lambda checkpoint: None,
 ) -> None:
     ev = views.events(spark, sf_dir)
     number = part(ev)
     for i in range(_PARTS):
         ev.where(number == i).write.parquet(f"{root}/landed/part-{i}")
         start(stream_parquet(spark, f"{root}/landed/*", views.EVENTS), f"{root}/checkpoint").awaitTermination()
+    at_end(f"{root}/checkpoint")
     for used in ("landed", "checkpoint"):
         drop_folder(spark, f"{root}/{used}")
 
@@ -309,17 +316,41 @@ def streamed_rollup(spark, sf_dir):
     return latest_rollups(spark, table)
 
 
-def streamed_closed_rollup(spark, sf_dir):
-    root = shared_folder(spark, "closed")
-    table = BatchTable(f"{root}/table", c.ROLLUPS, "window_start", rebalance=True)
+def _streamed_closed_rollup(flush: bool) -> Query:
+    """Windows that the watermark has passed; with ``flush`` the open ones as well, at the end of the stream."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_folder(spark, "closed")
+        table = BatchTable(f"{root}/table", c.ROLLUPS, "window_start", rebalance=True)
+        left = BatchTable(f"{root}/left", c.ROLLUPS, "window_start", rebalance=True)
+
+        def start(ev: DataFrame, checkpoint: str) -> StreamingQuery:
+            return stream_rollup(
+                _in_range_stream(ev), table.add, checkpoint, "1 hour", "30 minutes", _POWER_DECIMALS, _BOUNDED, closed_only=True
+            )
+
+        def at_end(checkpoint: str) -> None:
+            if flush:
+                left.add(open_rollups(spark, checkpoint, _POWER_DECIMALS), 0)
+
+        _in_parts(spark, sf_dir, root, start, at_end=at_end)
+        return table.rows(spark).unionAll(left.rows(spark)) if flush else table.rows(spark)
+
+    return run
+
+
+def streamed_late_rollup(spark, sf_dir):
+    """Closed, open and late rollups of a stream full of late readings; together they hold every reading once."""
+    root = shared_folder(spark, "late")
+    tables = ClosedRollups(f"{root}/tables", "1 hour", "30 minutes", _POWER_DECIMALS)
 
     def start(ev: DataFrame, checkpoint: str) -> StreamingQuery:
-        return stream_rollup(
-            _in_range_stream(ev), table.add, checkpoint, "1 hour", "30 minutes", _POWER_DECIMALS, _BOUNDED, closed_only=True
-        )
+        return stream_closed_rollups(_in_range_stream(ev), tables, checkpoint, _BOUNDED, compact_every=2)
 
-    _in_parts(spark, sf_dir, root, start)
-    return table.rows(spark)
+    _in_parts(spark, sf_dir, root, start, _interleaved)
+    kinds = {"closed": tables.closed_rollups(spark), "open": tables.open_rollups(spark), "late": tables.late_rollups(spark)}
+    closed, opened, late = (rows.withColumn("kind", F.lit(kind)) for kind, rows in kinds.items())
+    return closed.unionAll(opened).unionAll(late)
 
 
 def _streamed_alerts(hard_limits: bool) -> Query:
@@ -437,13 +468,16 @@ _QUERIES: dict[str, Query] = {
     "processed_sequences": processed_sequences,
     "missing_sequences": missing_sequences,
     "duplicated_sequences": duplicated_sequences,
+    "missing_ranges": missing_sequence_ranges,
     "delivery_audit": audit,
     "parity_check": parity,
     "pipeline_stats": stats,
     "latency_summary": latencies,
     "timing_comparison": timings,
     "stream_rollup": streamed_rollup,
-    "stream_rollup_closed": streamed_closed_rollup,
+    "stream_rollup_closed": _streamed_closed_rollup(flush=False),
+    "stream_rollup_flushed": _streamed_closed_rollup(flush=True),
+    "stream_rollup_late": streamed_late_rollup,
     "stream_alerts": _streamed_alerts(hard_limits=False),
     "stream_all_alerts": _streamed_alerts(hard_limits=True),
     "stream_hard_limit_alerts": streamed_hard_alerts,

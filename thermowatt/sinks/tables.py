@@ -12,10 +12,16 @@ from ..sources.workspace import drop_folder, list_folder
 
 
 def write_parquet(df: DataFrame, path: str) -> bool:
-    """Write snappy Parquet in the readings' own columns; no rows, no file. Tells whether it wrote."""
-    if df.isEmpty():
+    """Write snappy Parquet in the readings' own columns; no rows, no file. Tells whether it wrote.
+
+    Rows are counted as they are written, so nothing is computed twice.
+    """
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.write.option("compression", "snappy").mode("overwrite").parquet(path)
+    if not seen.get["n"]:
+        drop_folder(df.sparkSession, path)
         return False
-    df.write.option("compression", "snappy").mode("overwrite").parquet(path)
     return True
 
 
@@ -44,13 +50,6 @@ class BatchTable:
     def add(self, df: DataFrame, batch_id: int) -> None:
         self._write(self._laid_out(df, batch_id))
 
-    def add_counted(self, df: DataFrame, batch_id: int) -> int:
-        """``add``, and how many rows it wrote."""
-        # Observed last: adaptive execution may drop what lies below an empty stage.
-        seen = Observation()
-        self._write(self._laid_out(df, batch_id).observe(seen, F.count(F.lit(1)).alias("n")))
-        return seen.get["n"]
-
     def _laid_out(self, df: DataFrame, batch_id: int) -> DataFrame:
         rows = enforce(df, self.schema).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         if self.ts is not None:

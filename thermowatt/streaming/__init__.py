@@ -2,11 +2,12 @@
 
 from .alerts import stream_alerts
 from .append import stream_into
+from .closed import ClosedRollups, stream_closed_rollups
 from .pipeline import PipelineTables, run_pipeline
-from .rollups import latest_rollups, stream_rollup, versions_table
+from .rollups import latest_rollups, open_rollups, stream_rollup, versions_table
 from .tails import DeviceTails
 
 __all__ = [
-    "DeviceTails", "PipelineTables", "latest_rollups", "run_pipeline", "stream_alerts", "stream_into",
-    "stream_rollup", "versions_table",
+    "ClosedRollups", "DeviceTails", "PipelineTables", "latest_rollups", "open_rollups", "run_pipeline", "stream_alerts",
+    "stream_closed_rollups", "stream_into", "stream_rollup", "versions_table",
 ]

@@ -3,36 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as c
 from ..operators.anomalies import all_alerts
 from ..operators.audit import total_counters
 from ..operators.hot_groups import SplitPolicy
-from ..operators.windows import merge_rollup_parts, rollup_parts
+from ..operators.windows import merge_rollup_parts, parts_schema, rollup_parts
 from ..operators.validation import rejected_rows, valid_readings, validate
 from ..sinks.external import BatchSink
 from ..sinks.tables import BatchTable
 from .tails import DeviceTails
 
 _COUNTERS = ["received", "readings", "rejected", "alerts"]
-_STATS = T.StructType([T.StructField(n, T.LongType(), False) for n in _COUNTERS])
-
-
-def _parts_schema(decimals: int | None) -> T.StructType:
-    total = T.DoubleType() if decimals is None else T.LongType()
-    return T.StructType([
-        T.StructField("device_id", T.StringType(), False),
-        T.StructField("window_start", T.TimestampType(), False),
-        T.StructField("temp_sum", total, False),
-        T.StructField("temp_max", T.DoubleType(), False),
-        T.StructField("power_sum", total, False),
-        T.StructField("n", T.LongType(), False),
-    ])
-
 
 @dataclass(frozen=True)
 class PipelineTables:
@@ -48,7 +35,6 @@ class PipelineTables:
     rejected: BatchTable = field(init=False)
     alerts: BatchTable = field(init=False)
     parts: BatchTable = field(init=False)
-    stats: BatchTable = field(init=False)
     tails: DeviceTails = field(init=False)
 
     def __post_init__(self) -> None:
@@ -57,9 +43,8 @@ class PipelineTables:
             "rejected": BatchTable(f"{self.root}/rejected", c.REJECTED, "ts"),
             "alerts": BatchTable(f"{self.root}/alerts", c.ALERTS, "event_ts", rebalance=True),
             "parts": BatchTable(
-                f"{self.root}/rollup_parts", _parts_schema(self.decimals), "window_start", rebalance=True
+                f"{self.root}/rollup_parts", parts_schema(self.decimals), "window_start", rebalance=True
             ),
-            "stats": BatchTable(f"{self.root}/stats", _STATS),
             "tails": DeviceTails(f"{self.root}/tails"),
         }
         for name, table in tables.items():
@@ -70,10 +55,24 @@ class PipelineTables:
         return merge_rollup_parts(self.parts.rows(spark), self.decimals)
 
     def counters(self, spark: SparkSession) -> DataFrame:
-        """One row: received, readings, rejected, alerts and rollup windows so far."""
-        counted = self.stats.rows(spark).selectExpr(*_COUNTERS, "0 AS aggregates")
-        windows = self.rollups(spark).selectExpr(*[f"0 AS {n}" for n in _COUNTERS], "1 AS aggregates")
-        return total_counters(counted.unionByName(windows))
+        """One row: received, readings, rejected, alerts and rollup windows so far.
+
+        Readings, rejected rows and alerts are counted from the tables' footers; no batch writes counters.
+        """
+
+        def counted(rows: DataFrame, *names: str) -> DataFrame:
+            return rows.selectExpr(*[f"{int(n in names)} AS {n}" for n in [*_COUNTERS, "aggregates"]])
+
+        parts = [
+            counted(self.readings.rows(spark), "received", "readings"), counted(self.rejected.rows(spark), "received", "rejected"),
+            counted(self.alerts.rows(spark), "alerts"), counted(self.rollups(spark), "aggregates"),
+        ]
+        return total_counters(reduce(DataFrame.unionByName, parts))
+
+    def compact(self, spark: SparkSession, before: int) -> None:
+        """Fold the batches below ``before``, of which none may run again."""
+        for table in (self.readings, self.rejected, self.alerts, self.parts):
+            table.compact(spark, before)
 
 
 def run_pipeline(
@@ -87,6 +86,7 @@ def run_pipeline(
     also: dict[str, BatchSink] | None = None,
     rejected_at: str | None = None,
     policy: SplitPolicy = SplitPolicy(),
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Start the pipeline on a stream of raw messages.
 
@@ -96,7 +96,8 @@ def run_pipeline(
     ``["offset", "partition"]``. ``also`` names further sinks of the
     ``readings``, ``rejected`` rows and ``alerts``, such as a topic or a
     database. Rejected rows are stamped with the batch time, or the column
-    ``rejected_at``.
+    ``rejected_at``. Every ``compact_every`` batches the tables' earlier
+    batches are folded, so that files do not pile up.
     """
     others = also or {}
     if unknown := others.keys() - {"readings", "rejected", "alerts"}:
@@ -109,6 +110,8 @@ def run_pipeline(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if batch_id and batch_id % compact_every == 0:
+            tables.compact(spark, batch_id)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             readings = valid_readings(batch, extra)
@@ -120,19 +123,16 @@ def run_pipeline(
                 "rejected": lambda: rejected_rows(batch, F.col("_received_at")),
                 "alerts": lambda: all_alerts(readings, order_by, seeds=seeds, policy=policy),
             }
-            counts = {}
             for name, build in outputs.items():
                 rows = build()
                 if name in others:
                     rows.persist(StorageLevel.MEMORY_AND_DISK)
-                counts[name] = getattr(tables, name).add_counted(rows, batch_id)
+                getattr(tables, name).add(rows, batch_id)
                 if name in others:
                     others[name](rows, batch_id)
                     rows.unpersist()
-            counts["received"] = counts["readings"] + counts["rejected"]
             tables.parts.add(rollup_parts(readings, size, tables.decimals), batch_id)
             tables.tails.advance(readings, batch_id, order_by, seeds)
-            tables.stats.add(spark.createDataFrame([tuple(counts[n] for n in _COUNTERS)], _STATS), batch_id)
         finally:
             batch.unpersist()
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contract import ROLLUPS
-from ..operators.windows import rollup
+from ..operators.windows import merge_rollup_parts, rollup
 from ..sinks.external import BatchSink
 from ..sinks.tables import BatchTable
 
@@ -54,3 +54,22 @@ def latest_rollups(spark: SparkSession, table: BatchTable) -> DataFrame:
     values = [n for n in ROLLUPS.names if n not in keys]
     newest = table.read(spark).groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_row"))
     return newest.select(*keys, "_row.*")
+
+
+def open_rollups(spark: SparkSession, checkpoint: str, decimals: int | None = None) -> DataFrame:
+    """Rollups of the windows that a stopped ``stream_rollup`` holds in its state, from its checkpoint.
+
+    With ``closed_only`` these are the windows the watermark has not passed:
+    what is left to hand over when a stream ends for good. A stream that goes
+    on hands them over itself.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    # The aggregates' buffers, in the order of the aggregates: names repeat there.
+    total = "double" if decimals is None else "bigint"
+    sums = F.col("value").cast(f"struct<temp_sum:{total},temp_max:double,power_sum:{total},n:bigint>")
+    return merge_rollup_parts(
+        state.select("key.device_id", F.col("key.window.start").alias("window_start"), sums.alias("_sums")).select(
+            "device_id", "window_start", "_sums.*"
+        ),
+        decimals,
+    )
