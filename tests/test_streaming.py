@@ -6,7 +6,7 @@ import pytest
 from thermowatt import SplitPolicy, hard_limit_alerts, rollup
 from thermowatt.contract import ALERTS
 from thermowatt.sinks import BatchTable
-from thermowatt.streaming import DeviceTails, PipelineTables, run_pipeline, stream_alerts, stream_into
+from thermowatt.streaming import DeviceTails, PipelineTables, run_pipeline, stream_alerts, stream_alerts_keyed, stream_into
 
 from .helpers import bag, expected_alerts, numbered, random_readings, reading
 
@@ -48,6 +48,22 @@ def test_alerts_over_batches_and_restarts(spark, tmp_path, policy):
     assert sorted(p.name for p in (tmp_path / "tails").iterdir()) == ["version_4", "version_5"]
 
 
+def test_keyed_alerts_over_restarts(spark, tmp_path):
+    from thermowatt.session import SETTINGS
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    rows = random_readings(500, 5, seed=5, hot=0.4)
+    df = numbered(spark, rows)
+    table, own = BatchTable(str(tmp_path / "alerts"), ALERTS, "event_ts"), spark.newSession()
+    own.conf.set(name, SETTINGS[name])
+    own.conf.set("spark.sql.shuffle.partitions", 3)
+    for cut in ([0, 3, 200], [200, 500]):
+        feed(df, str(tmp_path / "in"), cut)
+        stream = as_stream(own, df, str(tmp_path / "in"))
+        stream_alerts_keyed(stream, table.add, str(tmp_path / "check"), ORDER, ONCE, history=9).awaitTermination()
+    assert bag(table.rows(spark), "device_id", "type", "value") == by_value(rows, history=9)
+
+
 def test_three_sigma_only_and_other_limits(spark, tmp_path):
     rows = random_readings(300, 3, seed=4)
     df = numbered(spark, rows)

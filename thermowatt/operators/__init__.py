@@ -2,8 +2,8 @@
 
 from .anomalies import all_alerts, anomalous_readings, anomaly_condition, hard_limit_alerts, sigma_alerts
 from .audit import (
-    delivery_audit, duplicated_keys, expected_sequence, missing_keys, missing_ranges, parity_check, pipeline_stats,
-    processed_keys,
+    delivery_audit, duplicated_keys, expected_sequence, missing_keys, missing_ranges, parity_by_digest,
+    parity_check, pipeline_stats, processed_keys,
 )
 from .hot_groups import SplitPolicy
 from .layout import by_device, cached
@@ -21,7 +21,7 @@ __all__ = [
     "SplitPolicy", "all_alerts", "anomalous_readings", "anomaly_condition", "anomaly_count", "by_device", "cached",
     "count_by", "count_since", "decode", "default_stations", "delivery_audit", "duplicated_keys",
     "expected_sequence", "hard_limit_alerts", "latency_summary", "merge_rollup_parts", "missing_keys",
-    "missing_ranges", "order_statistics", "parity_check", "pipeline_stats", "processed_keys", "readings_per_device", "recent",
+    "missing_ranges", "order_statistics", "parity_by_digest", "parity_check", "pipeline_stats", "processed_keys", "readings_per_device", "recent",
     "rejected_rows", "rollup", "rollup_parts", "room_daily_power", "room_hourly_temperature", "row_count", "series",
     "sigma_alerts", "since", "split_valid", "timing_comparison", "to_messages", "top_anomalous_devices",
     "valid_readings", "validate", "weather_to_readings",

@@ -262,6 +262,8 @@ FROM j""",
         "stream_rollup_flushed": "rollup_1h",
         "stream_alerts": "three_sigma_alerts",
         "stream_all_alerts": "all_alerts",
+        "stream_alerts_keyed": "all_alerts",
+        "parity_by_digest": "parity_check",
         "stream_hard_limit_alerts": "hard_limit_alerts",
         "stream_validate_reasons": "validate_reasons",
         "stream_valid_readings": "valid_readings",

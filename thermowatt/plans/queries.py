@@ -10,16 +10,17 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import contract as c
 from ..operators import (
     SplitPolicy, all_alerts, anomalous_readings, anomaly_count, by_device, count_by, count_since, delivery_audit,
-    duplicated_keys, default_stations, hard_limit_alerts, latency_summary, missing_keys, missing_ranges, parity_check,
+    duplicated_keys, default_stations, hard_limit_alerts, latency_summary, missing_keys, missing_ranges, parity_by_digest, parity_check,
     pipeline_stats, processed_keys, readings_per_device, recent, rejected_rows, rollup, room_daily_power,
     room_hourly_temperature, row_count, series, sigma_alerts, timing_comparison, to_messages,
     top_anomalous_devices, valid_readings, validate, weather_to_readings,
 )
+from ..session import SETTINGS
 from ..sinks import BatchTable, write_parquet
 from ..sources import drop_folder, read_readings, shared_folder, stream_parquet
 from ..streaming import (
     ClosedRollups, DeviceTails, PipelineTables, latest_rollups, open_rollups, run_pipeline, stream_alerts,
-    stream_closed_rollups, stream_into, stream_rollup, versions_table,
+    stream_alerts_keyed, stream_closed_rollups, stream_into, stream_rollup, versions_table,
 )
 from . import views
 from .views import ORDER
@@ -250,6 +251,13 @@ def parity(spark, sf_dir):
     )
 
 
+def parity_digests(spark, sf_dir):
+    return parity_by_digest(
+        views.in_range(spark, sf_dir).select(*_READING_COLUMNS),
+        views.accepted(spark, sf_dir).select(*_READING_COLUMNS),
+    )
+
+
 def stats(spark, sf_dir):
     return pipeline_stats(views.validated(spark, sf_dir), ORDER)
 
@@ -369,6 +377,23 @@ def _streamed_alerts(hard_limits: bool) -> Query:
     return run
 
 
+def streamed_keyed_alerts(spark, sf_dir):
+    root = shared_folder(spark, "keyed-alerts")
+    table = BatchTable(f"{root}/table", c.ALERTS, "event_ts", rebalance=True)
+    # State lists need the RocksDB store; the caller's session keeps its own setting.
+    own = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.checkpoint.dir"):
+        if (value := spark.conf.get(name, None)) is not None and own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", SETTINGS["spark.sql.streaming.stateStore.providerClass"])
+
+    def start(ev: DataFrame, checkpoint: str) -> StreamingQuery:
+        return stream_alerts_keyed(_in_range_stream(ev), table.add, checkpoint, ORDER, _BOUNDED)
+
+    _in_parts(own, sf_dir, root, start)
+    return table.rows(spark)
+
+
 def _streamed(purpose: str, schema: T.StructType, build: Callable[[SparkSession, DataFrame], DataFrame]) -> Query:
     """A stateless operator run over the event stream into a table."""
 
@@ -471,6 +496,7 @@ _QUERIES: dict[str, Query] = {
     "missing_ranges": missing_sequence_ranges,
     "delivery_audit": audit,
     "parity_check": parity,
+    "parity_by_digest": parity_digests,
     "pipeline_stats": stats,
     "latency_summary": latencies,
     "timing_comparison": timings,
@@ -480,6 +506,7 @@ _QUERIES: dict[str, Query] = {
     "stream_rollup_late": streamed_late_rollup,
     "stream_alerts": _streamed_alerts(hard_limits=False),
     "stream_all_alerts": _streamed_alerts(hard_limits=True),
+    "stream_alerts_keyed": streamed_keyed_alerts,
     "stream_hard_limit_alerts": streamed_hard_alerts,
     "stream_validate_reasons": streamed_reasons,
     "stream_valid_readings": streamed_readings,
