@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -144,6 +145,45 @@ def test_large_divided_buckets_are_settled_as_by_all_pairs():
     assert len(got) < len(own)
 
 
+def test_pairs_counted_at_once_are_those_of_the_shingles(monkeypatch):
+    rng = random.Random(14)
+    own = templates(kinds=4, n=40) + ["".join(rng.choice("ab c") for _ in range(rng.randrange(20, 90))) for _ in range(60)]
+    want = {(i, j) for i, j in itertools.combinations(range(len(own)), 2) if jaccard(own[i], own[j]) >= 0.8}
+    for asking in (range(len(own)), range(0, len(own), 3), [min(want)[0]]):
+        monkeypatch.setattr(lines, "_ASKING", 7)
+        got = [(i, j) for a, b in lines.similar_pairs(own, np.array(asking)) for i, j in zip(a.tolist(), b.tolist())]
+        assert len(got) == len({frozenset(p) for p in got})
+        assert {frozenset(p) for p in got} == {frozenset(p) for p in want if {*p} & {*asking}} and got
+    pairs = np.array(list(itertools.combinations(range(len(own)), 2)))
+    common, sizes = lines.common_shingles(own, pairs)
+    assert sizes.tolist() == [len(lines.shingles(x)) for x in own]
+    assert common.tolist() == [len(lines.shingles(own[i]) & lines.shingles(own[j])) for i, j in pairs.tolist()]
+
+
+def test_like_lines_of_one_root_cost_no_comparisons():
+    rng = random.Random(15)
+    base = "".join(rng.choice("abcdefghij klmnop") for _ in range(200))
+    own = [f"{base[:190]}{i:010d}" for i in range(4_000)]
+    began = time.perf_counter()
+    assert lines.settle(own + ["q" * 30 + base[::-1]], [0] * 4_000 + [1]) == []
+    assert time.perf_counter() - began < 2.5
+    # A stranger that is like them is linked, by one link.
+    assert len(lines.settle(own + [base[:190] + "x" * 10], [0] * 4_000 + [1])) == 1
+
+
+def test_buckets_beyond_the_small_ones_are_settled_alike(monkeypatch):
+    own = templates(kinds=2, n=160)
+    rng = random.Random(16)
+    for groups in (1, 7, len(own)):
+        given = [rng.randrange(groups) for _ in own]
+        found = []
+        for small in (0, 16_384):
+            monkeypatch.setattr(lines, "SMALL_BUCKET", small)
+            links = lines.settle(own, given) + [(i, given.index(r)) for i, r in enumerate(given)]
+            found.append(roots(range(len(own)), links))
+        assert found[0] == found[1]
+
+
 def test_every_pair_that_meets_is_settled(spark):
     own = templates()
     rows = [(i, "\n".join(own[i::40])) for i in range(40)]

@@ -45,8 +45,9 @@ SEED = 20240101
 #: Groups that band entries are dealt to, for each shuffle partition.
 GROUPS_PER_PARTITION = 8
 
-#: Members up to which all of a divided bucket are compared without a filter.
-SMALL_BUCKET = 16
+#: Members up to which a divided bucket's common shingles are counted, without a filter; asking lines at once.
+SMALL_BUCKET = 16_384
+_ASKING = 512
 
 _FLUSH_ENTRIES = 4_000_000
 _FLUSH_CHARS = 1 << 19
@@ -247,15 +248,82 @@ def similar(a: str, y: set[str]) -> bool:
     return both / (len(x) + len(y) - both) >= SIMILARITY
 
 
+def _distinct_shingles(contents: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, line) of the distinct shingles of each line, sorted by hash."""
+    hashes, starts = shingle_hashes(contents)
+    line = np.repeat(np.arange(len(contents)), np.diff(np.append(starts, len(hashes))))
+    order = np.argsort(hashes, kind="stable")
+    hashes, line = hashes[order], line[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
+    return hashes[new], line[new]
+
+
+def similar_pairs(contents: list[str], asking: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of an asking line and another one whose hashed shingles are similar, each pair of two asking lines once.
+
+    Common shingles are counted for a block of asking lines and all lines at once.
+    """
+    hashes, line = _distinct_shingles(contents)
+    n = len(contents)
+    sizes = np.bincount(line, minlength=n)
+    token = np.cumsum(np.concatenate(([False], hashes[1:] != hashes[:-1])))
+    counts = np.bincount(token)
+    place = np.full(n, n)
+    for at in range(0, len(asking), _ASKING):
+        block = asking[at : at + _ASKING]
+        row = np.full(n, -1)
+        row[block] = np.arange(len(block))
+        # Shingles of one line alone, or of none that asks, are common to no pair.
+        wanted = np.zeros(len(counts), bool)
+        wanted[token[row[line] >= 0]] = True
+        wanted &= counts > 1
+        own = wanted[token]
+        names, lines_of = (np.cumsum(wanted) - 1)[token[own]], line[own]
+        common = np.zeros((len(block), n), np.float32)
+        total = int(wanted.sum())
+        step = max(1, min(total, _FLUSH_ENTRIES // n))
+        for low in range(0, total, step):
+            part = slice(*np.searchsorted(names, [low, low + step]))
+            has = np.zeros((n, step), np.float32)
+            has[lines_of[part], names[part] - low] = 1
+            common += has[block] @ has.T
+        good = common >= SIMILARITY * (sizes[block][:, None] + sizes[None, :] - common) - 1e-3
+        place[block] = np.arange(at, at + len(block))
+        # Lines that asked before have met these already.
+        i, j = np.nonzero(good & (place[None, :] >= np.arange(at, at + len(block))[:, None]))
+        different = block[i] != j
+        yield block[i][different], j[different]
+
+
+def common_shingles(contents: list[str], pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(how many hashed shingles the lines of each pair (i, j) have in common, how many distinct ones each line has)."""
+    hashes, line = _distinct_shingles(contents)
+    token = np.cumsum(np.concatenate(([False], hashes[1:] != hashes[:-1])))
+    by = np.argsort(line, kind="stable")
+    token, sizes = token[by], np.bincount(line, minlength=len(contents))
+    begins, common = np.cumsum(sizes) - sizes, np.zeros(len(pairs), np.int64)
+    step = max(1, _FLUSH_ENTRIES // (4 * int(sizes.max(initial=1))))
+    for at in range(0, len(pairs), step):
+        own = pairs[at : at + step]
+        counts = sizes[own].ravel()
+        places = np.arange(counts.sum()) + np.repeat(begins[own].ravel() - (np.cumsum(counts) - counts), counts)
+        pair = np.repeat(np.arange(len(own)).repeat(2), counts)
+        # What both lines of a pair have comes twice among the shingles of the two.
+        met = np.sort(pair * (len(hashes) + 1) + token[places])
+        common[at : at + step] = np.bincount(met[1:][met[1:] == met[:-1]] // (len(hashes) + 1), minlength=len(own))
+    return common, sizes
+
+
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last, own = None, set()
     for pdf in batches:
-        good = []
-        for a, b in zip(pdf["content_a"], pdf["content_b"]):
-            if b != last:  # pairs come sorted by b from the join
-                last, own = b, shingles(b)
-            good.append(similar(a, own))
-        yield pdf.loc[good, ["a", "b"]]
+        for at in range(0, len(pdf), 1024):
+            part = pdf.iloc[at : at + 1024]
+            places = {x: i for i, x in enumerate(dict.fromkeys([*part["content_a"], *part["content_b"]]))}
+            pairs = np.array([part["content_a"].map(places), part["content_b"].map(places)]).T
+            common, sizes = common_shingles(list(places), pairs)
+            good = common >= SIMILARITY * (sizes[pairs].sum(1) - common) - 1e-6
+            yield part.loc[good, ["a", "b"]]
 
 
 def _by_rarity(contents: list[str]) -> Iterator[np.ndarray]:
@@ -292,38 +360,52 @@ def settle(contents: list[str], roots: list[int]) -> list[tuple[int, int]]:
     of = [names[r] for r in roots]
     links: list[tuple[int, int]] = []
 
-    def compare(j: int, others) -> None:
-        own = None
-        for i in others:
-            if find(of[i]) != find(of[j]):
-                own = shingles(contents[j]) if own is None else own
-                if similar(contents[i], own):
+    if len(contents) <= SMALL_BUCKET:
+        # Of two roots one is not the largest, so only lines outside the largest look others up.
+        root = np.array(of)
+        for a, b in similar_pairs(contents, np.flatnonzero(root != np.bincount(root).argmax())):
+            apart = root[a] != root[b]
+            for i, j in zip(a[apart].tolist(), b[apart].tolist()):
+                if find(of[i]) != find(of[j]) and similar(contents[i], shingles(contents[j])):
                     up[find(of[i])] = find(of[j])
                     links.append((i, j))
-
-    if len(contents) <= SMALL_BUCKET:
-        for j in range(1, len(contents)):
-            compare(j, range(j))
         return links
     kept, probes, sizes = [], [], np.zeros(len(contents), np.int64)
     for i, own in enumerate(_by_rarity(contents)):
         n = sizes[i] = len(own)
         kept.append(own[: n - math.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-6) + 1])
         probes.append(own[: n - math.ceil(SIMILARITY * n - 1e-6) + 1])
-    index: dict[int, list[int]] = {}
+    # Shingle -> root -> lines: what has the root of the line that looks is passed over as a whole.
+    index: dict[int, dict[int, list[int]]] = {}
     for j in np.argsort(sizes, kind="stable").tolist():
-        met = {i for token in probes[j].tolist() for i in index.get(token, ())}
-        least = SIMILARITY * sizes[j] - 1e-6
-        compare(j, sorted(i for i in met if sizes[i] >= least))
+        met: set[int] = set()
+        mine = find(of[j])
+        for token in probes[j].tolist():
+            for root, members in index.get(token, {}).items():
+                if find(root) != mine:
+                    met.update(members)
+        least, own = SIMILARITY * sizes[j] - 1e-6, None
+        for i in sorted(i for i in met if sizes[i] >= least):
+            if find(of[i]) != find(of[j]):
+                own = shingles(contents[j]) if own is None else own
+                if similar(contents[i], own):
+                    up[find(of[i])] = find(of[j])
+                    links.append((i, j))
         for token in kept[j].tolist():
-            index.setdefault(token, []).append(j)
+            index.setdefault(token, {}).setdefault(of[j], []).append(j)
     return links
 
 
 def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
-    ids = pdf["line"].tolist()
-    links = settle(pdf["content"].tolist(), pdf["root"].tolist())
-    return pd.DataFrame([(ids[i], ids[j]) for i, j in links], columns=["a", "b"]).astype("int64")
+    """Links of all buckets of a part."""
+    pdf = pdf.sort_values("key", kind="stable")
+    key, ids = pdf["key"].to_numpy(), pdf["line"].to_numpy()
+    contents, roots = pdf["content"].tolist(), pdf["root"].tolist()
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))).tolist()
+    rows = []
+    for i, j in zip(starts, [*starts[1:], len(key)]):
+        rows += [(ids[i + a], ids[i + b]) for a, b in settle(contents[i:j], roots[i:j])]
+    return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
 
 
 def line_links(docs: DataFrame) -> DataFrame:
@@ -345,7 +427,9 @@ def line_links(docs: DataFrame) -> DataFrame:
     members = stored(members.select("key", "line", F.coalesce("root", "line").alias("root")), "line-members")
     divided = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     divided = members.join(stored(divided, "line-divided"), "key").join(texts, "line")
-    more = divided.groupBy("key").applyInPandas(_settled, "a long, b long")
+    parts = GROUPS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = divided.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
+    more = parted.groupBy("part").applyInPandas(_settled, "a long, b long")
     return first.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
 
 
