@@ -1,24 +1,35 @@
 """Substring deduplication over sliding sentence spans.
 
-A text is cut into sentences: up to a period, question or exclamation mark
-before white space, or a line break. From every sentence a span runs over the
-next ones, until it has at least ``MIN_SENTENCES`` sentences and ``MIN_WORDS``
-words. Spans are hashed (128 bits, of lower-cased words with single blanks), and
-joined globally: the first span of a hash by doc_id and position stays, and
-the sentences that any other one covers are removed. Overlapping spans make
-one passage.
-
-Spans are counted per hash before the join, with partial sums in each task, and
-the join carries hashes and positions only. Texts join once, by document.
+A text is cut into sentences: up to a period, question or exclamation mark and
+closing quotes before white space, a full stop of a script that sets none after
+it, or a line break. A sentence of more than ``MIN_WORDS`` words is cut further,
+after word pairs chosen by their hash, so that equal parts of two sentences are
+cut alike. Every run of at least ``MIN_SENTENCES`` such sentences and
+``MIN_WORDS`` words is a span: the first of equal spans by doc_id and position
+stays, and the sentences that any other one covers are removed. Overlapping
+spans make one passage. Where a script has no blanks, two ideographs or kana
+count as a word, or four letters.
+
+Of all these runs, the shortest from every sentence on and the shortest up to
+every sentence are hashed (128 bits, of lower-cased words with single blanks).
+No run covers more than these: of a repeated run, a sentence from which the
+rest of the run is long enough lies in the shortest run from it on, any other
+one in the shortest run up to the last sentence; both lie within the run, so
+they repeat where it does.
+
+Hashes are counted before the join, with partial sums in each task; places are
+only compared for those that come twice. Texts join once, by document.
 
 Defined results: a null text has no sentences. A null doc_id counts as larger
 than any other. Rows that repeat both doc_id and text count as one document
-and are not held against each other. Extra columns are kept.
+and are not held against each other. Extra columns are kept. Texts are taken
+whole, however long; a text of one word over and over has no place to be cut.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,30 +41,73 @@ from .common import stored
 MIN_SENTENCES = 2
 MIN_WORDS = 25
 
-_SENTENCE = re.compile(r"[^\s].*?(?:[.!?](?=\s)|(?=\n)|\Z)", re.DOTALL)
+#: A place to cut comes after one of this many word pairs.
+CUT = 8
+
+_END = re.compile(r"""[.!?]["'”’»)\]]*(?=\s)|[。！？｡।॥؟۔።]["'”’»)\]」』）】]*|\n""")
+_IDEOGRAPHS = r"぀-ヿ㐀-䶿一-鿿豈-﫿"
+_LETTERS = r"฀-໿က-႟ក-៿"
+_DENSE, _THIN = re.compile(f"[{_IDEOGRAPHS}]"), re.compile(f"[{_LETTERS}]")
+_WORD = re.compile(rf"[^\s{_IDEOGRAPHS}{_LETTERS}]+")
+_TOKEN = re.compile(rf"[{_IDEOGRAPHS}{_LETTERS}]|[^\s{_IDEOGRAPHS}{_LETTERS}]+")
+
+
+def n_words(text: str) -> int:
+    if text.isascii():
+        return len(text.split())
+    dense, thin = len(_DENSE.findall(text)), len(_THIN.findall(text))
+    return len(_WORD.findall(text)) + dense // 2 + thin // 4 if dense or thin else len(text.split())
+
+
+def _cuts(sentence: str) -> Iterator[int]:
+    """Where a long sentence is cut; told by the two words before the place alone."""
+    before = ""
+    for m in _TOKEN.finditer(sentence):
+        word = m.group().lower()
+        if before and m.end() < len(sentence) and zlib.crc32(f"{before} {word}".encode("utf-8", "surrogatepass")) % CUT == 0:
+            yield m.end()
+        before = word
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, stop) of the sentences of a text, in characters."""
-    return [m.span() for m in _SENTENCE.finditer(text)]
+    """(start, stop) of the sentences of a text, or parts of long ones, in characters."""
+    ends = [m.end() for m in _END.finditer(text)]
+    out = []
+    for start, stop in zip([0, *ends], [*ends, len(text)]):
+        sentence = text[start:stop]
+        if own := sentence.strip():
+            start += len(sentence) - len(sentence.lstrip())
+            cuts = [*_cuts(own)] if n_words(own) > MIN_WORDS else []
+            for i, j in zip([0, *cuts], [*cuts, len(own)]):
+                part = own[i:j]
+                out.append((start + j - len(part.lstrip()), start + j))
+    return out
 
 
 def spans(text: str) -> list[tuple[int, int, int, bytes]]:
-    """(first sentence, last sentence, words, hash) of the spans of a text."""
-    words = [text[i:j].lower().split() for i, j in sentences(text)]
-    joined = [" ".join(w) for w in words]
-    sizes = [len(w) for w in words]
-    out, stop, total = [], 0, 0
-    for first in range(len(words)):
-        stop = max(stop, first)
-        while stop < len(words) and (total < MIN_WORDS or stop - first < MIN_SENTENCES):
-            total += sizes[stop]
-            stop += 1
-        if total < MIN_WORDS or stop - first < MIN_SENTENCES:
-            break
-        out.append((first, stop - 1, total, xxhash.xxh3_128_digest("\n".join(joined[first:stop]))))
-        total -= sizes[first]
-    return out
+    """(first sentence, last sentence, words, hash) of the shortest spans from and up to each sentence of a text."""
+    parts = [text[i:j].lower() for i, j in sentences(text)]
+    joined = [" ".join(p.split()) for p in parts]
+    until = [0]
+    for p in parts:
+        until.append(until[-1] + n_words(p))
+
+    def enough(first: int, stop: int) -> bool:
+        return stop - first >= MIN_SENTENCES and until[stop] - until[first] >= MIN_WORDS
+
+    runs, first = set(), 0
+    for stop in range(1, len(parts) + 1):
+        # All starts that this sentence is the first to suffice for, and the last start that suffices for it.
+        begun = first
+        while enough(first, stop):
+            runs.add((first, stop))
+            first += 1
+        if begun == first and first and enough(first - 1, stop):
+            runs.add((first - 1, stop))
+    return [
+        (i, j - 1, until[j] - until[i], xxhash.xxh3_128_digest("\n".join(joined[i:j]).encode("utf-8", "surrogatepass")))
+        for i, j in sorted(runs)
+    ]
 
 
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,6 +128,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = stored(
         keyed.mapInPandas(_find, "doc_id long, doc_key long, first int, last int, hash binary"), "sentence-spans"
     )
+    # Hashes alone are counted first: most come once, and a count is small to shuffle.
+    twice = stored(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "span-hashes")
+    found = stored(found.join(twice, "hash", "left_semi"), "repeated-spans")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key", "first")
     ends = found.groupBy("hash").agg(F.min(place).alias("kept"), F.max(place).alias("other")).where("kept <> other")
     ends = stored(ends.select("hash", "kept"), "span-firsts")
@@ -102,7 +159,7 @@ def _cut_out(lists: pd.Series, texts: pd.Series) -> pd.Series:
     for gone, text in zip(lists, texts):
         own = _passages([(g["first"], g["last"], g["first_doc_id"]) for g in gone], text)
         out.append([
-            {"sentence": s, "start": i, "stop": j, "words": len(text[i:j].split()), "first_doc_id": d, "passage": text[i:j]}
+            {"sentence": s, "start": i, "stop": j, "words": n_words(text[i:j]), "first_doc_id": d, "passage": text[i:j]}
             for s, i, j, d in own
         ])
     return pd.Series(out, dtype=object)
@@ -123,21 +180,28 @@ def _without(lists: pd.Series, texts: pd.Series) -> pd.Series:
 
 
 def _gathered(docs: DataFrame) -> DataFrame:
-    """(doc_key, gone): covered runs of each document; their number is bounded by its sentences."""
-    covered = repeated_spans(docs).groupBy("doc_key", "first", "last").agg(F.min("first_doc_id").alias("first_doc_id"))
-    return covered.groupBy("doc_key").agg(F.collect_list(F.struct("first", "last", "first_doc_id")).alias("gone"))
+    """(_doc_id, _doc_key, _gone): covered runs of each document; their number is bounded by its sentences."""
+    names = F.col("doc_id").alias("_doc_id"), F.col("doc_key").alias("_doc_key")
+    covered = repeated_spans(docs).groupBy(*names, "first", "last").agg(F.min("first_doc_id").alias("first_doc_id"))
+    return covered.groupBy("_doc_id", "_doc_key").agg(F.collect_list(F.struct("first", "last", "first_doc_id")).alias("_gone"))
+
+
+def _with_gone(docs: DataFrame, how: str) -> DataFrame:
+    """``docs`` with _gone; a document is known by its id and the hash of both id and text."""
+    key = F.xxhash64("doc_id", "text")
+    return docs.join(_gathered(docs), (key == F.col("_doc_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")), how)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per removed passage: doc_id, sentence, start, stop (in characters), words, first_doc_id, passage."""
-    keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), "text")
-    rows = keyed.join(_gathered(docs), "doc_key").select("doc_id", F.explode(F.pandas_udf(_cut_out, _PASSAGE)("gone", "text")).alias("p"))
+    rows = _with_gone(docs.select("doc_id", "text"), "inner")
+    rows = rows.select("doc_id", F.explode(F.pandas_udf(_cut_out, _PASSAGE)("_gone", "text")).alias("p"))
     return rows.select("doc_id", "p.*")
 
 
 def drop_repeated_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages taken out of their texts."""
-    keyed = docs.withColumn("_doc_key", F.xxhash64("doc_id", "text"))
-    left = keyed.join(_gathered(docs).withColumnRenamed("doc_key", "_doc_key").withColumnRenamed("gone", "_gone"), "_doc_key", "left")
+    # The document as one struct: its columns may have any names.
+    left = _with_gone(docs.select("doc_id", "text", F.struct("*").alias("_doc")), "left")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.pandas_udf(_without, "string")("_gone", "text"))
-    return left.withColumn("text", text).select(*docs.columns)
+    return left.select(*(text.alias(c) if c == "text" else F.col("_doc").getField(c).alias(c) for c in docs.columns))
