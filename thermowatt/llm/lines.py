@@ -15,6 +15,9 @@ don't cost a comparison each. Candidates are verified by their exact Jaccard
 similarity; components come from distributed union-find, and of every
 component the first line stays, by doc_id and line number.
 
+Links between buckets join roots of the first components; only these few go
+through union-find once more.
+
 Entries of a line that comes again in a task are sent on once. They travel as
 arrays, one row per task and target group. A bucket that is still divided is
 settled in one task, as much as its lines share with each other.
@@ -397,19 +400,18 @@ def settle(contents: list[str], roots: list[int]) -> list[tuple[int, int]]:
 
 
 def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links of all buckets of a part."""
+    """Links of all buckets of a part, as roots of the lines linked."""
     pdf = pdf.sort_values("key", kind="stable")
-    key, ids = pdf["key"].to_numpy(), pdf["line"].to_numpy()
-    contents, roots = pdf["content"].tolist(), pdf["root"].tolist()
+    key, contents, roots = pdf["key"].to_numpy(), pdf["content"].tolist(), pdf["root"].tolist()
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))).tolist()
     rows = []
     for i, j in zip(starts, [*starts[1:], len(key)]):
-        rows += [(ids[i + a], ids[i + b]) for a, b in settle(contents[i:j], roots[i:j])]
+        rows += [(roots[i + a], roots[i + b]) for a, b in settle(contents[i:j], roots[i:j])]
     return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
 
 
-def line_links(docs: DataFrame) -> DataFrame:
-    """Links (a, b) between identifiers of different lines that connect all similar ones that meet in a band."""
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, root) of lines that the first links connect, and links (a, b) that connect roots or lines without a link."""
     met = stored(buckets(docs), "line-buckets")
     pairs = stored(met.where("key IS NULL").selectExpr("inline(arrays_zip(a, b))").distinct(), "line-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
@@ -430,16 +432,28 @@ def line_links(docs: DataFrame) -> DataFrame:
     parts = GROUPS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = divided.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
     more = parted.groupBy("part").applyInPandas(_settled, "a long, b long")
+    return first, stored(more.distinct(), "line-root-links")
+
+
+def line_links(docs: DataFrame) -> DataFrame:
+    """Links (a, b) between identifiers of different lines that connect all similar ones that meet in a band."""
+    first, more = _found(docs)
     return first.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_doc_key", F.xxhash64("doc_id", "text"))
+def line_roots(docs: DataFrame) -> DataFrame:
+    """(line, root) of every line that is like another; the root is the smallest identifier of its component."""
+    first, more = _found(docs)
+    tops = stored(components(more, "a", "b"), "line-top-roots")
+    above = tops.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    lifted = first.select(F.col("node").alias("line"), "root").join(above, "root", "left")
+    lone = tops.join(first.select("node"), "node", "left_anti").select(F.col("node").alias("line"), "root")
+    return lifted.select("line", F.coalesce("top", "root").alias("root")).unionAll(lone)
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """Lines to remove: doc_id, doc_key, line_no, with first_doc_id and first_line_no of the line that stays."""
-    roots = components(line_links(docs), "a", "b").withColumnRenamed("node", "line")
+    roots = line_roots(docs)
     places = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), "text").mapInPandas(
         _occurrences, "line long, doc_id long, doc_key long, line_no int"
     )
@@ -458,7 +472,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the text of repeated lines taken out; other columns as they were, n_chars counted anew if there is one."""
-    gone = repeated_lines(docs).groupBy("doc_key").agg(F.collect_set("line_no").alias("_gone"))
+    gone = repeated_lines(docs).groupBy(F.col("doc_id").alias("_doc_id"), F.col("doc_key").alias("_gone_key"))
+    gone = gone.agg(F.collect_set("line_no").alias("_gone"))
 
     @F.pandas_udf("string")
     def without(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -471,8 +486,12 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
                 out.append(text)
             yield pd.Series(out, dtype=object)
 
-    left = _keyed(docs).withColumnRenamed("_doc_key", "doc_key").join(gone, "doc_key", "left")
-    left = left.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(without("text", "_gone")))
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return left.select(*docs.columns)
+    # The document as one struct: its columns may have any names.
+    left = docs.select(F.struct("*").alias("_doc"), F.xxhash64("doc_id", "text").alias("_doc_key"))
+    same = (F.col("_doc_key") == F.col("_gone_key")) & F.col("_doc.doc_id").eqNullSafe(F.col("_doc_id"))
+    kept = F.col("_gone").isNull()
+    text = F.when(kept, F.col("_doc.text")).otherwise(without("_doc.text", "_gone"))
+    left = left.join(gone, same, "left").withColumn("_text", text)
+    n_chars = F.when(kept, F.col("_doc").getField("n_chars")).otherwise(F.length("_text").cast("long"))
+    changed = {"text": F.col("_text"), "n_chars": n_chars}
+    return left.select(*(changed[c].alias(c) if c in changed else F.col("_doc").getField(c).alias(c) for c in docs.columns))
