@@ -126,7 +126,7 @@ def exact_dedup(
         (at == F.struct(F.col("first.path").alias("path"), F.col("first.row").alias("row"))).alias("kept"),
         "text_sha256",
     )
-    fewer = odd.groupBy("digest").agg(F.count(F.lit(1)).alias("odd"))
+    fewer = stored(odd.groupBy("digest").agg(F.count(F.lit(1)).alias("odd")), "exact-dedup-odd")
     same = marked.where("n > 1 AND kept").drop("text").unionByName(compared.where("same").drop("text", "same"))
     same = same.join(fewer, "digest", "left").withColumn("n", F.col("n") - F.coalesce(F.col("odd"), F.lit(0)))
     return marked.where("n = 1").select(*plain).unionAll(same.select(*plain)).unionAll(odd_rows)
