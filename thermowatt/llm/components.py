@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources import drop_folder, shared_folder
 from .common import stored
 
+#: Rounds after which components are given up with an error; a path of n nodes takes about log2(n).
+MAX_ROUNDS = 1_000
+
 
 def _minimum(pairs: DataFrame) -> DataFrame:
     """(u, m): the smallest of a node and its neighbours."""
@@ -42,7 +45,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     spark = links.sparkSession
     pairs = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u IS NOT NULL AND u <> v").distinct()
     root, path, last = shared_folder(spark, "components"), None, None
-    for turn in range(1_000):
+    for turn in range(MAX_ROUNDS):
         previous, path = path, f"{root}/{turn}"
         pairs.write.parquet(path)
         pairs = spark.read.schema(pairs.schema).parquet(path)
@@ -54,5 +57,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             break
         last = tuple(seen)
         pairs = _small_star(_large_star(pairs)).where("u <> v").distinct()
+    else:
+        raise RuntimeError(f"links still change after {MAX_ROUNDS} rounds")
     roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
