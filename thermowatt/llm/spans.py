@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 import xxhash
@@ -49,48 +50,58 @@ _IDEOGRAPHS = r"぀-ヿ㐀-䶿一-鿿豈-﫿"
 _LETTERS = r"฀-໿က-႟ក-៿"
 _DENSE, _THIN = re.compile(f"[{_IDEOGRAPHS}]"), re.compile(f"[{_LETTERS}]")
 _WORD = re.compile(rf"[^\s{_IDEOGRAPHS}{_LETTERS}]+")
+_BLANKS_APART = re.compile(r"\S+")
 _TOKEN = re.compile(rf"[{_IDEOGRAPHS}{_LETTERS}]|[^\s{_IDEOGRAPHS}{_LETTERS}]+")
 
 
+def _blanks_alone(text: str) -> bool:
+    """Whether words are told by blanks alone."""
+    return text.isascii() or not (_DENSE.search(text) or _THIN.search(text))
+
+
 def n_words(text: str) -> int:
-    if text.isascii():
+    if _blanks_alone(text):
         return len(text.split())
-    dense, thin = len(_DENSE.findall(text)), len(_THIN.findall(text))
-    return len(_WORD.findall(text)) + dense // 2 + thin // 4 if dense or thin else len(text.split())
+    return len(_WORD.findall(text)) + len(_DENSE.findall(text)) // 2 + len(_THIN.findall(text)) // 4
 
 
-def _cuts(sentence: str) -> Iterator[int]:
+def _cuts(sentence: str, blanks: bool) -> list[int]:
     """Where a long sentence is cut; told by the two words before the place alone."""
-    before = ""
-    for m in _TOKEN.finditer(sentence):
-        word = m.group().lower()
-        if before and m.end() < len(sentence) and zlib.crc32(f"{before} {word}".encode("utf-8", "surrogatepass")) % CUT == 0:
-            yield m.end()
-        before = word
+    places = [m.span() for m in (_BLANKS_APART if blanks else _TOKEN).finditer(sentence)]
+    words = [sentence[i:j].lower() for i, j in places]
+    ends = (j for (_, j), pair in zip(places[1:], zip(words, words[1:])) if zlib.crc32(" ".join(pair).encode()) % CUT == 0)
+    return [j for j in ends if j < len(sentence)]
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """(start, stop) of the sentences of a text, or parts of long ones, in characters."""
+def _sentences(text: str, blanks: bool) -> list[tuple[int, int]]:
     ends = [m.end() for m in _END.finditer(text)]
     out = []
     for start, stop in zip([0, *ends], [*ends, len(text)]):
         sentence = text[start:stop]
         if own := sentence.strip():
             start += len(sentence) - len(sentence.lstrip())
-            cuts = [*_cuts(own)] if n_words(own) > MIN_WORDS else []
+            # A sentence this short cannot have so many words.
+            if len(own) <= MIN_WORDS or (len(own.split()) if blanks else n_words(own)) <= MIN_WORDS:
+                out.append((start, start + len(own)))
+                continue
+            cuts = _cuts(own, blanks)
             for i, j in zip([0, *cuts], [*cuts, len(own)]):
-                part = own[i:j]
-                out.append((start + j - len(part.lstrip()), start + j))
+                out.append((start + j - len(own[i:j].lstrip()), start + j))
     return out
 
 
+def sentences(text: str) -> list[tuple[int, int]]:
+    """(start, stop) of the sentences of a text, or parts of long ones, in characters."""
+    return _sentences(text, _blanks_alone(text))
+
+
 def spans(text: str) -> list[tuple[int, int, int, bytes]]:
     """(first sentence, last sentence, words, hash) of the shortest spans from and up to each sentence of a text."""
-    parts = [text[i:j].lower() for i, j in sentences(text)]
-    joined = [" ".join(p.split()) for p in parts]
-    until = [0]
-    for p in parts:
-        until.append(until[-1] + n_words(p))
+    blanks = _blanks_alone(text)
+    parts = [text[i:j].lower() for i, j in _sentences(text, blanks)]
+    words = [p.split() for p in parts]
+    joined = [" ".join(w) for w in words]
+    until = [0, *accumulate(map(len, words) if blanks else map(n_words, parts))]
 
     def enough(first: int, stop: int) -> bool:
         return stop - first >= MIN_SENTENCES and until[stop] - until[first] >= MIN_WORDS
@@ -105,7 +116,7 @@ def spans(text: str) -> list[tuple[int, int, int, bytes]]:
         if begun == first and first and enough(first - 1, stop):
             runs.add((first - 1, stop))
     return [
-        (i, j - 1, until[j] - until[i], xxhash.xxh3_128_digest("\n".join(joined[i:j]).encode("utf-8", "surrogatepass")))
+        (i, j - 1, until[j] - until[i], xxhash.xxh3_128_digest("\n".join(joined[i:j])))
         for i, j in sorted(runs)
     ]
 
@@ -113,13 +124,13 @@ def spans(text: str) -> list[tuple[int, int, int, bytes]]:
 def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for at in range(0, len(pdf), 512):
-            rows = [
-                (None if pd.isna(doc_id) else int(doc_id), key, *span)
-                for doc_id, key, text in pdf.iloc[at : at + 512].itertuples(index=False)
-                for span in spans(text or "")
-            ]
-            out = pd.DataFrame(rows, columns=["doc_id", "doc_key", "first", "last", "words", "hash"])
-            yield out.astype({"doc_id": "Int64"}).drop(columns="words")
+            part = pdf.iloc[at : at + 512]
+            found = [spans(text or "") for text in part["text"]]
+            own = part[["doc_id", "doc_key"]].astype({"doc_id": "Int64"})
+            out = own.loc[own.index.repeat([len(x) for x in found])].reset_index(drop=True)
+            for column, place in (("first", 0), ("last", 1), ("hash", 3)):
+                out[column] = pd.Series([span[place] for x in found for span in x], dtype="object" if place == 3 else "int32")
+            yield out
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
