@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -61,3 +62,25 @@ def test_recall(spark):
         assert len(got[ids[i]]) == 20
         hits, total = hits + len(true & set(got[ids[i]])), total + 20
     assert hits / total >= 0.9
+
+
+@pytest.mark.parametrize("lengths", ["unit", "lognormal", "one long"])
+def test_recall_of_windows(spark, lengths):
+    rng = np.random.default_rng(5)
+    n = 20_000
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if lengths == "lognormal":
+        x *= rng.lognormal(size=n)[:, None]
+    if lengths == "one long":
+        x[17] *= 1000
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.tolist()}))
+    got = {}
+    for r in nearest(df, F.col("vec_id") % 400 == 0, block_rows=64, ask_rows=8).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in range(0, n, 400):
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & got[i])
+    assert hits / (20 * n / 400) >= 0.9

@@ -1,16 +1,19 @@
 """Approximate nearest neighbours by inner product, over shifted space-filling curves.
 
-Vectors are lifted to equal length (one more component each), so the largest
-inner product is the nearest point. Each curve looks at its own few random
-orthogonal directions, shifts them by its own offset, and orders the vectors
-by their place on a Hilbert curve through these directions. Spark range-partitions
-all vectors by curve and place, and numbers them; a query is compared with
-the vectors in a window around its own place, on every curve. Windows are cut
-into blocks of at most ``BLOCK_ROWS`` vectors, each compared as one matrix
-product in a task, which hands on the ``k`` best of a block only. The best of
-all curves are ranked by the exact inner product in double precision.
-
-A window reaches over a share ``window`` of all vectors on either side. On data
+Vectors are told apart by length: a class holds lengths within a factor of
+the square root of two, so in a class the largest inner product is all but the
+nearest direction, and no long vector blurs the directions of short ones. Each
+curve looks at its own few random orthogonal directions, shifts them by its
+own offset, and orders the directions of the vectors by their place on a
+Hilbert curve through these axes. Spark range-partitions all vectors by class,
+curve and place, and numbers them; a query has a place in every class and is
+compared with the vectors in a window around it, on every curve. Windows are
+cut into blocks of at most ``block_rows`` vectors, each compared with some
+``ask_rows`` queries as one matrix product in a task, which hands on the ``k``
+best of a block only. The best of all curves are ranked by the exact inner
+product in double precision.
+
+A window reaches over a share ``window`` of a class on either side. On data
 without any structure (isotropic random vectors) nothing less than a large
 share finds most neighbours, whatever the index; data of few inherent
 dimensions needs far less, and the share is the knob.
@@ -36,6 +39,7 @@ DIRECTIONS = 8
 BITS = 7
 WINDOW = 1 / 24
 BLOCK_ROWS = 4096
+ASK_ROWS = 4096
 SEED = 7
 
 
@@ -74,40 +78,53 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _places(dim: int, longest: float, curves: int):
+def _length_class() -> Column:
+    """Number of the class a vector's length is in; some 4,200 at most, as doubles have so many powers of two."""
+    peak = "array_max(transform(vector, x -> abs(x)))"
+    squares = "aggregate(vector, 0D, (a, x) -> a + (x / peak) * (x / peak))"
+    return F.expr(f"get(transform(array({peak}), peak -> CAST(floor(2 * log2(peak) + log2({squares}) + 0.5) AS INT)), 0)")
+
+
+def _places(dim: int, curves: int):
     """Task that gives (curve, place) of vectors."""
     rng = np.random.default_rng(SEED)
     turns = []
     while sum(t.shape[1] for t in turns) < curves * DIRECTIONS:
-        turns.append(np.linalg.qr(rng.normal(size=(dim + 1, dim + 1)))[0])
+        turns.append(np.linalg.qr(rng.normal(size=(dim, dim)))[0])
     # Directions of one rotation are used up before the next begins.
     axes = np.concatenate(turns, 1)[:, : curves * DIRECTIONS]
     shifts = rng.uniform(0, 0.5, size=(curves, DIRECTIONS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            v = np.stack(pdf["vector"].to_list()) / longest
-            lifted = np.concatenate((v, np.sqrt(np.maximum(0, 1 - (v * v).sum(1)))[:, None]), 1)
-            flat = lifted @ axes
+            v = np.stack(pdf["vector"].to_list())
+            v = v / np.abs(v).max(1)[:, None]
+            flat = v / np.sqrt((v * v).sum(1))[:, None] @ axes
             for curve in range(curves):
                 own = flat[:, curve * DIRECTIONS : (curve + 1) * DIRECTIONS] * np.sqrt(dim) / 6 + 0.25 + shifts[curve]
                 cells = np.clip(own * (1 << BITS), 0, (1 << BITS) - 1).astype(np.int64)
-                yield pd.DataFrame({"curve": curve, "place": hilbert(cells, BITS), "rep": pdf["rep"], "vector": pdf["vector"]})
+                yield pdf.assign(curve=curve, place=hilbert(cells, BITS))[["length_class", "curve", "place", "rep", "vector", "asks"]]
 
     return run
 
 
-def _numbered(places: DataFrame, total: int, curves: int) -> DataFrame:
-    """``places`` with their rank within the curve, without a window over a whole curve."""
+def _numbered(places: DataFrame) -> DataFrame:
+    """``places`` with the number of vectors before each in its class and curve, without a window over a whole curve."""
     spark = places.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = places.repartitionByRange(n, "curve", "place", "rep").sortWithinPartitions("curve", "place", "rep")
+    order = ["length_class", "curve", "place", "rep", "asks"]
+    dealt = places.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # The written files keep which range a row is in, whatever is recomputed later.
     dealt = stored(dealt.withColumn("range_no", F.spark_partition_id()), "curve-places")
-    counts = dealt.groupBy("curve", "range_no").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.selectExpr("curve", "range_no", "sum(n) OVER (PARTITION BY curve ORDER BY range_no) - n AS before")
-    place = "row_number() OVER (PARTITION BY curve, range_no ORDER BY place, rep) - 1 + before AS rank"
-    return dealt.join(before, ["curve", "range_no"]).selectExpr("curve", "rep", "vector", place)
+    counts = dealt.groupBy("length_class", "curve", "range_no").agg(F.sum(F.expr("1 - asks")).alias("n"))
+    before = counts.selectExpr(
+        "length_class", "curve", "range_no", "sum(n) OVER (PARTITION BY length_class, curve ORDER BY range_no) - n AS before"
+    )
+    rank = """
+        sum(1 - asks) OVER (PARTITION BY length_class, curve, range_no ORDER BY place, rep, asks ROWS UNBOUNDED PRECEDING)
+        - (1 - asks) + before AS rank
+    """
+    return dealt.join(before, ["length_class", "curve", "range_no"]).selectExpr("length_class", "curve", "rep", "vector", "asks", rank)
 
 
 def _best(scores: np.ndarray, queries: np.ndarray, reps: np.ndarray, k: int) -> pd.DataFrame:
@@ -141,6 +158,7 @@ def nearest(
     curves: int = CURVES,
     window: float = WINDOW,
     block_rows: int = BLOCK_ROWS,
+    ask_rows: int = ASK_ROWS,
 ) -> DataFrame:
     """Rows (query_id, rank, vec_id, score) for the rows of ``vectors`` (vec_id, embedding) where ``queries`` holds."""
     spark = vectors.sparkSession
@@ -156,26 +174,42 @@ def nearest(
     good = good.withColumn("same", F.sha2(F.to_json("vector").cast("binary"), 256))
     good = stored(good, "vectors")
     reps = good.groupBy("same").agg(F.min("vec_id").alias("rep"), F.min_by("vector", "vec_id").alias("vector"))
-    reps = stored(reps, "distinct-vectors")
-    total, longest = reps.agg(
-        F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)))
-    ).first()
-    placed = reps.select("rep", "vector").mapInPandas(
-        _places(dim, longest, curves), "curve int, place long, rep long, vector array<double>"
+    reps = stored(reps.withColumn("length_class", _length_class()), "distinct-vectors")
+    sizes = reps.groupBy("length_class").agg(F.count(F.lit(1)).alias("n")).collect()
+    classes = spark.createDataFrame([tuple(r) for r in sizes], "length_class int, n long")
+
+    asking = good.where("asks").groupBy("same").agg(F.lit(1).alias("asks")).join(reps, "same")
+    placing = _places(dim, curves)
+    place_type = "length_class int, curve int, place long, rep long, vector array<double>, asks int"
+    columns = ["length_class", "rep", "vector", F.lit(0).alias("asks")]
+    vectors_placed = reps.select(*columns).mapInPandas(placing, place_type)
+    every_class = F.explode(F.array(*[F.lit(r["length_class"]) for r in sizes]))
+    queries_placed = asking.select(*columns).mapInPandas(placing, place_type).select(
+        every_class.alias("length_class"), "curve", "place", "rep", F.lit(None).cast("array<double>").alias("vector"), F.lit(1).alias("asks")
+    )
+    ranked = stored(_numbered(vectors_placed.unionAll(queries_placed)), "curve-ranks")
+
+    at = ["length_class", "curve", "block"]
+    reach = F.greatest(F.lit(k + 1), F.ceil(F.col("n") * window))
+    lo = F.floor(F.greatest(F.col("rank") - reach, F.lit(0)) / block_rows)
+    hi = F.floor(F.least(F.col("rank") + reach, F.col("n") - 1) / block_rows)
+    asked = ranked.where("asks = 1").join(F.broadcast(classes), "length_class").select(
+        "length_class", "curve", F.col("rep").alias("query"), F.sequence(lo, hi).alias("blocks")
+    )
+    # A block is met by all queries around it; beyond `ask_rows` they are dealt over copies of the block.
+    loads = asked.select("length_class", "curve", F.explode("blocks").alias("block")).groupBy(*at).agg(
+        F.ceil(F.count(F.lit(1)) / ask_rows).alias("parts")
+    )
+    loads = stored(loads, "block-loads")
+    vector_of = reps.select(F.col("rep").alias("query"), F.col("vector").alias("asking"))
+    asked = asked.join(vector_of, "query").select("length_class", "curve", F.explode("blocks").alias("block"), "query", "asking")
+    asked = asked.join(loads, at).selectExpr(
+        "length_class AS in_class", "curve AS on_curve", "block AS at_block", "pmod(xxhash64(query), parts) AS in_part", "query", "asking"
     )
-    ranked = stored(_numbered(placed, total, curves), "curve-ranks")
-
-    asking = good.where("asks").groupBy("same").agg(F.lit(1).alias("asks")).join(reps.select("same", "rep"), "same").select("rep")
-    reach = max(k + 1, int(np.ceil(total * window)))
-    block = F.floor(F.col("rank") / block_rows)
-    blocks = ranked.select("curve", block.alias("block"), "rep", "vector")
-    lo, hi = F.greatest(F.col("rank") - reach, F.lit(0)), F.least(F.col("rank") + reach, F.lit(total - 1))
-    asked = ranked.join(asking, "rep").select(
-        F.col("curve").alias("at_curve"),
-        F.explode(F.sequence(F.floor(lo / block_rows), F.floor(hi / block_rows))).alias("at_block"),
-        F.col("rep").alias("query"), F.col("vector").alias("asking"),
+    blocks = ranked.where("asks = 0").withColumn("block", F.floor(F.col("rank") / block_rows)).join(loads, at).select(
+        *at, F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), "rep", "vector"
     )
-    met = asked.groupBy("at_curve", "at_block").cogroup(blocks.groupBy("curve", "block")).applyInPandas(
+    met = asked.groupBy("in_class", "on_curve", "at_block", "in_part").cogroup(blocks.groupBy(*at, "part")).applyInPandas(
         _compared(k + 1), "query long, rep long, score double"
     )
     # A pair can meet on several curves. Its score is then the same but for rounding.
