@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thermowatt.llm import language
-from thermowatt.llm.language import KneserNey, codes, grams, identify
+from thermowatt.llm.language import codes, grams, identify
 
 KIND = "doc_id long, text string, lang string"
 
@@ -36,33 +36,54 @@ def naive(text, vocabulary):
     return prob
 
 
-def test_same_probabilities_as_by_hand():
-    text = "the cat sat on the mat and the rat ran at the cat"
-    code = np.concatenate((np.full(3, 32), codes(text)))
-    three, char, _ = grams(code, np.array([0]))
-    pairs, n = np.unique(np.stack((three, char)), axis=1, return_counts=True)
-    model, prob = KneserNey(pairs[0], pairs[1], n, 30), naive(text, 30)
-    for probe in ("the cat", "zebra at the", "xq z"):
-        own = np.concatenate((np.full(3, 32), codes(probe)))
-        contexts, chars, _ = grams(own, np.array([0]))
-        got = model.prob(4, contexts, chars)
+WORDS = {"a": "the cat sat on the mat and the rat ran at the cat", "b": "einige worte anderer art und weise, eine art worte", "c": "ñandú y nada"}
+
+
+def contexts_of(probe):
+    return grams(np.concatenate((np.full(3, 32), codes(probe))), np.array([0]))[:2]
+
+
+@pytest.mark.parametrize("block", [16, 2])
+def test_same_probabilities_as_a_naive_model(spark, monkeypatch, block):
+    monkeypatch.setattr(language, "BLOCK", block)
+    model = language.train(spark.createDataFrame([(x, t) for x, t in WORDS.items()], "lang string, text string"))
+    assert model.languages == list("abc") and len(model.blocks) == (1 if block == 16 else 2)
+    vocabulary = len(set("".join(WORDS.values()))) + 1
+    for probe in ("the cat", "zebra at the", "xq z", "worte und ñandú"):
+        got = model.logs(*contexts_of(probe))
         padded = "   " + probe
-        want = [prob(padded[i : i + 3], padded[i + 3]) for i in range(len(probe))]
-        assert np.allclose(got, want)
-
-
-def test_combined_tables_give_the_models_own_probabilities():
-    parts = {}
-    for lang, text in (("a", "some words of one kind and of another"), ("b", "einige worte anderer art und weise")):
-        three, char, _ = grams(np.concatenate((np.full(3, 32), codes(text))), np.array([0]))
-        pairs, n = np.unique(np.stack((three, char)), axis=1, return_counts=True)
-        parts[lang] = KneserNey(pairs[0], pairs[1], n, 40)
-        parts[lang].grams = pairs[0], pairs[1]
-    model = language._combined(["a", "b"], parts)
-    contexts, chars, _ = grams(np.concatenate((np.full(3, 32), codes("words und worte, 77 ñandú of art"))), np.array([0]))
-    got = model.logs(contexts, chars)
-    for k, lang in enumerate("ab"):
-        assert np.allclose(got[:, k], np.log(parts[lang].prob(4, contexts, chars)), atol=1e-4)
+        for k, text in enumerate(WORDS.values()):
+            prob = naive(text, vocabulary)
+            assert np.allclose(got[:, k], [np.log(prob(padded[i : i + 3], padded[i + 3])) for i in range(len(probe))], atol=1e-4)
+
+
+def test_pruning_keeps_statistics_of_all_and_sums_to_one(spark, monkeypatch):
+    rows = spark.createDataFrame([(x, t) for x, t in WORDS.items()], "lang string, text string")
+    whole = {o: {(r.lang, r.context, r.ch): r.share for r in d.collect()} for o, d in language.shares(language.count_grams(rows)).items()}
+    monkeypatch.setattr(language, "MODEL_CELLS", 1)
+    monkeypatch.setattr(language, "LEAST_GRAMS", 9)
+    for order, level in language.shares(language.count_grams(rows)).items():
+        kept = language._pruned(level, 9).collect()
+        assert Counter(r.lang for r in kept) == {x: min(9, sum(k[0] == x for k in whole[order])) for x in "abc"}
+        assert all(whole[order][r.lang, r.context, r.ch] == r.share for r in kept)
+    model = language.train(rows)
+    chars = np.array(sorted(set(codes("".join(WORDS.values())).tolist())))
+    for context in contexts_of("the cat und")[0]:
+        total = np.exp(model.logs(np.full(len(chars), context), chars).astype(float)).sum(0)
+        # One more character stands for all that were never seen.
+        unseen = np.exp(model.logs(np.array([context]), np.array([0x4E00])).astype(float))[0]
+        assert np.allclose(total + unseen, 1, atol=1e-4)
+
+
+def test_seventy_languages(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(70):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(40)]
+        rows += [(k * 1000 + i, " ".join(rng.choices(words, k=30)), f"l{k:02}") for i in range(20 if k < 69 else 8)]
+    got = identify(spark.createDataFrame(rows, KIND)).where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.98
+    assert {r.lang_pred for r in got if r.lang == "l69"} <= {"l69"} and any(r.lang == "l69" for r in got)
 
 
 def test_long_texts_in_chunks(monkeypatch):

@@ -1,12 +1,16 @@
 """Language identification by interpolated Kneser-Ney models over characters.
 
-Training counts the 4-grams of every labelled training text in Spark. The most
-frequent of each language, within a fixed model size, give the model: absolute
-discounting at each order, continuation counts below the highest, and
-interpolation down to single characters. N-grams of all languages lie in
-sorted arrays of 64-bit hashes, beside a row of log probabilities, one per
-language; an n-gram that no language has is found by its context and the next
-lower order. A text's language is the one of lowest cross-entropy per character.
+Training counts the 4-grams of every labelled training text in Spark, and takes
+from all of them, at every order, the absolute discount, the continuation
+counts below the highest order, and each n-gram's discounted share of its
+context. Only then are the n-grams pruned to a fixed model size: those of the
+largest count times share stay, and what a pruned one had goes to the lower
+order, so that probabilities still sum to one. Languages are laid out in blocks
+of ``BLOCK``: n-grams of a block lie in sorted arrays of 64-bit hashes, beside
+a row of log probabilities, one per language; an n-gram that no language of
+the block has is found by its context and the next lower order. A text's
+language is the one of lowest cross-entropy per character. Any number of
+languages can be learned.
 
 Rejection is calibrated on a bounded sample of training texts: a text goes if
 its best cross-entropy lies further above its language's median than ``REJECT``
@@ -30,10 +34,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
 
-#: Bound of the model: log probabilities in its highest order, about 8 bytes each.
+#: Bound of the model's highest order in log probabilities, about 8 bytes each, as long as LEAST_GRAMS does not exceed it.
 MODEL_CELLS = 4_000_000
-#: Languages that can be learned, those with the most training rows first.
-MAX_LANGUAGES = 64
+#: N-grams of an order that every language may keep, however many languages there are.
+LEAST_GRAMS = 500
+#: Languages that share their arrays.
+BLOCK = 16
 #: Training texts, at most about, that calibration looks at. The model itself counts all training texts.
 CALIBRATION_ROWS = 4_000
 REJECT = 25.0
@@ -41,6 +47,7 @@ CHUNK_CHARS = 1 << 19
 UNDETERMINED = "und"
 
 _FLUSH = 2_000_000  # distinct n-grams a task gathers before it hands them on
+_SALTS = 32  # parts of a language's n-grams that are pruned on their own first
 _START = np.full(3, 32, np.int64)
 _M1, _M2 = np.int64(-7046029254386353131), np.int64(-4417276706812531889)
 
@@ -142,24 +149,16 @@ _MASKS = {3: (1 << 63) - 1, 2: (1 << 42) - 1, 1: (1 << 21) - 1}
 class KneserNey:
     """One language: per order sorted hashes with discounted shares, and contexts with what they leave to lower orders."""
 
-    def __init__(self, three: np.ndarray, char: np.ndarray, n: np.ndarray, vocabulary: int):
+    def __init__(self, shares: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], vocabulary: int):
+        """``shares``: order -> (context, character, share), of all n-grams or the kept ones."""
         self.levels, self.vocabulary = {}, vocabulary
-        context, counts = three, n.astype(np.float64)
-        for order in (4, 3, 2, 1):
+        self.grams = {order: (context, char) for order, (context, char, _) in shares.items()}
+        for order, (context, char, share) in shares.items():
             keys = key4(context, char) if order == 4 else context << 21 | char
-            ones, twos = np.sum(counts == 1), np.sum(counts == 2)
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.75
             names, which = np.unique(context, return_inverse=True)
-            total = np.bincount(which, counts, len(names))
-            share = np.maximum(counts - discount, 0) / total[which]
             left = 1 - np.bincount(which, share, len(names))
             order_of = np.argsort(keys)
             self.levels[order] = keys[order_of], share[order_of], names, left
-            if order > 1:  # kinds of what stands before the shorter n-gram
-                shorter = (context & _MASKS[order - 2] if order > 2 else context * 0) << 21 | char
-                found, counts = np.unique(shorter, return_counts=True)
-                counts = counts.astype(np.float64)
-                context, char = found >> 21, found & _MASKS[1]
 
     def prob(self, order: int, context: np.ndarray, char: np.ndarray) -> np.ndarray:
         if order == 0:
@@ -177,18 +176,16 @@ class KneserNey:
 
 
 @dataclass
-class Model:
-    languages: list[str]
+class Block:
+    """Some languages over the same arrays."""
+
     #: order -> (sorted hashes, log probabilities [n, languages], sorted contexts, log of what is left [n, languages])
     tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
     floor: np.ndarray
-    #: language -> median, spread of a single character, spread that does not shrink with length
-    normal: dict[str, tuple[float, float, float]]
-    temperature: float = 0.1
 
     def logs(self, three: np.ndarray, char: np.ndarray) -> np.ndarray:
         """Log probabilities [n, languages] of characters after their contexts."""
-        out = np.zeros((len(char), len(self.languages)), np.float32)
+        out = np.zeros((len(char), len(self.floor)), np.float32)
         todo, context = np.arange(len(char)), three
         for order in (4, 3, 2, 1):
             keys, probs, names, left = self.tables[order]
@@ -202,6 +199,18 @@ class Model:
         out[todo] += self.floor
         return out
 
+
+@dataclass
+class Model:
+    languages: list[str]
+    blocks: list[Block]
+    #: language -> median, spread of a single character, spread that does not shrink with length
+    normal: dict[str, tuple[float, float, float]]
+    temperature: float = 0.1
+
+    def logs(self, three: np.ndarray, char: np.ndarray) -> np.ndarray:
+        return np.concatenate([b.logs(three, char) for b in self.blocks], 1)
+
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(cross-entropy per character [n, languages], characters) of texts."""
         sums, sizes = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
@@ -232,43 +241,67 @@ class Model:
         return pd.DataFrame({"lang_pred": names, "score": score, "excess": excess})
 
 
-def _combined(languages: list[str], parts: dict[str, KneserNey]) -> Model:
+def _combined(models: list[KneserNey]) -> Block:
     tables = {}
-    models = [parts[x] for x in languages]
+    lower = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for order in (4, 3, 2, 1):
         names = np.unique(np.concatenate([m.levels[order][2] for m in models]))
         left = np.log(np.stack([m.left_over(order, names) for m in models], 1).clip(1e-30)).astype(np.float32)
-        if order == 4:
-            continue_from = [m.grams for m in models]
-        context = np.concatenate([g[0] for g in continue_from])
-        char = np.concatenate([g[1] for g in continue_from])
+        # Of a gram that one language has, the others' probabilities are needed as well.
+        context = np.concatenate([m.grams[order][0] for m in models] + [lower[0]])
+        char = np.concatenate([m.grams[order][1] for m in models] + [lower[1]])
         keys, first = np.unique(key4(context, char) if order == 4 else context << 21 | char, return_index=True)
         context, char = context[first], char[first]
         probs = np.stack([m.prob(order, context, char) for m in models], 1)
         tables[order] = keys, np.log(probs).astype(np.float32), names, left
-        continue_from = [(context & _MASKS[order - 2] if order > 2 else context * 0, char)]
-    floor = np.full(len(models), -np.log(models[0].vocabulary), np.float32)
-    return Model(languages, tables, floor, {})
+        lower = context & _MASKS[order - 2] if order > 2 else context * 0, char
+    return Block(tables, np.full(len(models), -np.log(models[0].vocabulary), np.float32))
+
+
+def shares(counted: DataFrame) -> dict[int, DataFrame]:
+    """Order -> (lang, context, ch, n, share) from counts (lang, three, ch, n), over all n-grams of every language."""
+    out, level = {}, counted.withColumnRenamed("three", "context")
+    for order in (4, 3, 2, 1):
+        if order < 4:  # kinds of what stands before the shorter n-gram
+            context = F.col("context").bitwiseAND(F.lit(_MASKS[order - 1])) if order > 1 else F.lit(0).cast("long")
+            level = level.groupBy("lang", context.alias("context"), "ch").agg(F.count(F.lit(1)).alias("n"))
+        level = stored(level, f"language-grams-{order}")
+        kinds = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos"))
+        discount = "IF(ones > 0 AND twos > 0, ones / (ones + 2 * twos), 0.75D) AS discount"
+        totals = level.groupBy("lang", "context").agg(F.sum("n").alias("total"))
+        share = "(n - discount) / total AS share"
+        out[order] = level.join(totals, ["lang", "context"]).join(kinds.selectExpr("lang", discount), "lang").selectExpr(
+            "lang", "context", "ch", "n", share
+        )
+    return out
+
+
+def _pruned(level: DataFrame, most: int) -> DataFrame:
+    """The ``most`` n-grams of every language with the largest count times share."""
+    by = "ORDER BY n * share DESC, context, ch"
+    first = level.selectExpr("*", f"row_number() OVER (PARTITION BY lang, pmod(xxhash64(context, ch), {_SALTS}) {by}) AS r")
+    last = first.where(F.col("r") <= most).selectExpr("*", f"row_number() OVER (PARTITION BY lang {by}) AS rank")
+    return last.where(F.col("rank") <= most).select("lang", "context", "ch", "share")
 
 
 def train(rows: DataFrame) -> Model | None:
     """A model from ``rows`` (lang, text), all of them labelled; None if there are none with text."""
-    counted = stored(count_grams(rows), "language-grams")
-    sizes = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in sizes)
+    levels = shares(count_grams(rows))
+    languages = sorted(r["lang"] for r in levels[1].select("lang").distinct().collect())  # one row a language
     if not languages:
         return None
-    most = max(1, MODEL_CELLS // len(languages) ** 2)
-    rank = "row_number() OVER (PARTITION BY lang ORDER BY n DESC, three, ch) AS rank"
-    # Bounded: MODEL_CELLS / languages rows.
-    kept = counted.where(F.col("lang").isin(languages)).selectExpr("*", rank).where(F.col("rank") <= most).toPandas()
-    vocabulary = kept["ch"].nunique() + 1
-    parts = {}
-    for lang, own in kept.groupby("lang"):
-        three, char = own["three"].to_numpy(), own["ch"].to_numpy()
-        parts[lang] = KneserNey(three, char, own["n"].to_numpy(), vocabulary)
-        parts[lang].grams = three, char
-    return _combined(languages, parts)
+    most = max(LEAST_GRAMS, MODEL_CELLS // (len(languages) * min(len(languages), BLOCK)))
+    vocabulary = levels[1].select("ch").distinct().count() + 1
+    kept = {order: stored(_pruned(level, most), f"language-model-{order}") for order, level in levels.items()}
+    blocks = []
+    for at in range(0, len(languages), BLOCK):
+        own = languages[at : at + BLOCK]
+        # Bounded: `most` rows an order and language.
+        of = {order: dict(list(k.where(F.col("lang").isin(own)).toPandas().groupby("lang"))) for order, k in kept.items()}
+        blocks.append(_combined([
+            KneserNey({o: tuple(of[o][x][c].to_numpy() for c in ("context", "ch", "share")) for o in of}, vocabulary) for x in own
+        ]))
+    return Model(languages, blocks, {})
 
 
 def calibrate(model: Model, texts: list[str], langs: list[str]) -> None:
@@ -313,7 +346,7 @@ def identify(docs: DataFrame) -> DataFrame:
         drawn = (F.xxhash64("doc_id", F.lit("calibration")).cast("double") / 2.0**63 + 1) / 2 < share
         sample = labelled.where(drawn & F.col("lang").isin(model.languages) & (F.length("text") <= 100_000)).toPandas()
         calibrate(model, sample["text"].tolist(), sample["lang"].tolist())
-    shared = spark.sparkContext.broadcast(model)  # bounded by MODEL_CELLS
+    shared = spark.sparkContext.broadcast(model)  # bounded by MODEL_CELLS, beyond it by LEAST_GRAMS a language
 
     @F.pandas_udf("lang_pred string, score double, excess double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
