@@ -136,3 +136,13 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "text", None), (2, None, "en")], KIND)
     assert {(r.lang_pred, r.score, r.rejected) for r in identify(df).collect()} == {("und", 0.0, True)}
     assert identify(df.where("false")).collect() == []
+
+
+def test_noise_is_rejected_and_clean_text_is_not(spark, given):
+    rng = random.Random(8)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300)) for _ in range(200)]
+    extra = spark.createDataFrame([(9_000_000 + i, t, None) for i, t in enumerate(noise)], KIND)
+    rows = identify(given.select("doc_id", "text", "lang").unionAll(extra)).select("doc_id", "rejected", "lang_pred").collect()
+    wrong = [r.rejected for r in rows if r.doc_id < 9_000_000 and r.lang_pred != "und"]
+    assert sum(wrong) <= 0.005 * len(wrong)
+    assert sum(r.rejected for r in rows if r.doc_id >= 9_000_000) >= 0.98 * len(noise)

@@ -13,8 +13,8 @@ language is the one of lowest cross-entropy per character. Any number of
 languages can be learned.
 
 Rejection is calibrated on a bounded sample of training texts: a text goes if
-its best cross-entropy lies further above its language's median than ``REJECT``
-times the spread that texts of its length have. The score is the posterior of
+its best cross-entropy lies further above its language's median, in spreads that
+texts of its length have, than a margin over a high quantile of that sample. The score is the posterior of
 the chosen language at a temperature fitted to the same sample.
 
 Defined results: ``und`` with score 0 for texts that are null or have no letter,
@@ -42,7 +42,9 @@ LEAST_GRAMS = 500
 BLOCK = 16
 #: Training texts, at most about, that calibration looks at. The model itself counts all training texts.
 CALIBRATION_ROWS = 4_000
-REJECT = 25.0
+#: A text is rejected beyond REJECT_MARGIN times what a share REJECT_SHARE of the calibration sample stays below;
+#: a small sample tells little of its tail, so the limit is never under REJECT_LEAST spreads.
+REJECT_SHARE, REJECT_MARGIN, REJECT_LEAST = 0.999, 1.75, 16.0
 CHUNK_CHARS = 1 << 19
 UNDETERMINED = "und"
 
@@ -207,6 +209,8 @@ class Model:
     #: language -> median, spread of a single character, spread that does not shrink with length
     normal: dict[str, tuple[float, float, float]]
     temperature: float = 0.1
+    #: Spreads above its language's median from which a text is rejected.
+    limit: float = REJECT_LEAST
 
     def logs(self, three: np.ndarray, char: np.ndarray) -> np.ndarray:
         return np.concatenate([b.logs(three, char) for b in self.blocks], 1)
@@ -230,15 +234,19 @@ class Model:
         p = np.exp(np.maximum(z, -700))
         return p / p.sum(1, keepdims=True)
 
+    def excess(self, entropy: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Spreads that each text's best cross-entropy lies above its language's median."""
+        best = entropy.argmin(1)
+        normal = np.array([self.normal[x] for x in self.languages])[best]
+        spread = np.sqrt(normal[:, 1] ** 2 / np.maximum(sizes, 1) + normal[:, 2] ** 2)
+        return (entropy[np.arange(len(best)), best] - normal[:, 0]) / spread
+
     def predict(self, texts: list[str]) -> pd.DataFrame:
         entropy, sizes = self.entropies(texts)
         best = entropy.argmin(1)
         score = self.posterior(entropy, sizes, self.temperature)[np.arange(len(best)), best]
         names = np.array(self.languages, dtype=object)[best]
-        normal = np.array([self.normal[x] for x in self.languages])[best]
-        spread = np.sqrt(normal[:, 1] ** 2 / np.maximum(sizes, 1) + normal[:, 2] ** 2)
-        excess = (entropy[np.arange(len(best)), best] - normal[:, 0]) / spread
-        return pd.DataFrame({"lang_pred": names, "score": score, "excess": excess})
+        return pd.DataFrame({"lang_pred": names, "score": score, "excess": self.excess(entropy, sizes)})
 
 
 def _combined(models: list[KneserNey]) -> Block:
@@ -328,6 +336,7 @@ def calibrate(model: Model, texts: list[str], langs: list[str]) -> None:
             -np.mean(np.log(model.posterior(entropy, sizes, t)[np.arange(len(right)), right].clip(1e-9))) for t in tries
         ]
         model.temperature = tries[int(np.argmin(loss))]
+        model.limit = max(REJECT_LEAST, REJECT_MARGIN * float(np.quantile(model.excess(entropy, sizes), REJECT_SHARE)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -365,5 +374,5 @@ def identify(docs: DataFrame) -> DataFrame:
         *names, "held_out",
         F.when(F.col("_lettered"), F.col("_p.lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
         F.when(F.col("_lettered"), F.col("_p.score")).otherwise(0.0).alias("score"),
-        (~F.col("_lettered") | (F.col("_p.excess") > REJECT)).alias("rejected"),
+        (~F.col("_lettered") | (F.col("_p.excess") > model.limit)).alias("rejected"),
     )
