@@ -181,3 +181,20 @@ def test_table_folder_as_stream(spark, tmp_path):
     query, sf = registered()["stream_hard_limit_alerts"], "/root/testdata/sf0.001"
     events(spark, sf).repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
     assert bag(query(spark, str(tmp_path / "sf"))) == bag(query(spark, sf))
+
+
+def test_batches_of_one_row_group_have_many_tasks(spark, tmp_path, monkeypatch):
+    from thermowatt.plans import queries, views
+
+    sf, seen, tasks = str(tmp_path / "sf"), [], []
+    views.events(spark, "/root/testdata/sf0.001").coalesce(1).orderBy("ts").write.parquet(f"{sf}/events.parquet")
+    monkeypatch.setattr(queries, "_FILE_ROWS", 50, raising=False)
+
+    def sink(batch, batch_id):
+        tasks.append(batch.rdd.getNumPartitions())
+        seen.extend(tuple(r) for r in batch.collect())
+
+    queries._in_parts(spark, sf, str(tmp_path / "root"), lambda ev, checkpoint: stream_into(ev, sink, checkpoint, ONCE))
+    assert len(tasks) == 4 and min(tasks) >= 4
+    assert Counter(seen) == bag(views.events(spark, sf))
+    assert not any((tmp_path / "root").iterdir())

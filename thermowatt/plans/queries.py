@@ -279,6 +279,15 @@ def timings(spark, sf_dir):
 # until it has taken what is new, and stops.
 
 _PARTS = 4
+#: Events to a file before they are landed: a row group is one task's work, and the given table may have just one.
+_FILE_ROWS = 25_000
+
+
+def _spread(ev: DataFrame, path: str) -> DataFrame:
+    """The same events in as many files as their number asks for, dealt by whole rows."""
+    files = max(1, -(-ev.count() // _FILE_ROWS))
+    ev.repartition(files, *ev.columns).write.parquet(path)
+    return ev.sparkSession.read.schema(views.EVENTS).parquet(path)
 
 
 def _in_time(ev: DataFrame) -> Column:
@@ -297,13 +306,13 @@ def _in_parts(
     spark: SparkSession, sf_dir: str, root: str, start: Callable[[DataFrame, str], StreamingQuery],
     part: Callable[[DataFrame], Column] = _in_time, at_end: Callable[[str], None] = lambda checkpoint: None,
 ) -> None:
-    ev = views.events(spark, sf_dir)
+    ev = _spread(views.events(spark, sf_dir), f"{root}/spread")
     number = part(ev)
     for i in range(_PARTS):
         ev.where(number == i).write.parquet(f"{root}/landed/part-{i}")
         start(stream_parquet(spark, f"{root}/landed/*", views.EVENTS), f"{root}/checkpoint").awaitTermination()
     at_end(f"{root}/checkpoint")
-    for used in ("landed", "checkpoint"):
+    for used in ("spread", "landed", "checkpoint"):
         drop_folder(spark, f"{root}/{used}")
 
 
