@@ -156,3 +156,21 @@ def test_query(spark, tmp_path):
 def test_held_out_texts_are_likelier_than_by_single_words(spark):
     got = llm_queries()["op11_lm_scoring"](spark, "/root/testdata/sf0.01").where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert got["sum(score)"] > got["sum(base_score)"]
+
+
+def test_a_word_is_hashed_once_for_texts_split_together(monkeypatch):
+    hashed = []
+
+    class Counting:
+        @staticmethod
+        def xxh3_64_intdigest(word):
+            hashed.append(bytes(word))
+            return digest(word)
+
+    digest = ngrams.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(ngrams, "xxhash", Counting)
+    texts = [" \tA b\x0bc ", "", "  ", "c\x1cd É a a", "B\r\n" * 3000]
+    words = [[bytes(w) for w in t.encode().lower().split()] for t in texts]
+    found = [w.tolist() for w in ngrams._hashed(texts)]
+    assert found == [[digest(w) for w in ws] for ws in words]
+    assert sorted(set(hashed) - {b""}) == sorted(w for w in hashed if w) == sorted({w for ws in words for w in ws})

@@ -35,6 +35,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -49,9 +51,9 @@ ORDER = 2
 BASE_ADD = 0.1
 #: Training characters to a shard, tokens counted before they are handed on, tokens scored at once.
 SHARD_CHARS, FLUSH_TOKENS, BATCH_TOKENS = 16 << 20, 1 << 21, 1 << 19
-#: Words whose hashes a task remembers.
+#: Words that are hashed at once.
 MEMO_WORDS = 250_000
-#: Characters of a text that are split into words at once.
+#: Characters, and the rest of their last text, that are split into words at once.
 SPLIT_CHARS = 1 << 22
 
 _PIECES = "kind int, shard int, blob binary, once long, twice long, thrice long, four long, total long, kinds long, tokens long"
@@ -63,39 +65,77 @@ _START, _END = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" start", b" e
 _RAW = 0
 
 
-class _Hashes(dict):
-    """Hashes of words, remembered within bounds."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-def _hashed(text: str | None, known: _Hashes) -> np.ndarray:
-    """Hashes of a text's words; A-Z count as a-z."""
-    data = (text or "").encode("utf-8", "surrogatepass").lower()  # bytes: ASCII alone
-    found, at = [], 0
-    while at < len(data):
-        stop = at + SPLIT_CHARS
-        while stop < len(data) and not data[stop : stop + 1].isspace():
-            stop += 1
-        words = data[at:stop].split()
-        found.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-        at = stop
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
-
-
-def _laid_out(texts: list[np.ndarray], order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """(columns of the n-grams of all texts, text of each): one n-gram for each word and one for the end."""
+def _split(texts: list[str]) -> list[np.ndarray]:
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    named = words.flatten().dictionary_encode()
+    kinds = named.dictionary.cast(pa.large_binary())
+    hashes = np.empty(len(kinds), np.uint64)
+    for at in range(0, len(kinds), MEMO_WORDS):
+        own = kinds.slice(at, MEMO_WORDS).to_numpy(zero_copy_only=False)
+        hashes[at : at + len(own)] = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
+    places = named.indices.to_numpy()
+    # Blanks at either end of a text leave an empty word there.
+    real = places != pc.index(kinds, b"").as_py()
+    ends = np.cumsum(pc.list_value_length(words).to_numpy())
+    return np.split(hashes[places[real]], np.concatenate(([0], np.cumsum(real)))[ends[:-1]])
+
+
+def _hashed(texts: list[str]) -> Iterator[np.ndarray]:
+    """Hashes of the words of each text; A-Z count as a-z. A word is hashed once for all texts split together."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= SPLIT_CHARS:
+            yield from _split(held)
+            held, size = [], 0
+    if held:
+        yield from _split(held)
+
+
+def _new(ordered: np.ndarray) -> np.ndarray:
+    """Whether each differs from the one before it."""
+    return np.concatenate(([True], ordered[1:] != ordered[:-1]))[: len(ordered)]
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct keys, where one of each is, which of them each one is)."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = _new(ordered)
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], which
+
+
+def _laid_out(texts: list[np.ndarray], order: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(sorted words, columns of the n-grams as places among these, text of each): an n-gram for each word and one for the end."""
     start = np.full(order - 1, _START)
-    line = np.concatenate([np.concatenate((start, t, [_END])) for t in texts])
+    words, _, line = _distinct(np.concatenate([np.concatenate((start, t, [_END])) for t in texts]))
     owner = np.repeat(np.arange(len(texts)), [len(t) + order for t in texts])
     last = line[order - 1 :]
-    whole = last != _START
+    whole = last != np.searchsorted(words, _START)
     columns = [line[i : len(line) - order + 1 + i][whole] for i in range(order)]
-    return columns, owner[order - 1 :][whole]
+    return words, columns, owner[order - 1 :][whole]
+
+
+def _counted(columns: list[np.ndarray], kinds: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(columns, counts) of distinct n-grams in order, from columns of places below ``kinds``."""
+    *front, last = columns
+    if not front:
+        names, counts = np.unique(last, return_counts=True)
+        return [names], counts
+    prefix, shorter = front[0], []
+    for column in front[1:]:
+        names, _, prefix = _distinct(prefix * kinds + column)
+        shorter.append(names)
+    names, counts = np.unique(prefix * kinds + last, return_counts=True)
+    out = [names % kinds]
+    names //= kinds
+    for known in shorter[::-1]:
+        out.append(known[names] % kinds)
+        names = known[names] // kinds
+    return [names, *out[::-1]], counts
 
 
 def _key(columns: list[np.ndarray]) -> np.ndarray:
@@ -117,10 +157,14 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray,
     return key[first], [c[order[first]] for c in columns], sums
 
 
-def _packed(columns: list[np.ndarray], counts: np.ndarray) -> bytes:
+def _packed(words: np.ndarray, columns: list[np.ndarray], counts: np.ndarray) -> bytes:
     """N-grams of a piece: the words they are made of, once each, then places among these."""
-    names, places = np.unique(np.concatenate(columns), return_inverse=True)
-    parts = [np.array([len(counts), len(columns), len(names)], np.int64), names, places.astype(np.uint32), counts.astype(np.int64)]
+    flat = np.concatenate(columns)
+    ordered = np.sort(flat)
+    used = ordered[_new(ordered)]
+    place = np.empty(len(words), np.uint32)
+    place[used] = np.arange(len(used))
+    parts = [np.array([len(counts), len(columns), len(used)], np.int64), words[used], place[flat], counts.astype(np.int64)]
     return zstandard.ZstdCompressor(1).compress(b"".join(p.tobytes() for p in parts))
 
 
@@ -138,13 +182,18 @@ def _shard_of(columns: list[np.ndarray], shards: int) -> np.ndarray:
     return (_key(columns[:-1] if len(columns) > 1 else columns) % np.uint64(shards)).astype(np.int64)
 
 
-def _dealt(kind: int, columns: list[np.ndarray], counts: np.ndarray, shards: int) -> Iterator[dict]:
-    shard = _shard_of(columns, shards)
-    order = np.lexsort((*columns[::-1], shard))
-    borders = np.searchsorted(shard[order], np.arange(shards + 1))
+def _by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its rows in their order)."""
+    by = np.argsort(shard.astype(np.min_scalar_type(shards)), kind="stable")
+    borders = np.concatenate(([0], np.cumsum(np.bincount(shard, minlength=shards))))
     for s in np.flatnonzero(np.diff(borders)):
-        own = order[borders[s] : borders[s + 1]]
-        yield {"kind": kind, "shard": s, "blob": _packed([c[own] for c in columns], counts[own])}
+        yield int(s), by[borders[s] : borders[s + 1]]
+
+
+def _dealt(kind: int, words: np.ndarray, columns: list[np.ndarray], counts: np.ndarray, shards: int) -> Iterator[dict]:
+    """Pieces of n-grams that are in order, given as places among ``words``."""
+    for s, own in _by_shard(_shard_of([words[c] for c in columns], shards), shards):
+        yield {"kind": kind, "shard": s, "blob": _packed(words, [c[own] for c in columns], counts[own])}
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
@@ -204,18 +253,17 @@ def _file(folder: str, order: int, shard: int) -> str:
 
 def _gatherer(order: int, shards: int):
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, held, size = _Hashes(), [], 0
+        held, size = [], 0
 
         def handed() -> Iterator[pd.DataFrame]:
-            columns, _ = _laid_out(held, order)
+            words, columns, _ = _laid_out(held, order)
             for kind, own in ((_RAW, columns[-1:]), (order, columns)):
-                _, own, counts = _summed(own, np.ones(len(own[0]), np.int64))
-                for piece in _dealt(kind, own, counts, shards):
+                for piece in _dealt(kind, words, *_counted(own, len(words)), shards):
                     yield _frame([piece])
 
         for pdf in batches:
-            for text in pdf["text"]:
-                held.append(_hashed(text, known))
+            for text in _hashed(pdf["text"].tolist()):
+                held.append(text)
                 size += len(held[-1]) + order
                 if size >= FLUSH_TOKENS:
                     yield from handed()
@@ -232,7 +280,7 @@ def _builder(order: int, shards: int, folder: str):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
         keys, columns, counts = _merged(pdf["blob"][pdf["kind"] == order].tolist(), order)
-        words, raw, seen = _merged(pdf["blob"][pdf["kind"] == _RAW].tolist(), 1)
+        words, _, seen = _merged(pdf["blob"][pdf["kind"] == _RAW].tolist(), 1)
         sums = {"kind": -1, "shard": shard, "total": counts.sum()}
         sums |= {name: np.sum(counts == i + 1) for i, name in enumerate(("once", "twice", "thrice", "four"))}
         if order == 1:
@@ -247,8 +295,12 @@ def _builder(order: int, shards: int, folder: str):
         _write(_file(folder, order, shard), [keys, _narrow(counts), names, *(_narrow(p.astype(np.int64)) for p in parts)])
         shorter = np.where(columns[1] == _START, counts, 1) if order > 2 else np.ones(len(counts), np.int64)
         _, lower, continued = _summed(columns[1:], shorter)
-        rows = [sums, *_dealt(order - 1, lower, continued, shards)]
-        return _frame(rows + ([{"kind": _RAW, "shard": shard, "blob": _packed(raw, seen)}] if len(words) else []))
+        names, places = np.unique(np.concatenate(lower), return_inverse=True)
+        lower = np.split(places, order - 1)
+        by = np.lexsort(lower[::-1])
+        rows = [sums, *_dealt(order - 1, names, [c[by] for c in lower], continued[by], shards)]
+        raw_piece = {"kind": _RAW, "shard": shard, "blob": _packed(words, [np.arange(len(words))], seen)}
+        return _frame(rows + ([raw_piece] if len(words) else []))
 
     return build
 
@@ -304,7 +356,7 @@ class _Scorer:
     """Looks n-grams up in the mapped files of a model."""
 
     def __init__(self, model: NgramModel):
-        self.model, self.known, self.files = model, _Hashes(), {}
+        self.model, self.files = model, {}
 
     def arrays(self, order: int, shard: int) -> list[np.ndarray]:
         path = _file(self.model.folder, order, shard)
@@ -316,13 +368,10 @@ class _Scorer:
         return found
 
     def found(self, order: int, shard: np.ndarray, keys: np.ndarray, at: int, values: list[int]) -> np.ndarray:
-        """Columns ``values`` of the rows of ``keys`` in the array at place ``at``; 0 where there are none."""
+        """Columns ``values`` of the rows of sorted ``keys`` in the array at place ``at``; 0 where there are none."""
         out = np.zeros((len(values), len(keys)), np.int64)
-        by = np.lexsort((keys, shard))
-        borders = np.searchsorted(shard[by], np.arange(self.model.shards + 1))
-        for s in np.flatnonzero(np.diff(borders)):
-            own = by[borders[s] : borders[s + 1]]
-            arrays = self.arrays(order, int(s))
+        for s, own in _by_shard(shard, self.model.shards):
+            arrays = self.arrays(order, s)
             if not arrays or not len(arrays[at]):
                 continue
             place = np.minimum(np.searchsorted(arrays[at], keys[own]), len(arrays[at]) - 1)
@@ -334,29 +383,33 @@ class _Scorer:
     def _discounted(self, order: int, counts: np.ndarray) -> np.ndarray:
         return np.maximum(counts - np.array([0.0, *self.model.discounts[order]])[np.minimum(counts, 3)], 0)
 
-    def probabilities(self, columns: list[np.ndarray]) -> np.ndarray:
-        """Of the last word of each n-gram after those before it."""
+    def probabilities(self, words: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+        """Of the last word of each n-gram after those before it; n-grams are columns of places among the sorted ``words``."""
         order, model = len(columns), self.model
-        keys, first, which = np.unique(_key(columns), return_index=True, return_inverse=True)
-        columns = [c[first] for c in columns]
-        shard = _shard_of(columns, model.shards)
         if order == 1:
-            (counts,) = self.found(1, shard, keys, 0, [2])
-            return (self._discounted(1, counts) / max(1, model.continuations) + model.left / (model.kinds + 1))[which]
-        (counts,) = self.found(order, shard, keys, 0, [1])
-        contexts, first, of = np.unique(_key(columns[:-1]), return_index=True, return_inverse=True)
-        total, *seen = self.found(order, shard[first], contexts, 2, [3, 4, 5, 6])
+            (counts,) = self.found(1, _shard_of([words], model.shards), words, 0, [2])
+            return (self._discounted(1, counts) / max(1, model.continuations) + model.left / (model.kinds + 1))[columns[0]]
+        keys, first, which = _distinct(_key([words[c] for c in columns]))
+        columns = [c[first] for c in columns]
+        (counts,) = self.found(order, _shard_of([words[c] for c in columns], model.shards), keys, 0, [1])
+        if order == 2:
+            contexts, of = words, columns[0]
+            shard = _shard_of([words], model.shards)
+        else:
+            contexts, first, of = _distinct(_key([words[c] for c in columns[:-1]]))
+            shard = _shard_of([words[c[first]] for c in columns], model.shards)
+        total, *seen = self.found(order, shard, contexts, 2, [3, 4, 5, 6])
         known = np.maximum(total, 1)
         left = np.where(total > 0, sum(d * n for d, n in zip(model.discounts[order], seen)) / known, 1.0)
-        return (self._discounted(order, counts) / known[of] + left[of] * self.probabilities(columns[1:]))[which]
+        return (self._discounted(order, counts) / known[of] + left[of] * self.probabilities(words, columns[1:]))[which]
 
     def scored(self, texts: list[np.ndarray]) -> pd.DataFrame:
         model = self.model
-        columns, owner = _laid_out(texts, model.order)
-        words, which = np.unique(columns[-1], return_inverse=True)
+        words, columns, owner = _laid_out(texts, model.order)
+        which = columns[-1]
         (raw,) = self.found(1, _shard_of([words], model.shards), words, 0, [1])
         base = np.log10((raw + BASE_ADD) / (model.tokens + BASE_ADD * (model.kinds + 1)))
-        logs = np.log10(self.probabilities(columns))
+        logs = np.log10(self.probabilities(words, columns))
         size = len(texts)
         return pd.DataFrame({
             "n_tokens": np.bincount(owner, minlength=size), "n_known": np.bincount(owner, raw[which] > 0, size).astype(np.int64),
@@ -378,8 +431,8 @@ def score(docs: DataFrame, model: NgramModel) -> DataFrame:
         scorer = _Scorer(model)
         for texts in batches:
             done, held, size = [], [], 0
-            for text in texts:
-                held.append(_hashed(text, scorer.known))
+            for text in _hashed(texts.tolist()):
+                held.append(text)
                 size += len(held[-1]) + 1
                 if size >= BATCH_TOKENS:
                     done.append(scorer.scored(held))
