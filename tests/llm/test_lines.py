@@ -3,6 +3,7 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 
 from thermowatt.llm import lines
@@ -196,3 +197,15 @@ def test_every_pair_that_meets_is_settled(spark):
     ]
     assert len(links) > 1_000
     assert roots(range(len(own)), [(ids[r.a], ids[r.b]) for r in found]) == roots(range(len(own)), links)
+
+
+def test_lines_of_a_plain_text_are_not_looked_at_one_by_one(monkeypatch):
+    odd = "ΑΣ ΑΣ ΑΣ ΑΣ ΑΣ ΑΣ ΑΣ"
+    texts = [None, "", "\n", f" {odd} \n{odd}\nΣ", "İ" * 30 + "\nB", "a  b" * 9 + "\nc", "d\te" * 9, " x" * 20, "e f" * 9, "q " * 30 + "\n " * 3]
+    assert [lines.normal_lines(t) for t in texts] == [[normal_line(x) for x in (t or "").split("\n")] for t in texts]
+    seen = []
+    monkeypatch.setattr(lines, "normal_line", seen.append)
+    docs = pd.DataFrame({"doc_id": [1, None], "doc_key": [5, 6], "text": [f"{odd}\nshort\n{odd} two", None]})
+    out = next(lines._occurrences(iter([docs])))
+    assert out["line_no"].tolist() == [0, 2] and out["doc_id"].tolist() == [1, 1] and out["doc_key"].tolist() == [5, 5]
+    assert not seen

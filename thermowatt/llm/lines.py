@@ -51,6 +51,8 @@ GROUPS_PER_PARTITION = 8
 #: Members up to which a divided bucket's common shingles are counted, without a filter; asking lines at once.
 SMALL_BUCKET = 16_384
 _ASKING = 512
+#: Lines times shingles up to which a bucket's shingles are one table, without a look at which are common.
+_SMALL_TABLE = 1 << 17
 
 _FLUSH_ENTRIES = 4_000_000
 _FLUSH_CHARS = 1 << 17
@@ -71,6 +73,14 @@ def normal_line(line: str) -> str:
     return out if len(out) >= MIN_CHARS else ""
 
 
+def normal_lines(text: str | None) -> list[str]:
+    """``normal_line`` of every line of a text; looked at line by line only where the text needs it."""
+    lower = (text or "").lower()
+    if "  " in lower or not lower.replace("\n", "").isprintable():
+        return [normal_line(x) for x in lower.split("\n")]
+    return [x if len(x) >= MIN_CHARS else "" for x in map(str.strip, lower.split("\n"))]
+
+
 def line_id(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
@@ -157,8 +167,9 @@ def _entries(groups: int):
             held_keys, held_ids = [], []
             seen.clear()
             part = (keys.view(np.uint64) >> np.uint64(8)) % np.uint64(groups)
+            part = part.astype(np.min_scalar_type(groups))  # small numbers are sorted digit by digit
             order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(groups + 1, dtype=np.uint64))
+            cuts = np.searchsorted(part[order], np.arange(groups + 1, dtype=part.dtype))
             rows = []
             for g in np.flatnonzero(np.diff(cuts)).tolist():
                 own = order[cuts[g] : cuts[g + 1]]
@@ -168,8 +179,7 @@ def _entries(groups: int):
 
         for pdf in batches:
             for text in pdf["text"]:
-                for line in (text or "").split("\n"):
-                    line = normal_line(line)
+                for line in normal_lines(text):
                     if line and line not in seen:
                         seen.add(line)
                         waiting.append(line)
@@ -208,19 +218,23 @@ def buckets(docs: DataFrame) -> DataFrame:
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for at in range(0, len(pdf), 512):
-            rows = []
-            for doc_id, doc_key, text in pdf.iloc[at : at + 512].itertuples(index=False):
-                for no, line in enumerate((text or "").split("\n")):
-                    if line := normal_line(line):
-                        rows.append((line_id(line), None if pd.isna(doc_id) else int(doc_id), doc_key, no))
-            out = pd.DataFrame(rows, columns=["line", "doc_id", "doc_key", "line_no"])
-            yield out.astype({"doc_id": "Int64"})
+            docs, ids, numbers, counts = pdf.iloc[at : at + 512], [], [], []
+            for text in docs["text"]:
+                own = [(line_id(line), no) for no, line in enumerate(normal_lines(text)) if line]
+                ids += [i for i, _ in own]
+                numbers += [no for _, no in own]
+                counts.append(len(own))
+            doc_id, doc_key = (docs[c].repeat(counts).reset_index(drop=True) for c in ("doc_id", "doc_key"))
+            yield pd.DataFrame({
+                "line": np.array(ids, np.int64), "doc_id": doc_id.astype("Int64"), "doc_key": doc_key,
+                "line_no": np.array(numbers, np.int32),
+            })
 
 
 def _lines_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for at in range(0, len(pdf), 512):
-            lines = {x for text in pdf["text"].iloc[at : at + 512] for line in (text or "").split("\n") if (x := normal_line(line))}
+            lines = {x for text in pdf["text"].iloc[at : at + 512] for x in normal_lines(text) if x}
             yield pd.DataFrame({"line": [line_id(x) for x in lines], "content": list(lines)})
 
 
@@ -256,14 +270,13 @@ def similar(a: str, y: set[str]) -> bool:
 
 
 def _distinct_shingles(contents: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, line) of the distinct shingles of each line, sorted by hash."""
+    """(hash, line) of the distinct shingles of each line, sorted by hash; hashes leave the bits that number the lines."""
     hashes, starts = shingle_hashes(contents)
-    line = np.repeat(np.arange(len(contents)), np.diff(np.append(starts, len(hashes))))
-    order = np.argsort(hashes, kind="stable")
-    hashes, line = hashes[order], line[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
-    return hashes[new], line[new]
+    bits = np.uint64(max(1, (len(contents) - 1).bit_length()))
+    line = np.repeat(np.arange(len(contents), dtype=np.uint64), np.diff(np.append(starts, len(hashes))))
+    both = np.sort(hashes >> bits << bits | line)
+    both = both[np.concatenate(([True], both[1:] != both[:-1]))]
+    return both >> bits, (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
 def similar_pairs(contents: list[str], asking: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -275,26 +288,34 @@ def similar_pairs(contents: list[str], asking: np.ndarray) -> Iterator[tuple[np.
     n = len(contents)
     sizes = np.bincount(line, minlength=n)
     token = np.cumsum(np.concatenate(([False], hashes[1:] != hashes[:-1])))
-    counts = np.bincount(token)
     place = np.full(n, n)
+    whole = None
+    if n * (int(token[-1]) + 1) <= _SMALL_TABLE:
+        whole = np.zeros((n, int(token[-1]) + 1), np.float32)
+        whole[line, token] = 1
+    else:
+        counts = np.bincount(token)
     for at in range(0, len(asking), _ASKING):
         block = asking[at : at + _ASKING]
-        row = np.full(n, -1)
-        row[block] = np.arange(len(block))
-        # Shingles of one line alone, or of none that asks, are common to no pair.
-        wanted = np.zeros(len(counts), bool)
-        wanted[token[row[line] >= 0]] = True
-        wanted &= counts > 1
-        own = wanted[token]
-        names, lines_of = (np.cumsum(wanted) - 1)[token[own]], line[own]
-        common = np.zeros((len(block), n), np.float32)
-        total = int(wanted.sum())
-        step = max(1, min(total, _FLUSH_ENTRIES // n))
-        for low in range(0, total, step):
-            part = slice(*np.searchsorted(names, [low, low + step]))
-            has = np.zeros((n, step), np.float32)
-            has[lines_of[part], names[part] - low] = 1
-            common += has[block] @ has.T
+        if whole is not None:
+            common = whole[block] @ whole.T
+        else:
+            row = np.full(n, -1)
+            row[block] = np.arange(len(block))
+            # Shingles of one line alone, or of none that asks, are common to no pair.
+            wanted = np.zeros(len(counts), bool)
+            wanted[token[row[line] >= 0]] = True
+            wanted &= counts > 1
+            own = wanted[token]
+            names, lines_of = (np.cumsum(wanted) - 1)[token[own]], line[own]
+            common = np.zeros((len(block), n), np.float32)
+            total = int(wanted.sum())
+            step = max(1, min(total, _FLUSH_ENTRIES // n))
+            for low in range(0, total, step):
+                part = slice(*np.searchsorted(names, [low, low + step]))
+                has = np.zeros((n, step), np.float32)
+                has[lines_of[part], names[part] - low] = 1
+                common += has[block] @ has.T
         good = common >= SIMILARITY * (sizes[block][:, None] + sizes[None, :] - common) - 1e-3
         place[block] = np.arange(at, at + len(block))
         # Lines that asked before have met these already.
