@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -146,3 +147,21 @@ def test_noise_is_rejected_and_clean_text_is_not(spark, given):
     wrong = [r.rejected for r in rows if r.doc_id < 9_000_000 and r.lang_pred != "und"]
     assert sum(wrong) <= 0.005 * len(wrong)
     assert sum(r.rejected for r in rows if r.doc_id >= 9_000_000) >= 0.98 * len(noise)
+
+
+def test_the_driver_lays_out_no_model_and_measures_no_text(spark, given, monkeypatch):
+    """Both once took the driver over its memory."""
+    driver = os.getpid()
+
+    def in_tasks(work):
+        def run(*args):
+            assert os.getpid() != driver
+            return work(*args)
+
+        return run
+
+    monkeypatch.setattr(language, "_combined", in_tasks(language._combined))
+    monkeypatch.setattr(language.Model, "entropies", in_tasks(language.Model.entropies))
+    some = given.where("doc_id < 200")
+    rows = identify(some).collect()
+    assert len(rows) == some.count() and {r.lang_pred for r in rows} <= {"en", "de", "fr", "es", "und"}

@@ -12,6 +12,9 @@ the block has is found by its context and the next lower order. A text's
 language is the one of lowest cross-entropy per character. Any number of
 languages can be learned.
 
+Each block is put together in one task, and calibration texts are measured in
+tasks; the driver gets the finished arrays and a row of numbers for each text.
+
 Rejection is calibrated on a bounded sample of training texts: a text goes if
 its best cross-entropy lies further above its language's median, in spreads that
 texts of its length have, than a margin over a high quantile of that sample. The score is the posterior of
@@ -25,11 +28,15 @@ text where folds are told. Extra columns are kept unless they clash with the res
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
@@ -49,6 +56,7 @@ CHUNK_CHARS = 1 << 19
 UNDETERMINED = "und"
 
 _FLUSH = 2_000_000  # distinct n-grams a task gathers before it hands them on
+_PIECE = 1 << 20  # bytes of a laid-out block that travel in one row
 _SALTS = 32  # parts of a language's n-grams that are pruned on their own first
 _START = np.full(3, 32, np.int64)
 _M1, _M2 = np.int64(-7046029254386353131), np.int64(-4417276706812531889)
@@ -62,8 +70,8 @@ class _Classes:
     @classmethod
     def get(cls) -> np.ndarray:
         if cls.table is None:
-            chars = [chr(i) for i in range(0x110000)]
-            cls.table = np.array([c.isspace() + 2 * c.isdecimal() for c in chars], np.uint8)
+            chars = map(chr, range(0x110000))
+            cls.table = np.fromiter((c.isspace() + 2 * c.isdecimal() for c in chars), np.uint8, 0x110000)
         return cls.table
 
 
@@ -292,6 +300,23 @@ def _pruned(level: DataFrame, most: int) -> DataFrame:
     return last.where(F.col("rank") <= most).select("lang", "context", "ch", "share")
 
 
+def _laid_out(vocabulary: int):
+    """Task that puts the kept n-grams (block, place, level, context, ch, share) of a block's languages together, pickled in pieces."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cols = {c: table[c].to_numpy() for c in table.column_names}
+        block, models = int(cols["block"][0]), []
+        for place in range(int(cols["place"].max()) + 1):
+            at = {o: np.flatnonzero((cols["place"] == place) & (cols["level"] == o)) for o in (4, 3, 2, 1)}
+            models.append(KneserNey({o: tuple(cols[c][i] for c in ("context", "ch", "share")) for o, i in at.items()}, vocabulary))
+        laid = _combined(models)
+        data = pickle.dumps((laid.tables, laid.floor), 5)
+        parts = [data[i : i + _PIECE] for i in range(0, len(data), _PIECE)]
+        return pa.table({"block": pa.array([block] * len(parts), pa.int32()), "piece": pa.array(range(len(parts)), pa.int32()), "part": pa.array(parts, pa.binary())})
+
+    return run
+
+
 def train(rows: DataFrame) -> Model | None:
     """A model from ``rows`` (lang, text), all of them labelled; None if there are none with text."""
     levels = shares(count_grams(rows))
@@ -300,22 +325,38 @@ def train(rows: DataFrame) -> Model | None:
         return None
     most = max(LEAST_GRAMS, MODEL_CELLS // (len(languages) * min(len(languages), BLOCK)))
     vocabulary = levels[1].select("ch").distinct().count() + 1
-    kept = {order: stored(_pruned(level, most), f"language-model-{order}") for order, level in levels.items()}
+    places = rows.sparkSession.createDataFrame(
+        [(x, i // BLOCK, i % BLOCK) for i, x in enumerate(languages)], "lang string, block int, place int"
+    )
+    kept = reduce(DataFrame.unionAll, [_pruned(level, most).withColumn("level", F.lit(order)) for order, level in levels.items()])
+    kept = kept.join(F.broadcast(places), "lang").select("block", "place", "level", "context", "ch", "share")  # one row a language
+    # Bounded: `most` rows an order and language, for the task that lays out a block as for its result.
+    found = kept.groupBy("block").applyInArrow(_laid_out(vocabulary), "block int, piece int, part binary").toArrow()
+    found = found.sort_by([("block", "ascending"), ("piece", "ascending")])
     blocks = []
-    for at in range(0, len(languages), BLOCK):
-        own = languages[at : at + BLOCK]
-        # Bounded: `most` rows an order and language.
-        of = {order: dict(list(k.where(F.col("lang").isin(own)).toPandas().groupby("lang"))) for order, k in kept.items()}
-        blocks.append(_combined([
-            KneserNey({o: tuple(of[o][x][c].to_numpy() for c in ("context", "ch", "share")) for o in of}, vocabulary) for x in own
-        ]))
+    for block in range(-(-len(languages) // BLOCK)):
+        own = found.filter(pa.compute.equal(found["block"], block))["part"]
+        blocks.append(Block(*pickle.loads(b"".join(x.as_buffer() for x in own))))
     return Model(languages, blocks, {})
 
 
-def calibrate(model: Model, texts: list[str], langs: list[str]) -> None:
-    """Fit spreads and temperature to labelled texts."""
-    entropy, sizes = model.entropies(texts)
-    right = np.array([model.languages.index(x) for x in langs], np.int64)
+def _measured(shared):
+    """Task that measures (lang, text): lang, characters, cross-entropies by the model that ``shared`` broadcasts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 256):
+                part = pdf.iloc[at : at + 256]
+                entropy, sizes = shared.value.entropies(part["text"].tolist())
+                yield pd.DataFrame({"lang": part["lang"].tolist(), "size": sizes, "entropy": list(entropy)})
+
+    return run
+
+
+def calibrate(model: Model, entropy: np.ndarray, sizes: np.ndarray, langs: list[str]) -> None:
+    """Fit spreads and temperature to what ``Model.entropies`` gave for labelled texts."""
+    number = {x: i for i, x in enumerate(model.languages)}
+    right = np.array([number[x] for x in langs], np.int64)
     own = entropy[np.arange(len(right)), right]
     for k, lang in enumerate(model.languages):
         mine = (right == k) & (sizes > 0)
@@ -350,16 +391,21 @@ def identify(docs: DataFrame) -> DataFrame:
     labelled = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     labelled = labelled.select("doc_id", "lang", "text")
     model = train(labelled.select("lang", "text"))
+    shared = spark.sparkContext.broadcast(model)  # bounded by MODEL_CELLS, beyond it by LEAST_GRAMS a language
+    fitted = {}
     if model is not None:
         share = CALIBRATION_ROWS / max(1, labelled.count())
         drawn = (F.xxhash64("doc_id", F.lit("calibration")).cast("double") / 2.0**63 + 1) / 2 < share
-        sample = labelled.where(drawn & F.col("lang").isin(model.languages) & (F.length("text") <= 100_000)).toPandas()
-        calibrate(model, sample["text"].tolist(), sample["lang"].tolist())
-    shared = spark.sparkContext.broadcast(model)  # bounded by MODEL_CELLS, beyond it by LEAST_GRAMS a language
+        sample = labelled.where(drawn & F.col("lang").isin(model.languages) & (F.length("text") <= 100_000)).select("lang", "text")
+        # A row of numbers for each of about CALIBRATION_ROWS texts.
+        got = sample.mapInPandas(_measured(shared), "lang string, size long, entropy array<double>").toArrow()
+        entropy = got["entropy"].combine_chunks().flatten().to_numpy().reshape(-1, len(model.languages))
+        calibrate(model, entropy, got["size"].to_numpy(), got["lang"].to_pylist())
+        fitted = {"normal": model.normal, "temperature": model.temperature, "limit": model.limit}
 
     @F.pandas_udf("lang_pred string, score double, excess double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        own = replace(shared.value, **fitted)
         for s in texts:
             yield pd.concat([own.predict(s[at : at + 256].tolist()) for at in range(0, len(s), 256)] or [own.predict([])])
 
