@@ -209,3 +209,18 @@ def test_lines_of_a_plain_text_are_not_looked_at_one_by_one(monkeypatch):
     out = next(lines._occurrences(iter([docs])))
     assert out["line_no"].tolist() == [0, 2] and out["doc_id"].tolist() == [1, 1] and out["doc_key"].tolist() == [5, 5]
     assert not seen
+
+
+def test_texts_of_lines_in_no_pair_are_not_shuffled(spark):
+    lines_ = [f"{i:04} a line that shares its words with no other {i * 7919 % 10007:05}" for i in range(300)]
+    ids = [lines.line_id(x) for x in lines_]
+    wanted = spark.createDataFrame([(x,) for x in ids[:20]], "line long")
+    bits = lines._filter(wanted)
+    good = lines.passed(bits, np.array(ids, np.int64))
+    assert good[:20].all() and good[20:].sum() <= 3
+    assert not lines.passed(lines._filter(wanted.where("false")), np.array(ids, np.int64)).any()
+    sent = spark.createDataFrame([("\n".join(lines_),)], "text string").mapInPandas(
+        lines._lines_of(spark.sparkContext.broadcast(bits)), "line long, content string"
+    ).collect()
+    assert set(ids[:20]) <= {r.line for r in sent} and len(sent) <= 23
+    assert all(r.line == lines.line_id(r.content) for r in sent)

@@ -51,6 +51,8 @@ GROUPS_PER_PARTITION = 8
 #: Members up to which a divided bucket's common shingles are counted, without a filter; asking lines at once.
 SMALL_BUCKET = 16_384
 _ASKING = 512
+#: Bits of the filter for lines whose texts are wanted: 4 MB, whatever the input.
+FILTER_BITS = 1 << 25
 #: Lines times shingles up to which a bucket's shingles are one table, without a look at which are common.
 _SMALL_TABLE = 1 << 17
 
@@ -231,11 +233,34 @@ def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             })
 
 
-def _lines_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for at in range(0, len(pdf), 512):
-            lines = {x for text in pdf["text"].iloc[at : at + 512] for x in normal_lines(text) if x}
-            yield pd.DataFrame({"line": [line_id(x) for x in lines], "content": list(lines)})
+def _filter(wanted: DataFrame) -> np.ndarray:
+    """Bits of ``FILTER_BITS`` that tell which remainders wanted lines have; bounded, so it tells less of very many lines."""
+    place = F.col("line").bitwiseAND(FILTER_BITS - 1)
+    words = wanted.groupBy(F.shiftright(place, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(line & 63 AS int))")).alias("bits")
+    ).toArrow()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out
+
+
+def passed(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which lines may be wanted; all that are."""
+    return (bits[(ids & (FILTER_BITS - 1)) >> 6] >> (ids & 63) & 1).astype(bool)
+
+
+def _lines_of(bits):
+    """Task that turns (text) rows into the lines that pass the filter that ``bits`` broadcasts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 512):
+                lines = list({x for text in pdf["text"].iloc[at : at + 512] for x in normal_lines(text) if x})
+                ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
+                good = passed(bits.value, ids)
+                yield pd.DataFrame({"line": ids[good], "content": np.array(lines, object)[good]})
+
+    return run
 
 
 def shingles(line: str, start: int = 0, stop: int | None = None) -> set[str]:
@@ -450,8 +475,10 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, root) of lines that the first links connect, and links (a, b) that connect roots or lines without a link."""
     met = stored(buckets(docs), "line-buckets")
     pairs = stored(met.where("key IS NULL").selectExpr("inline(arrays_zip(a, b))").distinct(), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    texts = docs.select("text").mapInPandas(_lines_of, "line long, content string")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "line-wanted")
+    # Most lines are in no pair: the filter spares their texts the shuffle, the join settles the rest.
+    bits = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
+    texts = docs.select("text").mapInPandas(_lines_of(bits), "line long, content string")
     texts = texts.join(wanted, "line", "left_semi").dropDuplicates(["line"])
     texts = stored(texts, "line-texts")
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("content").alias("content_a")), "a").join(
