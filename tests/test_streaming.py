@@ -198,3 +198,29 @@ def test_batches_of_one_row_group_have_many_tasks(spark, tmp_path, monkeypatch):
     assert len(tasks) == 4 and min(tasks) >= 4
     assert Counter(seen) == bag(views.events(spark, sf))
     assert not any((tmp_path / "root").iterdir())
+
+
+@pytest.mark.parametrize("part", ["_in_time", "_interleaved"])
+def test_all_parts_are_written_in_one_pass(spark, tmp_path, monkeypatch, part):
+    from datetime import datetime, timedelta
+
+    from thermowatt.plans import queries, views
+
+    sf, left, seen = str(tmp_path / "sf"), [], []
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=i * 7 % 100), i % 5, "view", 1.0, '{"k": 8}') for i in range(100)]
+    rows += [rows[3], (3, None, None, None, None, None)]
+    spark.createDataFrame(rows, views.EVENTS).coalesce(1).write.parquet(f"{sf}/events.parquet")
+    monkeypatch.setattr(queries, "_FILE_ROWS", 10)
+
+    def start(ev, checkpoint):
+        left.append({p.name for p in (tmp_path / "root" / "spread").glob("_part=*")})
+        return stream_into(ev, lambda batch, batch_id: seen.append([tuple(r) for r in batch.collect()]), checkpoint, ONCE)
+
+    queries._in_parts(spark, sf, str(tmp_path / "root"), start, getattr(queries, part))
+    assert left == [{f"_part={i}" for i in range(n, 4)} for n in (1, 2, 3, 4)]
+    assert Counter(r for batch in seen for r in batch) == Counter(rows)
+    if part == "_in_time":
+        times = [[r[1] for r in batch if r[1] is not None] for batch in seen]
+        assert all(max(a) < min(b) for a, b in zip(times, times[1:]))
+    else:
+        assert [{r[0] % 4 for r in batch} for batch in seen] == [{0}, {1}, {2}, {3}]

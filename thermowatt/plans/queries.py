@@ -17,7 +17,7 @@ from ..operators import (
 )
 from ..session import SETTINGS
 from ..sinks import BatchTable, write_parquet
-from ..sources import drop_folder, read_readings, shared_folder, stream_parquet
+from ..sources import drop_folder, move_folder, read_readings, shared_folder, stream_parquet
 from ..streaming import (
     ClosedRollups, DeviceTails, PipelineTables, latest_rollups, open_rollups, run_pipeline, stream_alerts,
     stream_alerts_keyed, stream_closed_rollups, stream_into, stream_rollup, versions_table,
@@ -279,37 +279,45 @@ def timings(spark, sf_dir):
 # until it has taken what is new, and stops.
 
 _PARTS = 4
-#: Events to a file before they are landed: a row group is one task's work, and the given table may have just one.
+_PART = "_part"
+#: Events to a landed file: a row group is one task's work, and the given table may have just one.
 _FILE_ROWS = 25_000
 
 
-def _spread(ev: DataFrame, path: str) -> DataFrame:
-    """The same events in as many files as their number asks for, dealt by whole rows."""
-    files = max(1, -(-ev.count() // _FILE_ROWS))
-    ev.repartition(files, *ev.columns).write.parquet(path)
-    return ev.sparkSession.read.schema(views.EVENTS).parquet(path)
+def _spread(ev: DataFrame) -> DataFrame:
+    """The same events dealt by whole rows, to tasks that each write a file of every part."""
+    n = ev.count()
+    files, cores = -(-n // _FILE_ROWS), ev.sparkSession.sparkContext.defaultParallelism
+    return ev.repartition(max(1, -(-files // _PARTS), min(files, cores)), *ev.columns)
 
 
-def _in_time(ev: DataFrame) -> Column:
-    """Part number by event time, so that a device's readings arrive in order."""
+def _in_time(ev: DataFrame) -> DataFrame:
+    """Part number by event time, so that a device's readings arrive in order.
+
+    The cuts come from the rows as dealt: both sides of the join read one shuffle. They are off by a thousandth of
+    the rows at most, and what a query returns does not depend on where they lie.
+    """
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    cuts = ev.agg(F.percentile_approx(at, [i / _PARTS for i in range(1, _PARTS)], 10_000)).first()[0] or []
-    return sum((F.when(at > cut, 1).otherwise(0) for cut in cuts), F.lit(0))
+    cuts = ev.agg(F.percentile_approx(at, [i / _PARTS for i in range(1, _PARTS)], 1_000).alias("_cuts"))
+    number = sum((F.when(at > F.get("_cuts", F.lit(i)), 1).otherwise(0) for i in range(_PARTS - 1)), F.lit(0))
+    return ev.crossJoin(F.broadcast(cuts)).withColumn(_PART, number).drop("_cuts")
 
 
-def _interleaved(ev: DataFrame) -> Column:
+def _interleaved(ev: DataFrame) -> DataFrame:
     """Part number by event id: every part but the first is full of late readings."""
-    return F.pmod("event_id", F.lit(_PARTS))
+    return ev.withColumn(_PART, F.pmod("event_id", F.lit(_PARTS)))
 
 
 def _in_parts(
     spark: SparkSession, sf_dir: str, root: str, start: Callable[[DataFrame, str], StreamingQuery],
-    part: Callable[[DataFrame], Column] = _in_time, at_end: Callable[[str], None] = lambda checkpoint: None,
+    part: Callable[[DataFrame], DataFrame] = _in_time, at_end: Callable[[str], None] = lambda checkpoint: None,
 ) -> None:
-    ev = _spread(views.events(spark, sf_dir), f"{root}/spread")
-    number = part(ev)
+    part(_spread(views.events(spark, sf_dir))).write.partitionBy(_PART).parquet(f"{root}/spread")
     for i in range(_PARTS):
-        ev.where(number == i).write.parquet(f"{root}/landed/part-{i}")
+        landed = f"{root}/landed/part-{i}"
+        # All parts are written at once, and one after the other is moved to where the stream looks.
+        if not move_folder(spark, f"{root}/spread/{_PART}={i}", landed):
+            spark.createDataFrame([], views.EVENTS).write.parquet(landed)
         start(stream_parquet(spark, f"{root}/landed/*", views.EVENTS), f"{root}/checkpoint").awaitTermination()
     at_end(f"{root}/checkpoint")
     for used in ("spread", "landed", "checkpoint"):

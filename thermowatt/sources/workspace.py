@@ -41,6 +41,19 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> bool:
+    """Move a folder below the same shared folder; tells whether there was one."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    system = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(source):
+        return False
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"cannot move {path} to {to}")
+    return True
+
+
 def list_folder(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, wherever they lie."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
