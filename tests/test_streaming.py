@@ -224,3 +224,34 @@ def test_all_parts_are_written_in_one_pass(spark, tmp_path, monkeypatch, part):
         assert all(max(a) < min(b) for a, b in zip(times, times[1:]))
     else:
         assert [{r[0] % 4 for r in batch} for batch in seen] == [{0}, {1}, {2}, {3}]
+
+
+@pytest.mark.parametrize("policy", [SplitPolicy(), SPLIT])
+def test_tails_come_from_the_rows_of_the_alerts(spark, tmp_path, policy):
+    from thermowatt.operators.history import last_rows
+
+    df, signals = numbered(spark, random_readings(300, 6, seed=12, hot=0.4)), ["temperature_c", "power_kw"]
+    tails, seeds = DeviceTails(str(tmp_path / "tails")), None
+    for batch_id, rows in enumerate((df.where("seq < 40"), df.where("seq >= 40 AND device_id <> 'd3'"))):
+        expected = bag(last_rows(rows, "device_id", ORDER, signals, 20, seeds))
+        stats = tails.stats(rows, ORDER, seeds, policy)
+        assert (stats.cut_keys is not None) == (policy is SPLIT)
+        assert stats.rows.is_cached and stats.given.count() == rows.count()
+        newest = tails._newest(rows, ORDER, seeds, stats)
+        assert bag(newest) == expected
+        if policy is not SPLIT:
+            # Nothing is shuffled again: device by device the rows lie where the alerts' window has put them.
+            plan = newest.groupBy("device_id").count()._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan.split("InMemoryRelation")[0]
+        seeds = spark.createDataFrame(newest.collect(), newest.schema)
+        stats.drop()
+
+
+def test_settings_of_batches_stay_in_the_stream(spark, tmp_path):
+    name = "spark.sql.inMemoryColumnarStorage.compressed"
+    df, seen, tails = numbered(spark, random_readings(30, 2, seed=1)), [], DeviceTails(str(tmp_path / "tails"))
+    feed(df, str(tmp_path / "in"), [0, 30])
+    stream = as_stream(spark, df, str(tmp_path / "in"))
+    sink = lambda rows, batch_id: seen.append((rows.count(), rows.sparkSession.conf.get(name)))
+    stream_alerts(stream, sink, tails, str(tmp_path / "check"), ORDER, ONCE).awaitTermination()
+    assert [s[1] for s in seen] == ["false"] and spark.conf.get(name) == "true"

@@ -79,13 +79,15 @@ def sigma_alerts(
     extra: tuple[str, ...] = (),
     seeds: DataFrame | None = None,
     policy: SplitPolicy = SplitPolicy(),
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Readings further than ``sigmas`` deviations from the device's previous readings.
 
     ``order_by`` is the arrival order inside a device; make it total. The frame
     holds earlier anomalies too. Batch input; see ``streaming.alerts`` for streams.
+    ``stats`` are the readings with their statistics, where those are made already.
     """
-    rows = prior_stats(readings, "device_id", order_by, _SIGNALS, history, seeds, policy)
+    rows = prior_stats(readings, "device_id", order_by, _SIGNALS, history, seeds, policy) if stats is None else stats
     return _emit(rows, _sigma_rules(min_history, sigmas, std_floor), extra)
 
 
@@ -101,9 +103,10 @@ def all_alerts(
     extra: tuple[str, ...] = (),
     seeds: DataFrame | None = None,
     policy: SplitPolicy = SplitPolicy(),
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Up to four alerts per reading: hard temperature, hard power, sigma temperature, sigma power."""
-    rows = prior_stats(readings, "device_id", order_by, _SIGNALS, history, seeds, policy)
+    rows = prior_stats(readings, "device_id", order_by, _SIGNALS, history, seeds, policy) if stats is None else stats
     rules = _hard_rules(temp_max, power_max) + _sigma_rules(min_history, sigmas, std_floor)
     return _emit(rows, rules, extra)
 

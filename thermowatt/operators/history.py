@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from .hot_groups import SLICE, SplitPolicy, slice_groups
+from .hot_groups import SLICE, Sliced, SplitPolicy, slice_groups
 
 PRIOR = "_prior_n"
+GIVEN = "_given"
+NEWEST = "_newest"
 _FRESH = "_fresh"
 _POSITION = "_position"
-_GIVEN = "_given"
 
 
 def _arrival(order_by: list[str]) -> list[Column]:
@@ -35,6 +36,34 @@ def _stats(frame: WindowSpec, columns: list[str]) -> list[Column]:
     return stats
 
 
+def _with_older(
+    readings: DataFrame, sliced: Sliced, key: str, order_by: list[str], columns: list[str], history: int, seeds: DataFrame | None
+) -> tuple[DataFrame, WindowSpec]:
+    """Readings with the older rows their frames reach back to, not ``GIVEN``, and the window they lie in."""
+    rows = sliced.rows.withColumns({_FRESH: F.lit(1), _POSITION: F.lit(0), GIVEN: F.lit(True)})
+    order = _arrival(order_by)
+    older = seeds
+    if sliced.cut_keys is not None:
+        cut_keys = F.broadcast(sliced.cut_keys)
+        tails = _newest(rows.join(cut_keys, key, "left_semi"), [key, SLICE], order, history)
+        tails = tails.select(key, SLICE, _FRESH, _POSITION, *order_by, *columns)
+        if seeds is not None:
+            # For a cut key the seeds are a slice of their own, in front of slice 0.
+            before = seeds.join(cut_keys, key, "left_semi").withColumns({_FRESH: F.lit(0), SLICE: F.lit(-1)})
+            tails = tails.unionByName(before, allowMissingColumns=True)
+            older = seeds.join(cut_keys, key, "left_anti")
+        # Slices from 1 on are non-empty, so the next history + 1 slices are the
+        # only ones whose frames can reach back into this one.
+        later = F.sequence(F.col(SLICE) + 1, F.col(SLICE) + history + 1)
+        carried = _newest(tails.withColumn(SLICE, F.explode(later)), [key, SLICE], order, history)
+        rows = rows.unionByName(carried.drop("_rank").withColumn(GIVEN, F.lit(False)), allowMissingColumns=True)
+    if older is not None:
+        given = older.withColumns({_FRESH: F.lit(0), SLICE: F.lit(0), GIVEN: F.lit(False)})
+        rows = rows.unionByName(given, allowMissingColumns=True)
+    frame_keys = [key] if sliced.cut_keys is None else [key, SLICE]
+    return rows, Window.partitionBy(*frame_keys).orderBy(*order)
+
+
 def prior_stats(
     readings: DataFrame,
     key: str,
@@ -59,31 +88,35 @@ def prior_stats(
         frame = Window.partitionBy(key).orderBy(*order_by).rowsBetween(-history, -1)
         return readings.select("*", *_stats(frame, columns))
 
-    rows = sliced.rows.withColumns({_FRESH: F.lit(1), _POSITION: F.lit(0), _GIVEN: F.lit(True)})
-    order = _arrival(order_by)
-    older = seeds
-    if sliced.cut_keys is not None:
-        cut_keys = F.broadcast(sliced.cut_keys)
-        tails = _newest(rows.join(cut_keys, key, "left_semi"), [key, SLICE], order, history)
-        tails = tails.select(key, SLICE, _FRESH, _POSITION, *order_by, *columns)
-        if seeds is not None:
-            # For a cut key the seeds are a slice of their own, in front of slice 0.
-            before = seeds.join(cut_keys, key, "left_semi").withColumns({_FRESH: F.lit(0), SLICE: F.lit(-1)})
-            tails = tails.unionByName(before, allowMissingColumns=True)
-            older = seeds.join(cut_keys, key, "left_anti")
-        # Slices from 1 on are non-empty, so the next history + 1 slices are the
-        # only ones whose frames can reach back into this one.
-        later = F.sequence(F.col(SLICE) + 1, F.col(SLICE) + history + 1)
-        carried = _newest(tails.withColumn(SLICE, F.explode(later)), [key, SLICE], order, history)
-        rows = rows.unionByName(carried.drop("_rank").withColumn(_GIVEN, F.lit(False)), allowMissingColumns=True)
-    if older is not None:
-        given = older.withColumns({_FRESH: F.lit(0), SLICE: F.lit(0), _GIVEN: F.lit(False)})
-        rows = rows.unionByName(given, allowMissingColumns=True)
+    rows, window = _with_older(readings, sliced, key, order_by, columns, history, seeds)
+    helpers = (_FRESH, _POSITION, GIVEN, *sliced.helper_columns)
+    return rows.select("*", *_stats(window.rowsBetween(-history, -1), columns)).where(GIVEN).drop(*helpers)
 
-    frame_keys = [key] if sliced.cut_keys is None else [key, SLICE]
-    frame = Window.partitionBy(*frame_keys).orderBy(*order).rowsBetween(-history, -1)
-    helpers = (_FRESH, _POSITION, _GIVEN, *sliced.helper_columns)
-    return rows.select("*", *_stats(frame, columns)).where(_GIVEN).drop(*helpers)
+
+def stats_and_newest(
+    readings: DataFrame,
+    key: str,
+    order_by: list[str],
+    columns: list[str],
+    history: int,
+    seeds: DataFrame | None = None,
+    policy: SplitPolicy = SplitPolicy(),
+) -> tuple[DataFrame, DataFrame | None]:
+    """``prior_stats`` and what ``last_rows`` needs, from one shuffle and one sort.
+
+    Gives the readings (``GIVEN``) together with those seeds that stay among the
+    last ``history`` rows of their key, each with its place ``NEWEST`` from the
+    end of its key (1 = newest), and the keys that were cut, if any. For a cut
+    key the place counts inside a slice only.
+    """
+    sliced = slice_groups(readings, [key], order_by[0], policy)
+    rows, window = _with_older(readings, sliced, key, order_by, columns, history, seeds)
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # Counted from the front: a frame that ends with the key would be gone through again for every row.
+    place = F.count(F.lit(1)).over(whole) - F.row_number().over(window) + 1
+    stats = _stats(window.rowsBetween(-history, -1), columns)
+    marked = rows.select("*", *stats, place.alias(NEWEST)).where(F.col(GIVEN) | (F.col(NEWEST) <= history))
+    return marked.drop(_FRESH, _POSITION, *sliced.helper_columns), sliced.cut_keys
 
 
 def last_rows(

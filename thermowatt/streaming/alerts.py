@@ -10,7 +10,7 @@ from .. import contract as c
 from ..operators.anomalies import all_alerts, sigma_alerts
 from ..operators.hot_groups import SplitPolicy
 from ..sinks.external import BatchSink
-from .tails import DeviceTails
+from .tails import DeviceTails, tune_batches
 
 
 def stream_alerts(
@@ -32,11 +32,16 @@ def stream_alerts(
     rules = all_alerts if hard_limits else sigma_alerts
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        tune_batches(batch.sparkSession)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             seeds = tails.seeds(batch, batch_id)
-            sink(rules(batch, order_by, history=tails.history, seeds=seeds, policy=policy, **limits), batch_id)
-            tails.advance(batch, batch_id, order_by, seeds)
+            stats = tails.stats(batch, order_by, seeds, policy)
+            try:
+                sink(rules(batch, order_by, history=tails.history, stats=stats.given, **limits), batch_id)
+                tails.advance(batch, batch_id, order_by, seeds, stats)
+            finally:
+                stats.drop()
         finally:
             batch.unpersist()
 

@@ -17,7 +17,7 @@ from ..operators.windows import merge_rollup_parts, parts_schema, rollup_parts
 from ..operators.validation import rejected_rows, valid_readings, validate
 from ..sinks.external import BatchSink
 from ..sinks.tables import BatchTable
-from .tails import DeviceTails
+from .tails import DeviceTails, tune_batches
 
 _COUNTERS = ["received", "readings", "rejected", "alerts"]
 
@@ -112,27 +112,30 @@ def run_pipeline(
         spark = batch.sparkSession
         if batch_id and batch_id % compact_every == 0:
             tables.compact(spark, batch_id)
+        tune_batches(spark)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             readings = valid_readings(batch, extra)
-            seeds = tables.tails.seeds(readings, batch_id)
-            # Built one after the other: the alerts count their devices, and the
-            # batch is persisted by then.
-            outputs = {
-                "readings": lambda: readings,
-                "rejected": lambda: rejected_rows(batch, F.col("_received_at")),
-                "alerts": lambda: all_alerts(readings, order_by, seeds=seeds, policy=policy),
-            }
-            for name, build in outputs.items():
-                rows = build()
+
+            def put(name: str, rows: DataFrame) -> None:
                 if name in others:
                     rows.persist(StorageLevel.MEMORY_AND_DISK)
                 getattr(tables, name).add(rows, batch_id)
                 if name in others:
                     others[name](rows, batch_id)
                     rows.unpersist()
+
+            put("readings", readings)
+            put("rejected", rejected_rows(batch, F.col("_received_at")))
+            # Only now, as this counts the devices, and the batch is persisted by then.
+            seeds = tables.tails.seeds(readings, batch_id)
+            stats = tables.tails.stats(readings, order_by, seeds, policy)
+            try:
+                put("alerts", all_alerts(readings, order_by, history=tables.tails.history, stats=stats.given))
+                tables.tails.advance(readings, batch_id, order_by, seeds, stats)
+            finally:
+                stats.drop()
             tables.parts.add(rollup_parts(readings, size, tables.decimals), batch_id)
-            tables.tails.advance(readings, batch_id, order_by, seeds)
         finally:
             batch.unpersist()
 

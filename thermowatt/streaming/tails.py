@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..contract import HISTORY_LENGTH
-from ..operators.history import last_rows
+from ..operators.history import GIVEN, NEWEST, last_rows, stats_and_newest
+from ..operators.hot_groups import SplitPolicy
 
 _SIGNALS = ["temperature_c", "power_kw"]
 _SCHEMA = (
@@ -17,6 +19,30 @@ _SCHEMA = (
 )
 
 
+def tune_batches(spark: SparkSession) -> None:
+    """Settings for what a batch persists, in the session of a batch, which is the stream's own copy of the caller's."""
+    # A batch lives too shortly for its columns to be worth compressing.
+    spark.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
+    # Small shuffle partitions are joined below persisted rows as well.
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
+
+
+@dataclass(frozen=True)
+class BatchStats:
+    """A batch's readings with their statistics, and the seeds that stay; persisted until ``drop``."""
+
+    rows: DataFrame
+    cut_keys: DataFrame | None
+
+    @property
+    def given(self) -> DataFrame:
+        """The readings alone."""
+        return self.rows.where(GIVEN)
+
+    def drop(self) -> None:
+        self.rows.unpersist()
+
+
 @dataclass(frozen=True)
 class DeviceTails:
     """At most ``history`` readings per device, in Parquet under ``path``.
@@ -55,10 +81,35 @@ class DeviceTails:
         latest = self._latest(readings.sparkSession, batch_id, touched)
         return None if latest is None else latest.select("device_id", F.inline("tail"))
 
-    def advance(self, readings: DataFrame, batch_id: int, order_by: list[str], seeds: DataFrame | None) -> None:
+    def stats(
+        self, readings: DataFrame, order_by: list[str], seeds: DataFrame | None, policy: SplitPolicy = SplitPolicy()
+    ) -> BatchStats:
+        """What the alerts and the tails of a batch are read from, shuffled and sorted once for both."""
+        rows, cut_keys = stats_and_newest(readings, "device_id", order_by, _SIGNALS, self.history, seeds, policy)
+        unread = [c for c in readings.columns if c not in ("device_id", "event_ts", *_SIGNALS)]
+        return BatchStats(rows.drop(*unread).persist(StorageLevel.MEMORY_AND_DISK), cut_keys)
+
+    def _newest(
+        self, readings: DataFrame, order_by: list[str], seeds: DataFrame | None, stats: BatchStats | None
+    ) -> DataFrame:
+        """The last rows per device, of cut devices from the readings."""
+        if stats is None:
+            return last_rows(readings, "device_id", order_by, _SIGNALS, self.history, seeds)
+        place = (self.history - F.col(NEWEST)).cast("int").alias("_position")
+        newest = stats.rows.where(F.col(NEWEST) <= self.history).select("device_id", place, *_SIGNALS)
+        if stats.cut_keys is None:
+            return newest
+        cut = F.broadcast(stats.cut_keys)
+        of_cut = [None if rows is None else rows.join(cut, "device_id", "left_semi") for rows in (readings, seeds)]
+        hot = last_rows(of_cut[0], "device_id", order_by, _SIGNALS, self.history, of_cut[1])
+        return newest.join(cut, "device_id", "left_anti").unionByName(hot)
+
+    def advance(
+        self, readings: DataFrame, batch_id: int, order_by: list[str], seeds: DataFrame | None, stats: BatchStats | None = None
+    ) -> None:
         """Store the state after this batch."""
         spark = readings.sparkSession
-        newest = last_rows(readings, "device_id", order_by, _SIGNALS, self.history, seeds)
+        newest = self._newest(readings, order_by, seeds, stats)
         rows = newest.groupBy("device_id").agg(
             F.collect_list(F.struct("_position", *_SIGNALS)).alias("tail")
         )
