@@ -224,3 +224,67 @@ def test_texts_of_lines_in_no_pair_are_not_shuffled(spark):
     ).collect()
     assert set(ids[:20]) <= {r.line for r in sent} and len(sent) <= 23
     assert all(r.line == lines.line_id(r.content) for r in sent)
+
+
+def test_unlike_pairs_are_told_by_bitmaps(monkeypatch):
+    rng = random.Random(18)
+    own = templates(kinds=2, n=80) + ["".join(rng.choice("abcdefgh jklm") for _ in range(rng.randrange(20, 400))) for _ in range(80)]
+    for _ in range(160):
+        line = rng.choice(own)
+        cut = rng.randrange(len(line))
+        own.append((line[:cut] + "".join(rng.choice("abcd") for _ in range(rng.randrange(60))) + line[cut + rng.randrange(20) :]).ljust(20, "x"))
+    pairs = np.array(list(itertools.combinations(range(len(own)), 2)))
+    like = np.array([jaccard(own[i], own[j]) >= 0.8 for i, j in pairs.tolist()])
+    may = lines.may_be_similar(*lines.sketches(own), *pairs.T)
+    assert like.sum() > 100 and not (like & ~may).any() and may.sum() < 0.1 * len(pairs)
+    assert lines.alike(own, pairs).tolist() == like.tolist()
+
+    # Only what bitmaps leave has its shingles counted.
+    counted = []
+    monkeypatch.setattr(lines, "common_shingles", lambda x, y, f=lines.common_shingles: counted.append(len(y)) or f(x, y))
+    told = pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+    told = told.assign(content_a=told["a"].map(own.__getitem__), content_b=told["b"].map(own.__getitem__))
+    got = pd.concat(lines._verified(iter([told])))
+    assert got.to_numpy().tolist() == pairs[like].tolist()
+    assert sum(counted) == may.sum()
+
+
+def test_small_buckets_are_settled_as_one_by_one(monkeypatch):
+    rng, own = random.Random(19), templates(kinds=3, n=60)
+    rows = []
+    for key in range(120):
+        for i in rng.sample(range(len(own)), rng.randrange(3, 40)):
+            rows.append((key, lines.line_id(own[i]), i, own[i]))
+    pdf = pd.DataFrame(rows, columns=["key", "line", "root", "content"])
+    want = []
+    for _, bucket in pdf.groupby("key"):
+        names = bucket["root"].tolist()
+        want += [(names[i], names[j]) for i, j in lines.settle(bucket["content"].tolist(), names)]
+    want = roots(range(len(own)), want)
+    assert 20 < len(set(want.values())) < 100
+    settle = lines.settle
+    for few, left in ((256, 10**6), (256, 0), (10, 10**6), (0, 0)):
+        calls = []
+        monkeypatch.setattr(lines, "settle", lambda x, y: calls.append(len(x)) or settle(x, y))
+        monkeypatch.setattr(lines, "FEW_MEMBERS", few)
+        monkeypatch.setattr(lines, "LEFT_PAIRS", left)
+        got = lines._settled(pdf.sample(frac=1, random_state=1))
+        assert roots(range(len(own)), got.to_numpy().tolist()) == want
+        assert (not calls) == (few == 256 and left > 0) and all(n > few or not left for n in calls)
+
+
+def test_only_lines_that_come_again_or_are_in_a_pair_have_places(spark):
+    rng = random.Random(20)
+    lone = ["".join(rng.choice("abcdefghij klmnop") for _ in range(60)) for _ in range(300)]
+    twice, like = "this line stands in two texts, word for word", "this one has a near copy with another end of it: {}"
+    rows = [(i, "\n".join(lone[i::6])) for i in range(6)]
+    rows += [(10, twice), (11, f"short\n{twice}"), (12, like.format("a")), (13, like.format("b")), (14, f"own {twice[5:]}!\nx\n" * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 8):
+        first, _, places = lines._found(df.repartition(parts, "doc_id"))
+        got = {(r.doc_id, r.line_no) for r in places.collect()}
+        assert {(10, 0), (11, 1), (12, 0), (13, 0), (14, 0), (14, 2)} <= got and len(got) < 60
+        assert first.count() >= 2
+        gone = {(r.doc_id, r.line_no, r.first_doc_id) for r in repeated_lines(df.repartition(parts, "doc_id")).collect()}
+        assert {(11, 1, 10), (13, 0, 12)} <= gone and (14, 2) in {g[:2] for g in gone}
+        assert gone == {g[:3] for g in brute(rows)}

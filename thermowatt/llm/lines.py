@@ -20,7 +20,12 @@ through union-find once more.
 
 Entries of a line that comes again in a task are sent on once. They travel as
 arrays, one row per task and target group. A bucket that is still divided is
-settled in one task, as much as its lines share with each other.
+settled in one task, as much as its lines share with each other. Bitmaps of
+shingles spare most unlike pairs the count of common ones: each bit in which two
+differ stands for a shingle that only one line has.
+
+Texts are read twice: once for the bands, and once for the places of lines that
+come again or are in a pair. Only these are shuffled.
 
 Defined results: a null text has no lines. A null doc_id counts as larger than
 any other. Rows that repeat both doc_id and text count as one document. Extra
@@ -53,11 +58,22 @@ SMALL_BUCKET = 16_384
 _ASKING = 512
 #: Bits of the filter for lines whose texts are wanted: 4 MB, whatever the input.
 FILTER_BITS = 1 << 25
-#: Lines times shingles up to which a bucket's shingles are one table, without a look at which are common.
-_SMALL_TABLE = 1 << 17
+#: Members up to which a divided bucket's pairs are all compared by bitmaps; pairs a member that may be left by these.
+FEW_MEMBERS = 64
+LEFT_PAIRS = 4
+#: Pairs compared at once.
+_PAIRS = 1 << 12
+#: Time to sort a shingle of a pair's lines by that of one product of the table of a block's shingles.
+_SORT_COST = 250
+#: Bits of a line's bitmap of shingles.
+SKETCH_BITS = 4096
+#: Lines whose text a task remembers to have sent on.
+_SENT_LINES = 1 << 18
 
 _FLUSH_ENTRIES = 4_000_000
 _FLUSH_CHARS = 1 << 17
+_BLOCK_CHARS = 1 << 15
+_MET_SHINGLES = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_SQUARED = np.uint64(int(_BASE) ** 2 % 2**64)
 _random = np.random.default_rng(SEED)
@@ -91,10 +107,14 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every shingle, start of each line's); lines of at least ``SHINGLE`` characters."""
     code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     lengths = np.array([len(x) for x in lines], np.int64)
-    two = code[:-1] * _BASE + code[1:]
-    four = two[:-2] * _BASE_SQUARED + two[2:]
-    six = four[:-2] * _BASE_SQUARED + two[4:]
-    six = (six ^ six >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
+    two = code[:-1] * _BASE
+    two += code[1:]
+    four = two[:-2] * _BASE_SQUARED
+    four += two[2:]
+    six = four[:-2] * _BASE_SQUARED
+    six += two[4:]
+    six ^= np.right_shift(six, np.uint64(31), out=four[:-2])
+    six *= np.uint64(0xD6E8FEB86659FD93)
     # Shingles that run over the end of a line belong to none.
     ends = np.cumsum(lengths)
     good = np.ones(len(six), bool)
@@ -103,6 +123,16 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return six[good], np.concatenate(([0], np.cumsum(lengths - SHINGLE + 1)[:-1]))
 
 
+def _blocks(lines: list[str]) -> Iterator[list[str]]:
+    """``lines`` in parts of some ``_BLOCK_CHARS``, whose hashes fit a processor's cache."""
+    ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    at = 0
+    while at < len(lines):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _BLOCK_CHARS)) + 1
+        yield lines[at:stop]
+        at = stop
+
+
 def band_keys(lines: list[str]) -> np.ndarray:
     """Keys [lines, BANDS] of the buckets that lines fall into."""
     with np.errstate(over="ignore"):
@@ -135,19 +165,20 @@ def candidates(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a, b, first | last
 
 
-def _sorted_distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sorted_distinct(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, ids) without repeats, and the ids that had some."""
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-    return keys[new], ids[new]
+    return keys[new], ids[new], np.unique(ids[~new])
 
 
 def _entries(groups: int):
-    """Task that turns (text) rows into band entries (key, line) by group."""
+    """Task that turns (text) rows into band entries (key, line) by group, and lines that come again without keys."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held_keys, held_ids, seen = [], [], set()
+        held_keys, held_ids, seen, again = [], [], set(), set()
         waiting: list[str] = []
         chars = 0
 
@@ -167,7 +198,11 @@ def _entries(groups: int):
                 return
             keys, ids = np.concatenate(held_keys), np.concatenate(held_ids)
             held_keys, held_ids = [], []
+            if again:
+                ids_again = np.fromiter(map(line_id, again), np.int64, len(again))
+                yield pd.DataFrame({"part": [int(ids_again[0]) % groups], "keys": [None], "ids": [ids_again]})
             seen.clear()
+            again.clear()
             part = (keys.view(np.uint64) >> np.uint64(8)) % np.uint64(groups)
             part = part.astype(np.min_scalar_type(groups))  # small numbers are sorted digit by digit
             order = np.argsort(part, kind="stable")
@@ -182,7 +217,9 @@ def _entries(groups: int):
         for pdf in batches:
             for text in pdf["text"]:
                 for line in normal_lines(text):
-                    if line and line not in seen:
+                    if line in seen:
+                        again.add(line)
+                    elif line:
                         seen.add(line)
                         waiting.append(line)
                         chars += len(line)
@@ -196,12 +233,20 @@ def _entries(groups: int):
 
 
 def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    """First candidates as arrays (a, b) without a key, and buckets of three or more as (key, members)."""
-    keys, ids = _sorted_distinct(np.concatenate(pdf["keys"].to_list()), np.concatenate(pdf["ids"].to_list()))
+    """First candidates as arrays (a, b) without a key, buckets of three or more as (key, members), lines that come again as (a)."""
+    signed = pdf["keys"].notna()
+    empty = [np.zeros(0, np.int64)]
+    keys, ids, again = _sorted_distinct(
+        np.concatenate(empty + pdf.loc[signed, "keys"].to_list()), np.concatenate(empty + pdf.loc[signed, "ids"].to_list())
+    )
+    again = np.unique(np.concatenate([again, *pdf.loc[~signed, "ids"]]))
     a, b, _ = candidates(keys, ids)
     pairs = pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates().to_numpy()
     rows = [(None, pairs[at : at + 65536, 0], pairs[at : at + 65536, 1]) for at in range(0, len(pairs), 65536)]
-    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    rows += [(None, again[at : at + 65536], None) for at in range(0, len(again), 65536)]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(first)
     stops = np.append(starts[1:], len(keys))
     large = stops - starts > 2
     for i, j in zip(starts[large].tolist(), stops[large].tolist()):
@@ -218,19 +263,23 @@ def buckets(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Places of lines with their contents, and what identifies the document if it is given."""
     for pdf in batches:
         for at in range(0, len(pdf), 512):
-            docs, ids, numbers, counts = pdf.iloc[at : at + 512], [], [], []
+            docs, contents, numbers, counts = pdf.iloc[at : at + 512], [], [], []
             for text in docs["text"]:
-                own = [(line_id(line), no) for no, line in enumerate(normal_lines(text)) if line]
-                ids += [i for i, _ in own]
+                own = [(line, no) for no, line in enumerate(normal_lines(text)) if line]
+                contents += [line for line, _ in own]
                 numbers += [no for _, no in own]
                 counts.append(len(own))
-            doc_id, doc_key = (docs[c].repeat(counts).reset_index(drop=True) for c in ("doc_id", "doc_key"))
-            yield pd.DataFrame({
-                "line": np.array(ids, np.int64), "doc_id": doc_id.astype("Int64"), "doc_key": doc_key,
-                "line_no": np.array(numbers, np.int32),
+            out = pd.DataFrame({
+                "line": np.fromiter(map(line_id, contents), np.int64, len(contents)),
+                "line_no": np.array(numbers, np.int32), "content": np.array(contents, object),
             })
+            for c in ("doc_id", "doc_key"):
+                if c in docs:
+                    out[c] = docs[c].repeat(counts).reset_index(drop=True).astype("Int64")
+            yield out
 
 
 def _filter(wanted: DataFrame) -> np.ndarray:
@@ -249,16 +298,28 @@ def passed(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bits[(ids & (FILTER_BITS - 1)) >> 6] >> (ids & 63) & 1).astype(bool)
 
 
-def _lines_of(bits):
-    """Task that turns (text) rows into the lines that pass the filter that ``bits`` broadcasts."""
+def _lines_of(bits, again=None):
+    """Task that turns (text) rows into the lines that pass the filter that ``bits`` broadcasts.
+
+    With ``again``, a filter of further lines, (doc_id, doc_key, text) rows turn into all places of lines that pass
+    either; a task then gives the content once, and only of lines that pass the first.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 512):
-                lines = list({x for text in pdf["text"].iloc[at : at + 512] for x in normal_lines(text) if x})
-                ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
-                good = passed(bits.value, ids)
-                yield pd.DataFrame({"line": ids[good], "content": np.array(lines, object)[good]})
+        sent: set[int] = set()
+        for pdf in _occurrences(batches):
+            if len(sent) > _SENT_LINES:
+                sent.clear()
+            ids = pdf["line"].to_numpy()
+            paired = passed(bits.value, ids)
+            new = paired & ~pdf["line"].duplicated().to_numpy()
+            new[new] = [x not in sent for x in ids[new].tolist()]
+            sent.update(ids[new].tolist())
+            if again is None:
+                yield pdf.loc[new, ["line", "content"]]
+            else:
+                pdf["content"] = np.where(new, pdf["content"], None)
+                yield pdf[paired | passed(again.value, ids)]
 
     return run
 
@@ -304,49 +365,63 @@ def _distinct_shingles(contents: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return both >> bits, (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
 
 
-def similar_pairs(contents: list[str], asking: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def similar_pairs(contents: list[str], asking: np.ndarray, root: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j) of an asking line and another one whose hashed shingles are similar, each pair of two asking lines once.
 
-    Common shingles are counted for a block of asking lines and all lines at once.
+    With ``root``, pairs of one root are left out. Bitmaps tell most pairs apart. What they leave is counted pair by
+    pair or, if it is much, as common shingles of a block of asking lines and all lines at once.
     """
     hashes, line = _distinct_shingles(contents)
     n = len(contents)
     sizes = np.bincount(line, minlength=n)
     token = np.cumsum(np.concatenate(([False], hashes[1:] != hashes[:-1])))
     place = np.full(n, n)
-    whole = None
-    if n * (int(token[-1]) + 1) <= _SMALL_TABLE:
-        whole = np.zeros((n, int(token[-1]) + 1), np.float32)
-        whole[line, token] = 1
-    else:
-        counts = np.bincount(token)
+    counts = np.bincount(token)
+    words = np.ascontiguousarray(sketches(contents)[0].T)
     for at in range(0, len(asking), _ASKING):
         block = asking[at : at + _ASKING]
-        if whole is not None:
-            common = whole[block] @ whole.T
-        else:
-            row = np.full(n, -1)
-            row[block] = np.arange(len(block))
-            # Shingles of one line alone, or of none that asks, are common to no pair.
-            wanted = np.zeros(len(counts), bool)
-            wanted[token[row[line] >= 0]] = True
-            wanted &= counts > 1
-            own = wanted[token]
-            names, lines_of = (np.cumsum(wanted) - 1)[token[own]], line[own]
-            common = np.zeros((len(block), n), np.float32)
-            total = int(wanted.sum())
-            step = max(1, min(total, _FLUSH_ENTRIES // n))
-            for low in range(0, total, step):
-                part = slice(*np.searchsorted(names, [low, low + step]))
-                has = np.zeros((n, step), np.float32)
-                has[lines_of[part], names[part] - low] = 1
-                common += has[block] @ has.T
-        good = common >= SIMILARITY * (sizes[block][:, None] + sizes[None, :] - common) - 1e-3
         place[block] = np.arange(at, at + len(block))
         # Lines that asked before have met these already.
-        i, j = np.nonzero(good & (place[None, :] >= np.arange(at, at + len(block))[:, None]))
-        different = block[i] != j
-        yield block[i][different], j[different]
+        open_ = place[None, :] >= np.arange(at, at + len(block))[:, None]
+        open_[np.arange(len(block)), block] = False
+        if root is not None:
+            open_ &= root[block][:, None] != root[None, :]
+        step = max(1, _MET_SHINGLES // n)
+        for low in range(0, len(block), step):
+            some = block[low : low + step]
+            differing = np.zeros((len(some), n), np.int32)
+            for word in words:
+                differing += np.bitwise_count(word[some][:, None] ^ word[None, :])
+            open_[low : low + step] &= differing <= _most_different(sizes[some][:, None] + sizes[None, :] + 2)
+        i, j = np.nonzero(open_)
+        if not len(i):
+            continue
+        row = np.full(n, -1)
+        row[block] = np.arange(len(block))
+        # Shingles of one line alone, or of none that asks, are common to no pair.
+        wanted = np.zeros(len(counts), bool)
+        wanted[token[row[line] >= 0]] = True
+        wanted &= counts > 1
+        own = wanted[token]
+        names, lines_of = (np.cumsum(wanted) - 1)[token[own]], line[own]
+        total = int(wanted.sum())
+        if _SORT_COST * int(sizes[block[i]].sum() + sizes[j].sum()) <= len(block) * n * total:
+            pairs = np.array((block[i], j)).T
+            for low in range(0, len(pairs), 1024):
+                some = pairs[low : low + 1024]
+                some = some[_alike_of(contents, *some.T)]
+                yield some[:, 0], some[:, 1]
+            continue
+        common = np.zeros((len(block), n), np.float32)
+        step = max(1, min(total, _FLUSH_ENTRIES // n))
+        for low in range(0, total, step):
+            part = slice(*np.searchsorted(names, [low, low + step]))
+            has = np.zeros((n, step), np.float32)
+            has[lines_of[part], names[part] - low] = 1
+            common += has[block] @ has.T
+        good = open_ & (common >= SIMILARITY * (sizes[block][:, None] + sizes[None, :] - common) - 1e-3)
+        i, j = np.nonzero(good)
+        yield block[i], j
 
 
 def common_shingles(contents: list[str], pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -355,39 +430,91 @@ def common_shingles(contents: list[str], pairs: np.ndarray) -> tuple[np.ndarray,
     Hashes have 44 bits here, so that a number of a line or pair fits in front of them; at most 2**20 lines.
     """
     bits, low = np.uint64(44), np.uint64((1 << 44) - 1)
-    hashes, starts = shingle_hashes(contents)
-    line = np.repeat(np.arange(len(contents), dtype=np.uint64), np.diff(np.append(starts, len(hashes))))
-    own = np.sort(line << bits | hashes >> np.uint64(20))
-    own = own[np.concatenate(([True], own[1:] != own[:-1]))]
+    parts, done = [np.zeros(0, np.uint64)], 0
+    for part in _blocks(contents):
+        with np.errstate(over="ignore"):
+            hashes, starts = shingle_hashes(part)
+        line = np.repeat(np.arange(done, done + len(part), dtype=np.uint64), np.diff(np.append(starts, len(hashes))))
+        own = np.sort(line << bits | hashes >> np.uint64(20))
+        parts.append(own[np.concatenate(([True], own[1:] != own[:-1]))])
+        done += len(part)
+    own = np.concatenate(parts)
     sizes = np.bincount((own >> bits).astype(np.int64), minlength=len(contents))
     own &= low
     begins, common = np.cumsum(sizes) - sizes, np.zeros(len(pairs), np.int64)
-    step = max(1, min(1 << 20, _FLUSH_ENTRIES // (4 * int(sizes.max(initial=1)))))
-    for at in range(0, len(pairs), step):
-        part = pairs[at : at + step]
+    ends = np.cumsum(sizes[pairs].sum(axis=1))
+    at = stop = 0
+    while stop < len(pairs):
+        at, stop = stop, int(np.searchsorted(ends, (ends[stop - 1] if stop else 0) + _MET_SHINGLES)) + 1
+        part = pairs[at:stop]
         counts = sizes[part].ravel()
         places = np.arange(counts.sum()) + np.repeat(begins[part].ravel() - (np.cumsum(counts) - counts), counts)
         pair = np.repeat(np.arange(len(part), dtype=np.uint64).repeat(2), counts)
         # What both lines of a pair have comes twice among the shingles of the two.
         met = np.sort(pair << bits | own[places])
         both = met[1:][met[1:] == met[:-1]] >> bits
-        common[at : at + step] = np.bincount(both.astype(np.int64), minlength=len(part))
+        common[at:stop] = np.bincount(both.astype(np.int64), minlength=len(part))
     return common, sizes
 
 
+def sketches(contents: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bitmap of the hashed shingles of each line, how many places for shingles it has)."""
+    out = np.empty((len(contents), SKETCH_BITS // 64), np.uint64)
+    shift = np.uint64(64 - SKETCH_BITS.bit_length() + 1)
+    done = 0
+    for part in _blocks(contents):
+        with np.errstate(over="ignore"):
+            hashes, starts = shingle_hashes(part)
+        first = np.repeat(np.arange(len(part)) * SKETCH_BITS, np.diff(np.append(starts, len(hashes))))
+        has = np.zeros(len(part) * SKETCH_BITS, bool)
+        has[first + (hashes >> shift).astype(np.int64)] = True
+        out[done : done + len(part)] = np.packbits(has).view(np.uint64).reshape(len(part), -1)
+        done += len(part)
+    return out, np.array([len(x) - SHINGLE + 1 for x in contents], np.int64)
+
+
+def _most_different(both: np.ndarray) -> np.ndarray:
+    """How many shingles two similar lines that have ``both`` distinct ones, counted for each, can have alone: (1 - S) / (1 + S) of them."""
+    return (1 - SIMILARITY) / (1 + SIMILARITY) * both + 1e-6
+
+
+def may_be_similar(bitmaps: np.ndarray, places: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs (a, b) can be similar; all that are.
+
+    Bitmaps don't differ in more bits than the lines in shingles, and there are no more shingles than places.
+    """
+    differing = np.bitwise_count(bitmaps[a] ^ bitmaps[b]).sum(axis=1, dtype=np.int64)
+    return differing <= _most_different(places[a] + places[b])
+
+
+def alike(contents: list[str], pairs: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) of lines are similar; at most 2**20 lines."""
+    if not len(pairs):
+        return np.zeros(0, bool)
+    common, sizes = common_shingles(contents, pairs)
+    over = common - SIMILARITY * (sizes[pairs].sum(1) - common)
+    good = over >= -1e-6
+    # Equal hashes of different shingles could change the count by one or two; the shingles themselves tell.
+    for k in np.flatnonzero(np.abs(over) < 4).tolist():
+        good[k] = similar(contents[pairs[k, 0]], shingles(contents[pairs[k, 1]]))
+    return good
+
+
+def _alike_of(contents: list[str], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``alike`` of the pairs (a, b), over the lines that are in one of them."""
+    own, pairs = np.unique(np.concatenate((a, b)), return_inverse=True)
+    return alike([contents[i] for i in own.tolist()], pairs.reshape(2, -1).T)
+
+
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for at in range(0, len(pdf), 1024):
             part = pdf.iloc[at : at + 1024]
-            places = {x: i for i, x in enumerate(dict.fromkeys([*part["content_a"], *part["content_b"]]))}
-            contents, pairs = list(places), np.array([part["content_a"].map(places), part["content_b"].map(places)]).T
-            common, sizes = common_shingles(contents, pairs)
-            over = common - SIMILARITY * (sizes[pairs].sum(1) - common)
-            good = over >= -1e-6
-            # Equal hashes of different shingles could change the count by one or two; the shingles themselves tell.
-            for k in np.flatnonzero(np.abs(over) < 4).tolist():
-                good[k] = similar(contents[pairs[k, 0]], shingles(contents[pairs[k, 1]]))
-            yield part.loc[good, ["a", "b"]]
+            both = np.concatenate((part["content_a"].to_numpy(), part["content_b"].to_numpy()))
+            _, at_first, place = np.unique(part[["a", "b"]].to_numpy().T.ravel(), return_index=True, return_inverse=True)
+            contents, (a, b) = both[at_first].tolist(), place.reshape(2, -1)
+            left = np.flatnonzero(may_be_similar(*sketches(contents), a, b))
+            yield part.iloc[left[_alike_of(contents, a[left], b[left])]][["a", "b"]]
 
 
 def _by_rarity(contents: list[str]) -> Iterator[np.ndarray]:
@@ -427,9 +554,8 @@ def settle(contents: list[str], roots: list[int]) -> list[tuple[int, int]]:
     if len(contents) <= SMALL_BUCKET:
         # Of two roots one is not the largest, so only lines outside the largest look others up.
         root = np.array(of)
-        for a, b in similar_pairs(contents, np.flatnonzero(root != np.bincount(root).argmax())):
-            apart = root[a] != root[b]
-            for i, j in zip(a[apart].tolist(), b[apart].tolist()):
+        for a, b in similar_pairs(contents, np.flatnonzero(root != np.bincount(root).argmax()), root):
+            for i, j in zip(a.tolist(), b.tolist()):
                 if find(of[i]) != find(of[j]) and similar(contents[i], shingles(contents[j])):
                     up[find(of[i])] = find(of[j])
                     links.append((i, j))
@@ -460,25 +586,69 @@ def settle(contents: list[str], roots: list[int]) -> list[tuple[int, int]]:
     return links
 
 
+def _bucket_pairs(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(first rows of some buckets of one size, all pairs (i, j) of rows of each), ``_PAIRS`` at once where buckets are smaller."""
+    for n in np.unique(sizes).tolist():
+        a, b = np.triu_indices(n, 1)
+        own = starts[sizes == n]
+        step = max(1, _PAIRS // max(1, len(a)))
+        for at in range(0, len(own), step):
+            first = own[at : at + step]
+            yield first, first[:, None] + a, first[:, None] + b
+
+
 def _settled(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links of all buckets of a part, as roots of the lines linked."""
     pdf = pdf.sort_values("key", kind="stable")
-    key, contents, roots = pdf["key"].to_numpy(), pdf["content"].tolist(), pdf["root"].tolist()
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))).tolist()
-    rows = []
-    for i, j in zip(starts, [*starts[1:], len(key)]):
-        rows += [(roots[i + a], roots[i + b]) for a, b in settle(contents[i:j], roots[i:j])]
-    return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
-
-
-def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, root) of lines that the first links connect, and links (a, b) that connect roots or lines without a link."""
+    key, roots, contents = pdf["key"].to_numpy(), pdf["root"].to_numpy(), pdf["content"].tolist()
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    sizes = np.diff(np.append(starts, len(key)))
+    few = sizes <= FEW_MEMBERS
+    rows, found, whole = [], [np.zeros(0, np.int64)], [*zip(starts[~few].tolist(), sizes[~few].tolist())]
+
+    # A line that is in several buckets is one here.
+    line, at_few = np.full(len(key), -1), np.flatnonzero(np.repeat(few, sizes))
+    _, at_first, line[at_few] = np.unique(pdf["line"].to_numpy()[at_few], return_index=True, return_inverse=True)
+    own_roots, texts = roots[at_few[at_first]], [contents[i] for i in at_few[at_first].tolist()]
+    bitmaps, places = sketches(texts)
+    for first, i, j in _bucket_pairs(starts[few], sizes[few]):
+        left = roots[i] != roots[j]
+        left[left] = may_be_similar(bitmaps, places, line[i[left]], line[j[left]])
+        # Where bitmaps tell too few pairs apart, common shingles are counted for the whole bucket.
+        n = int(sizes[np.searchsorted(starts, first[0])])
+        many = left.sum(axis=1) > LEFT_PAIRS * n
+        whole += [(at, n) for at in first[many].tolist()]
+        left[many] = False
+        low, high = np.sort(np.array((line[i[left]], line[j[left]])), axis=0)
+        found.append(np.unique(low * len(texts) + high))
+    a, b = np.divmod(np.unique(np.concatenate(found)), max(1, len(texts)))
+    for at in range(0, len(a), 1024):
+        some = slice(at, at + 1024)
+        good = _alike_of(texts, a[some], b[some])
+        rows += zip(own_roots[a[some][good]].tolist(), own_roots[b[some][good]].tolist())
+    for i, n in whole:
+        own = roots[i : i + n].tolist()
+        rows += [(own[a], own[b]) for a, b in settle(contents[i : i + n], own)]
+    return pd.DataFrame(rows, columns=["a", "b"]).astype("int64").drop_duplicates()
+
+
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node, root) of lines that the first links connect, links (a, b) that connect roots or lines without a link, and places.
+
+    Places are those of all lines that come again or are in a pair of candidates; others may be among them.
+    """
     met = stored(buckets(docs), "line-buckets")
-    pairs = stored(met.where("key IS NULL").selectExpr("inline(arrays_zip(a, b))").distinct(), "line-pairs")
+    pairs = stored(met.where("key IS NULL AND b IS NOT NULL").selectExpr("inline(arrays_zip(a, b))").distinct(), "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "line-wanted")
-    # Most lines are in no pair: the filter spares their texts the shuffle, the join settles the rest.
-    bits = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
-    texts = docs.select("text").mapInPandas(_lines_of(bits), "line long, content string")
+    # Most lines are in no pair and come once: filters spare them the shuffle, joins settle the rest.
+    share = docs.sparkSession.sparkContext.broadcast
+    repeated = met.where("key IS NULL AND b IS NULL").select(F.explode("a").alias("line"))
+    task = _lines_of(share(_filter(wanted)), share(_filter(repeated)))
+    places = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), "text").mapInPandas(
+        task, "line long, doc_id long, doc_key long, line_no int, content string"
+    )
+    places = stored(places, "line-places")
+    texts = places.where("content IS NOT NULL").select("line", "content")
     texts = texts.join(wanted, "line", "left_semi").dropDuplicates(["line"])
     texts = stored(texts, "line-texts")
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("content").alias("content_a")), "a").join(
@@ -495,18 +665,17 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = GROUPS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = divided.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
     more = parted.groupBy("part").applyInPandas(_settled, "a long, b long")
-    return first, stored(more.distinct(), "line-root-links")
+    return first, stored(more.distinct(), "line-root-links"), places.drop("content")
 
 
 def line_links(docs: DataFrame) -> DataFrame:
     """Links (a, b) between identifiers of different lines that connect all similar ones that meet in a band."""
-    first, more = _found(docs)
+    first, more, _ = _found(docs)
     return first.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
 
 
-def line_roots(docs: DataFrame) -> DataFrame:
-    """(line, root) of every line that is like another; the root is the smallest identifier of its component."""
-    first, more = _found(docs)
+def line_roots(first: DataFrame, more: DataFrame) -> DataFrame:
+    """(line, root) of every line that is like another, from ``_found``; the root is the smallest identifier of its component."""
     tops = stored(components(more, "a", "b"), "line-top-roots")
     above = tops.select(F.col("node").alias("root"), F.col("root").alias("top"))
     lifted = first.select(F.col("node").alias("line"), "root").join(above, "root", "left")
@@ -516,14 +685,12 @@ def line_roots(docs: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """Lines to remove: doc_id, doc_key, line_no, with first_doc_id and first_line_no of the line that stays."""
-    roots = line_roots(docs)
-    places = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), "text").mapInPandas(
-        _occurrences, "line long, doc_id long, doc_key long, line_no int"
-    )
+    first, more, places = _found(docs)
+    roots = line_roots(first, more)
     rooted = places.join(roots, "line", "left").select(
         F.coalesce("root", "line").alias("root"), "doc_id", "doc_key", "line_no"
     )
-    rooted = stored(rooted, "line-places")
+    rooted = stored(rooted, "line-rooted")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key", "line_no")
     firsts = rooted.groupBy("root").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first <> last")
     firsts = stored(firsts, "line-firsts")
