@@ -24,8 +24,8 @@ settled in one task, as much as its lines share with each other. Bitmaps of
 shingles spare most unlike pairs the count of common ones: each bit in which two
 differ stands for a shingle that only one line has.
 
-Texts are read twice: once for the bands, and once for the places of lines that
-come again or are in a pair. Only these are shuffled.
+Only places of lines that come again or are in a pair are shuffled, and only
+texts of the latter.
 
 Defined results: a null text has no lines. A null doc_id counts as larger than
 any other. Rows that repeat both doc_id and text count as one document. Extra
@@ -298,12 +298,8 @@ def passed(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bits[(ids & (FILTER_BITS - 1)) >> 6] >> (ids & 63) & 1).astype(bool)
 
 
-def _lines_of(bits, again=None):
-    """Task that turns (text) rows into the lines that pass the filter that ``bits`` broadcasts.
-
-    With ``again``, a filter of further lines, (doc_id, doc_key, text) rows turn into all places of lines that pass
-    either; a task then gives the content once, and only of lines that pass the first.
-    """
+def _lines_of(bits):
+    """Task that turns (text) rows into the lines that pass the filter that ``bits`` broadcasts, each once as far as it remembers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sent: set[int] = set()
@@ -311,15 +307,21 @@ def _lines_of(bits, again=None):
             if len(sent) > _SENT_LINES:
                 sent.clear()
             ids = pdf["line"].to_numpy()
-            paired = passed(bits.value, ids)
-            new = paired & ~pdf["line"].duplicated().to_numpy()
+            new = passed(bits.value, ids) & ~pdf["line"].duplicated().to_numpy()
             new[new] = [x not in sent for x in ids[new].tolist()]
             sent.update(ids[new].tolist())
-            if again is None:
-                yield pdf.loc[new, ["line", "content"]]
-            else:
-                pdf["content"] = np.where(new, pdf["content"], None)
-                yield pdf[paired | passed(again.value, ids)]
+            yield pdf.loc[new, ["line", "content"]]
+
+    return run
+
+
+def _places_of(*filters):
+    """Task that turns (doc_id, doc_key, text) rows into the places of lines that pass one of the broadcast filters."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _occurrences(batches):
+            ids = pdf["line"].to_numpy()
+            yield pdf.loc[np.any([passed(bits.value, ids) for bits in filters], axis=0), ["line", "doc_id", "doc_key", "line_no"]]
 
     return run
 
@@ -642,13 +644,12 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "line-wanted")
     # Most lines are in no pair and come once: filters spare them the shuffle, joins settle the rest.
     share = docs.sparkSession.sparkContext.broadcast
-    repeated = met.where("key IS NULL AND b IS NULL").select(F.explode("a").alias("line"))
-    task = _lines_of(share(_filter(wanted)), share(_filter(repeated)))
+    in_pair = share(_filter(wanted))
+    repeated = share(_filter(met.where("key IS NULL AND b IS NULL").select(F.explode("a").alias("line"))))
     places = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), "text").mapInPandas(
-        task, "line long, doc_id long, doc_key long, line_no int, content string"
+        _places_of(in_pair, repeated), "line long, doc_id long, doc_key long, line_no int"
     )
-    places = stored(places, "line-places")
-    texts = places.where("content IS NOT NULL").select("line", "content")
+    texts = docs.select("text").mapInPandas(_lines_of(in_pair), "line long, content string")
     texts = texts.join(wanted, "line", "left_semi").dropDuplicates(["line"])
     texts = stored(texts, "line-texts")
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("content").alias("content_a")), "a").join(
@@ -665,7 +666,7 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     parts = GROUPS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parted = divided.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)))
     more = parted.groupBy("part").applyInPandas(_settled, "a long, b long")
-    return first, stored(more.distinct(), "line-root-links"), places.drop("content")
+    return first, stored(more.distinct(), "line-root-links"), places
 
 
 def line_links(docs: DataFrame) -> DataFrame:
